@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import encode_texts
+from tidemark.llm.fm_index import digest, find_phrases
+from tidemark.llm.simhash import near_copies
 from tidemark.llm.url_rules import HostRule, judge_urls
 
 HOST_RULES = (
@@ -21,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digest(find_phrases(docs, table(spark, sf_dir, "benchmark"), size=10))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,12 +38,43 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), HOST_RULES, BLOCK_GLOBS)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"), radius=4, words=4)
+
+
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op6_bpe": op6_bpe,
     "op9_url_rules": op9_url_rules,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
+    "op3_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        items AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        wins AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS phrase
+            FROM items, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS r(i) WHERE len(w) > 0),
+        sizes AS (SELECT DISTINCT size FROM wins),
+        places AS (
+            SELECT rid, i, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+            FROM docs, sizes, unnest(range(1, len(w) - size + 2)) AS r(i)),
+        hits AS (SELECT rid, i, size, item_id FROM places JOIN wins USING (size, phrase)),
+        hit_words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + size)) AS r(p) GROUP BY rid),
+        hit_items AS (
+            SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+            FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY rid)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)""",
     "op9_url_rules": r"""
         WITH parts AS (
             SELECT page_id,
