@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.bpe import encode_texts
 from tidemark.llm.fm_index import digest, find_phrases
 from tidemark.llm.simhash import near_copies
+from tidemark.llm.toxicity import score_texts, train
 from tidemark.llm.url_rules import HostRule, judge_urls
 
 HOST_RULES = (
@@ -28,6 +29,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_phrases(docs, table(spark, sf_dir, "benchmark"), size=10))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -44,6 +50,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_decontamination": op3_decontamination,
+    "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
     "op9_url_rules": op9_url_rules,
     "op10_simhash": op10_simhash,
