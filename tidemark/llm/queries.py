@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encode_texts
 from tidemark.llm.fm_index import digest, find_phrases
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.simhash import near_copies
 from tidemark.llm.toxicity import score_texts, train
 from tidemark.llm.url_rules import HostRule, judge_urls
@@ -34,6 +36,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    first = F.transform("dropped", lambda d: F.concat_ws(":", d["line"], d["by_doc"], d["by_line"]))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"), F.array_join(first, ",").alias("dropped_for"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -51,6 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
+    "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
     "op9_url_rules": op9_url_rules,
     "op10_simhash": op10_simhash,
@@ -82,6 +91,39 @@ ORACLES = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)""",
+    "op5_line_dedup": r"""
+        WITH parts AS (
+            SELECT doc_id, CAST(i AS INT) - 1 AS line, lines[i] AS raw, trim(lines[i], E' \\t\\r\\n') AS body
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), unnest(range(1, len(lines) + 1)) AS r(i)),
+        occ AS (SELECT *, row_number() OVER (ORDER BY doc_id, line) AS pos FROM parts WHERE body <> ''),
+        cls AS (SELECT body, min(pos) AS first, regexp_split_to_array(body, '\s+') AS w FROM occ GROUP BY body),
+        long AS (SELECT first, w, len(w) AS n FROM cls WHERE len(w) >= 8),
+        half AS (
+            SELECT DISTINCT first, w, n, side, h, array_to_string(CASE side WHEN 0 THEN w[1:h] ELSE w[n - h + 1:n] END, ' ') AS key
+            FROM (SELECT *, unnest([n // 2, (n - 1) // 2]) AS h FROM long), (SELECT unnest([0, 1]) AS side)),
+        met AS (
+            SELECT DISTINCT a.first AS x, b.first AS y, a.w AS v, b.w AS u
+            FROM half a JOIN half b ON a.side = b.side AND a.h = b.h AND a.key = b.key AND b.first < a.first AND abs(a.n - b.n) <= 1),
+        near AS (
+            SELECT x, min(y) AS y FROM met WHERE CASE
+                WHEN len(v) = len(u) THEN len(list_filter(range(1, len(v) + 1), lambda i: v[i] <> u[i])) <= 1
+                WHEN len(v) > len(u) THEN len(list_filter(range(1, len(v) + 1), lambda i: list_concat(v[1:i - 1], v[i + 1:len(v)]) = u)) > 0
+                ELSE len(list_filter(range(1, len(u) + 1), lambda i: list_concat(u[1:i - 1], u[i + 1:len(u)]) = v)) > 0 END
+            GROUP BY x),
+        fate AS (
+            SELECT occ.doc_id, occ.line, least(near.y, CASE WHEN cls.first < occ.pos THEN cls.first END) AS by_pos
+            FROM occ JOIN cls USING (body) LEFT JOIN near ON near.x = cls.first),
+        gone AS (SELECT fate.doc_id, fate.line, o.doc_id AS by_doc, o.line AS by_line FROM fate JOIN occ o ON o.pos = fate.by_pos),
+        lists AS (
+            SELECT doc_id, count(*) AS n_dropped, string_agg(line || ':' || by_doc || ':' || by_line, ',' ORDER BY line) AS dropped_for
+            FROM gone GROUP BY doc_id),
+        texts AS (
+            SELECT parts.doc_id, count(*) FILTER (body <> '') AS n_lines,
+                   sha256(coalesce(string_agg(raw, chr(10) ORDER BY parts.line) FILTER (gone.line IS NULL), '')) AS text_sha256
+            FROM parts LEFT JOIN gone ON gone.doc_id = parts.doc_id AND gone.line = parts.line GROUP BY parts.doc_id)
+        SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped,
+               text_sha256, coalesce(dropped_for, '') AS dropped_for
+        FROM documents d LEFT JOIN texts USING (doc_id) LEFT JOIN lists USING (doc_id)""",
     "op9_url_rules": r"""
         WITH parts AS (
             SELECT page_id,
