@@ -2,15 +2,62 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import encode_texts
 from tidemark.llm.common import written
+from tidemark.llm.fm_index import find_phrases
+from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.simhash import near_copies
+from tidemark.llm.toxicity import score_texts, train
 
-STAGES: list = []
+RADIUS, SHINGLE_WORDS, PHRASE_WORDS = 4, 4, 10
+
+
+def _as_documents(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs, with n_chars counted anew."""
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(docs.columns)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_texts(docs, model, keep_columns=True).where("predicted = 0").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier line equals or nearly equals go; documents stay, if need be with an empty text."""
+    return _as_documents(dedup_lines(docs), docs)
+
+
+def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the least id stays."""
+    found = near_copies(docs, RADIUS, SHINGLE_WORDS)
+    return docs.join(found.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of benchmark items are cut out of the texts."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _as_documents(find_phrases(docs, benchmark, PHRASE_WORDS, cut=True), docs)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left as token counts and digests."""
+    return encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("simhash", simhash), ("decontamination", decontamination), ("bpe", bpe)]
+#: A trained classifier, 64-bit XXH64 fingerprints and BPE have no SQL; tests/llm holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a data folder; each stage's result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bit_sliced import top_k
 from tidemark.llm.bpe import encode_texts
 from tidemark.llm.fm_index import digest, find_phrases
 from tidemark.llm.line_dedup import dedup_lines
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256.0)
+    return found.select(F.col("query_id"), "rank", "vec_id", "score")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digest(find_phrases(docs, table(spark, sf_dir, "benchmark"), size=10))
@@ -57,6 +63,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_top_k": op2_top_k,
     "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
@@ -66,6 +73,18 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+        SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5""",
     "op3_decontamination": r"""
         WITH docs AS (
             SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
