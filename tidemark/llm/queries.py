@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.bit_sliced import top_k
 from tidemark.llm.bpe import encode_texts
 from tidemark.llm.fm_index import digest, find_phrases
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.passages import repeated_passages
 from tidemark.llm.simhash import near_copies
+from tidemark.llm.tool_calls import calls_of_turns, link_calls
 from tidemark.llm.toxicity import score_texts, train
 from tidemark.llm.url_rules import HostRule, judge_urls
 
@@ -22,11 +25,26 @@ HOST_RULES = (
 )
 BLOCK_GLOBS = ("*casino*", "*-pills*", "*-bets.*", "*ads-*", "*track.*")
 
+#: What the arguments of a call made of a turn must look like.
+TURN_SCHEMAS = {
+    role: {
+        "type": "object",
+        "required": ["turn", "text"],
+        "additionalProperties": False,
+        "properties": {"turn": {"type": "integer", "minimum": 0}, "text": {"type": "string", "minLength": 1, "maxLength": longest}},
+    }
+    for role, longest in (("system", 4000), ("user", 2000))
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256.0)
     return found.select(F.col("query_id"), "rank", "vec_id", "score")
@@ -54,6 +72,16 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = calls_of_turns(table(spark, sf_dir, "conversations"))
+    linked = link_calls(calls, results, TURN_SCHEMAS)
+    return linked.select("conv_id", "call_id", "level", "n_results", "valid", "errors", "status", F.sha2("canonical", 256).alias("canonical_sha256"), F.length("canonical").cast("long").alias("n_chars"))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), HOST_RULES, BLOCK_GLOBS)
 
@@ -63,11 +91,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_passages": op1_passages,
     "op2_top_k": op2_top_k,
     "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
+    "op7_tool_calls": op7_tool_calls,
+    "op8_html_text": op8_html_text,
     "op9_url_rules": op9_url_rules,
     "op10_simhash": op10_simhash,
 }
@@ -143,6 +174,27 @@ ORACLES = {
         SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped,
                text_sha256, coalesce(dropped_for, '') AS dropped_for
         FROM documents d LEFT JOIN texts USING (doc_id) LEFT JOIN lists USING (doc_id)""",
+    "op7_tool_calls": r"""
+        WITH calls AS (
+            SELECT conv_id, turn, role, text, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
+            FROM conversations WHERE role <> 'assistant'),
+        leveled AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level FROM calls),
+        results AS (SELECT conv_id, turn - 1 AS turn, text AS result FROM conversations WHERE role = 'assistant'),
+        linked AS (
+            SELECT conv_id, turn, role, text, level, result, l.role IS NOT NULL AS called, r.result IS NOT NULL AS answered,
+                   CASE WHEN role = 'system' THEN 4000 ELSE 2000 END AS longest
+            FROM leveled l FULL JOIN results r USING (conv_id, turn)),
+        wrote AS (
+            SELECT *, '{' || CASE WHEN called THEN '"arguments":{"text":' || to_json(text) || ',"turn":' || turn || '},' ELSE '' END
+                   || '"id":"' || conv_id || ':' || turn || '"' || CASE WHEN called THEN ',"name":"' || role || '"' ELSE '' END
+                   || CASE WHEN answered THEN ',"result":' || to_json(result) ELSE '' END || '}' AS canonical
+            FROM linked)
+        SELECT conv_id, conv_id || ':' || turn AS call_id, CAST(level AS BIGINT) AS level, CAST(answered AS BIGINT) AS n_results,
+               called AND length(text) BETWEEN 1 AND longest AS valid,
+               CASE WHEN NOT called THEN '' WHEN length(text) < 1 THEN '$.text: too short' WHEN length(text) > longest THEN '$.text: too long' ELSE '' END AS errors,
+               CASE WHEN NOT called THEN 'orphan' WHEN answered THEN 'linked' ELSE 'unanswered' END AS status,
+               sha256(canonical) AS canonical_sha256, CAST(length(canonical) AS BIGINT) AS n_chars
+        FROM wrote""",
     "op9_url_rules": r"""
         WITH parts AS (
             SELECT page_id,
