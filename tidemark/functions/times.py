@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,8 +48,9 @@ def first_timestamp(text, formats: list[str]) -> Column:
 
 
 def month_number(name) -> Column:
-    lower = F.lower(col(name))
-    return reduce(lambda acc, m: acc.when(lower == m[1], m[0]), enumerate(MONTHS, 1), F.when(F.lit(False), 0))
+    """1 to 12 for an English month, whole or its first three letters; else null."""
+    at = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.lower(F.substring(col(name), 1, 3)))
+    return F.nullif(at.cast("int"), F.lit(0))
 
 
 def valid_date(year, month, day) -> Column:
@@ -87,7 +86,7 @@ def duration_hours(text) -> Column:
     pattern = r"(?i)(\d+(?:\.\d+)?)\s*(day|hour|hr|minute|min)"
     n = F.regexp_extract(F.regexp_replace(col(text), ",", ""), pattern, 1)
     unit = F.lower(F.regexp_extract(col(text), pattern, 2))
-    value = F.expr("try_cast(null as double)") if text is None else F.nullif(n, F.lit("")).cast("double")
+    value = F.nullif(n, F.lit("")).cast("double")
     return F.when(unit == "day", value * 24).when(unit.isin("minute", "min"), value / 60).when(unit.isin("hour", "hr"), value)
 
 
@@ -98,9 +97,9 @@ def compact_utc(text) -> Column:
 
 def two_digit_date(text, pivot: int = 80) -> Column:
     """26JUL04; years from the pivot on are of the twentieth century."""
-    year = F.expr("try_cast(null as int)") if text is None else F.nullif(F.regexp_extract(col(text), r"^(\d{2})([A-Z]{3})(\d{2})$", 1), F.lit("")).cast("int")
+    year = F.nullif(F.regexp_extract(col(text), r"^(\d{2})([A-Z]{3})(\d{2})$", 1), F.lit("")).cast("int")
     name = F.regexp_extract(col(text), r"^(\d{2})([A-Z]{3})(\d{2})$", 2)
-    month = reduce(lambda acc, m: acc.when(name == m[1][:3].upper(), m[0]), enumerate(MONTHS, 1), F.when(F.lit(False), 0))
+    month = month_number(name)
     day = F.nullif(F.regexp_extract(col(text), r"^(\d{2})([A-Z]{3})(\d{2})$", 3), F.lit("")).cast("int")
     return valid_date(F.when(year >= pivot, 1900 + year).otherwise(2000 + year), month, day)
 

@@ -23,3 +23,14 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tidem
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """One table of a data folder; a file or a folder of part files."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset."""
+    import tempfile
+
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
