@@ -6,6 +6,7 @@ labelled rows; only texts and labels go into it.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,23 +22,29 @@ from tidemark.llm.deobfuscate import BUCKETS, Decoder, letters, runs_apart, trig
 MAX_TRAIN, MAX_GRAMS = 20_000, 50_000
 #: Distinct words that a task counts before it passes them on.
 COUNT_WORDS = 200_000
+#: Texts of one character.
+SINGLES = frozenset(map(chr, range(33, 0x3000)))
 
 
 def char_model(df: DataFrame, text_col: str) -> np.ndarray:
     """Trigram counts of all texts, in a table of fixed size; counted in tasks, summed by bucket."""
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words: Counter = Counter()
+        tokens: Counter = Counter()
 
         def flushed() -> pd.DataFrame:
+            words: Counter = Counter()
+            for token, n in tokens.items():
+                for word in (token,) if token.isalpha() else letters(token):
+                    words[word] += n
             grams = trigram_counts(words)
-            words.clear()
+            tokens.clear()
             return pd.DataFrame({"slot": list(grams.keys()), "n": list(grams.values())}, dtype="int64")
 
         for pdf in parts:
             for text in pdf[text_col]:
-                words.update(letters(text.lower()))
-                if len(words) > COUNT_WORDS:
+                tokens.update(text.lower().split())
+                if len(tokens) > COUNT_WORDS:
                     yield flushed()
         yield flushed()
 
@@ -58,31 +65,45 @@ class Model:
     """Weights by n-gram; a text's score is the logistic of the sum over the n-grams that it has."""
 
     def __init__(self, weights: dict[str, float], bias: float, table: np.ndarray):
-        self.weights, self.bias, self.table = weights, bias, table
+        self.weights, self.bias, self.table, self.name = weights, bias, table, uuid.uuid4().hex
 
 
 class Features:
     """The n-grams of a text that are among a given set, by their numbers."""
 
-    def __init__(self, column: dict[str, int], table: np.ndarray, keep: int = 150_000):
+    def __init__(self, column: dict[str, int], table: np.ndarray, keep: int = 300_000):
         self.column, self.keep, self.decoder = column, keep, Decoder(table)
+        self.starts = {g[:3] for g in column}
+        self.without: set[str] = set()  # tokens seen that have none
         self.found: dict[str, tuple[int, ...]] = {}
 
     def _of(self, words) -> tuple[int, ...]:
-        return tuple({self.column[g] for w in words for g in grams_of(w) if g in self.column})
+        out: set[int] = set()
+        for word in words:
+            w = f"^{word}$"
+            if any(w[i : i + 3] in self.starts for i in range(len(w) - 2)) or word[:3] in self.starts:
+                out.update(self.column[g] for g in grams_of(word) if g in self.column)
+        return tuple(out)
 
     def __call__(self, text: str) -> set[int]:
-        tokens, found, out = text.lower().split(), self.found, set()
-        for token in set(tokens):
-            mine = found.get(token)
+        tokens, out = text.lower().split(), set()
+        distinct = set(tokens)
+        for token in distinct - self.without:
+            mine = self.found.get(token)
             if mine is None:
-                if len(found) > self.keep:
-                    found.clear()
-                mine = found[token] = self._of(self.decoder.token(token))
-            if mine:
-                out.update(mine)
-        for run in runs_apart(tokens):
-            out.update(self._of(self.decoder.apart(run)))
+                mine = self._of(self.decoder.token(token))
+                if mine:
+                    if len(self.found) > self.keep:
+                        self.found.clear()
+                    self.found[token] = mine
+                else:
+                    if len(self.without) > self.keep:
+                        self.without.clear()
+                    self.without.add(token)
+            out.update(mine)
+        if len(distinct & SINGLES) >= 3:  # letters set apart can spell a word only then
+            for run in runs_apart(tokens):
+                out.update(self._of(self.decoder.apart(run)))
         return out
 
 
@@ -97,6 +118,17 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(total, -60, 60))))
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """One scorer for each Python worker, so that what it knows of words serves all of the worker's tasks."""
+    if model.name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.name] = Scorer(model)
+    return _SCORERS[model.name]
+
+
 def candidate_grams(sample: DataFrame, table, n: dict[int, int]) -> list[str]:
     """The n-grams that speak for label 1 in the sample, by the words of its texts; at most MAX_GRAMS."""
 
@@ -193,7 +225,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(known.value)
+        scorer = _scorer(known.value)
         for pdf in parts:
             scores = [scorer.score(t or "") for t in pdf[text_col]]
             pdf = pdf.copy() if keep_columns else pdf.drop(columns=[text_col])
