@@ -34,3 +34,27 @@ def shared_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in the Python workers, once a context, unless it is already.
+
+    Workers find it through PYTHONPATH or the working folder; else it is sent along as a zip, as
+    --py-files would.
+    """
+    import os
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    places = [Path(p or ".").resolve() for p in (*os.environ.get("PYTHONPATH", "").split(os.pathsep), ".")]
+    context = spark.sparkContext
+    if root in places or getattr(context, "_tidemark_shipped", False):
+        return
+    path = Path(tempfile.mkdtemp(prefix="spark-")) / "tidemark.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted((root / "tidemark").rglob("*.py")):
+            out.write(f, f.relative_to(root))
+    context.addPyFile(str(path))
+    context._tidemark_shipped = True
