@@ -145,12 +145,12 @@ def labels_of(blocks: list[Block], marked: bool, short: int = 12, long: int = 40
     out = []
     for k, label in enumerate(found):
         if label is None:
-            before = next(((k - i, found[i]) for i in range(k - 1, -1, -1) if found[i] is not None), None)
-            after = next(((i - k, found[i]) for i in range(k + 1, len(found)) if found[i] is not None), None)
+            near = lambda places: next(((abs(k - i), not found[i]) for i in places if found[i] is not None and not blocks[i].away), None)  # noqa: B023, E731
+            before, after = near(range(k - 1, -1, -1)), near(range(k + 1, len(found)))
             if blocks[k].heading and after:  # a heading goes with what it heads
-                label = after[1]
-            else:
-                label = min((x for x in (before, after) if x), key=lambda x: (x[0], x[1]), default=(0, True))[1]
+                label = not after[1]
+            else:  # the nearer neighbour; of two as near, one that is main text
+                label = not min((x for x in (before, after) if x), default=(0, False))[1]
         out.append(label)
     return out
 
