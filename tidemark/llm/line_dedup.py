@@ -21,8 +21,8 @@ from tidemark.llm.common import written
 
 #: Lines of fewer words are only compared for equality: one word of them is too much of the whole.
 MIN_WORDS = 8
-#: Bits of the filter for halves that lines share: 16 a half, up to this many. A filter too full lets
-#: more lines emit variants, and changes no result.
+#: Bits of the filter for halves that lines share: 32 a half, up to this many, two set for each. A filter
+#: too full lets more lines emit variants, and changes no result.
 MAX_FILTER_BITS = 1 << 27
 
 
@@ -91,10 +91,10 @@ def half_filter(lines: DataFrame) -> np.ndarray:
     shared = lines.select(F.explode("halves").alias("half"), "h1").groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("half")
     shared = written(shared, "halves")
     bits = 1 << 10
-    while bits < min(16 * shared.count(), MAX_FILTER_BITS):
+    while bits < min(32 * shared.count(), MAX_FILTER_BITS):
         bits *= 2
-    slot = F.pmod("half", F.lit(bits))
-    words = shared.groupBy(F.floor(slot / 64).cast("long").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(half, 64) as int)))").alias("bits"))
+    slots = shared.select(F.explode(F.array(F.pmod("half", F.lit(bits)), F.pmod(F.shiftright("half", 32), F.lit(bits)))).alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
     out = np.zeros(bits // 64, np.int64)
     for row in words.toPandas().itertuples(index=False):  # at most MAX_FILTER_BITS / 64 rows
         out[row.word] = row.bits
@@ -106,7 +106,7 @@ def _candidates(docs: DataFrame, filtered: np.ndarray) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(filtered)  # of MAX_FILTER_BITS at most
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = known.value
+        table = known.value.tolist()
         bits = len(table) * 64
         for pdf in parts:
             rows = []
@@ -118,8 +118,8 @@ def _candidates(docs: DataFrame, filtered: np.ndarray) -> DataFrame:
                         continue
                     low, high = n, 0  # places from `low` on and before `high`
                     for side, size, key in halves(words):
-                        at = key % bits
-                        if int(table[at >> 6]) >> (at & 63) & 1:
+                        a, b = key % bits, (key >> 32) % bits
+                        if table[a >> 6] >> (a & 63) & 1 and table[b >> 6] >> (b & 63) & 1:
                             if side == 0:
                                 low = min(low, size)
                             else:
@@ -147,7 +147,9 @@ def near_lines(candidates: DataFrame) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["key", "place", "doc", "line"])
 
     flat = candidates.select("at.doc", "at.line", "text", "low", "high")
-    v = flat.mapInPandas(run, "key long, place int, doc long, line int").select("key", "place", F.struct("doc", "line").alias("at"))
+    v = written(flat.mapInPandas(run, "key long, place int, doc long, line int"), "variants")
+    met = v.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")  # most variants meet no other
+    v = written(v.join(met, "key", "left_semi").select("key", "place", F.struct("doc", "line").alias("at")), "met")
     by_place = v.groupBy("key", "place").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     replaced = by_place.where((F.col("place") >= 0) & (F.col("first") < F.col("last"))).select("key", "place", "first")
     whole = F.col("place") == -1
@@ -163,20 +165,19 @@ def near_lines(candidates: DataFrame) -> DataFrame:
 
 
 def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, line, by_doc, by_line, equal: each line that goes, and the earliest line for which it goes."""
+    """doc, line, by_doc, by_line: each line that goes, and the earliest line for which it goes."""
     docs = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).dropna()
     lines = written(line_table(docs), "lines")
     candidates = written(_candidates(docs, half_filter(lines)), "candidates")
-    near = near_lines(candidates).join(candidates.select("at", "h1", "h2"), "at").select("h1", "h2", "by")
-    classes = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
-    repeated = classes.where("n > 1").select("h1", "h2", "first")
-    decided = repeated.join(near, ["h1", "h2"], "full")
-    at = F.struct("doc", "line")
-    found = lines.select("h1", "h2", "doc", "line").join(decided, ["h1", "h2"])
-    found = found.where(F.col("by").isNotNull() | (F.col("first") < at))
-    # the earliest of all: a near copy or the first equal line
-    best = F.least("by", F.when(F.col("first") < at, F.col("first")))
-    return found.select("doc", "line", best["doc"].alias("by_doc"), best["line"].alias("by_line"), (best == F.col("first")).alias("equal"))
+    near = written(near_lines(candidates).join(candidates.select("at", "h1", "h2"), "at"), "near")
+    often = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    repeats = written(lines.select("h1", "h2", F.struct("doc", "line").alias("at")).join(often, ["h1", "h2"], "left_semi"), "repeats")
+    first = repeats.groupBy("h1", "h2").agg(F.min("at").alias("first"))
+    equal = repeats.join(first, ["h1", "h2"]).where(F.col("first") < F.col("at")).select("at", F.col("first").alias("by"))
+    # a line near an earlier one goes with all its repeats
+    spread = repeats.join(near.select("h1", "h2", "by"), ["h1", "h2"]).select("at", "by")
+    found = equal.union(spread).union(near.select("at", "by")).where(F.col("by") < F.col("at")).groupBy("at").agg(F.min("by").alias("by"))
+    return found.select("at.doc", "at.line", F.col("by.doc").alias("by_doc"), F.col("by.line").alias("by_line"))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
