@@ -171,3 +171,20 @@ def test_figure_series(spark):
     eps = spark.createDataFrame([(1, at(0), at(9), 10.0)], "episode_no int, start timestamp, pause timestamp, drop double")
     daily = spark.createDataFrame([(1, at(33), 4.0)], "episode_no int, observed timestamp, recovered double")
     assert [r["level"] for r in report.figure_series(eps, daily).orderBy("at").collect()] == [0.0, -10.0, -6.0]
+
+
+def test_record_is_idempotent(spark):
+    snap = spark.createDataFrame([(7, 3, "paused", 2, "view", at(1), at(9))], "user_id long, episode_no int, state string, n_24h long, level string, window_start timestamp, window_end timestamp")
+    log = spark.createDataFrame([], "user_id long, generated timestamp, episode_no int, state string, n_24h long, level string, window_start timestamp, window_end timestamp")
+    once = report.record(log, snap, ["user_id"], F.lit(at(5)))
+    assert rows(report.record(once, snap, ["user_id"], F.lit(at(5)))) == rows(once) and once.count() == 1
+    assert report.record(once, snap, ["user_id"], F.lit(at(6))).count() == 2
+
+
+def test_balanced_windows(spark):
+    r = random.Random(6)
+    times = [at(r.uniform(0, 1000)) for _ in range(500)] + [at(500)] * 50
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp")
+    got = intervals.balanced_windows(df, "t", 40).collect()
+    assert sum(w["n"] for w in got) == len(times) and all(w["n"] < 40 or w["full"] for w in got) and any(w["full"] for w in got)
+    assert intervals.balanced_windows(df.where("false"), "t", 40).count() == 0

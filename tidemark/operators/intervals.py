@@ -146,8 +146,7 @@ def balanced_windows(df: DataFrame, time: str, cap: int, depth: int = 12) -> Dat
     leaf = F.floor((F.unix_micros(time) - t0) * F.lit(float(2**depth)) / width).cast("long")
     leaves = df.where(F.col(time).isNotNull()).groupBy(leaf.alias("leaf")).agg(F.count("*").alias("n"))
     levels = leaves.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth))))
-    cells = levels.groupBy("level", F.shiftright("leaf", 0).alias("leaf")).agg(F.sum("n").alias("n"))
-    cells = cells.groupBy("level", F.floor(F.col("leaf") / F.pow(F.lit(2), depth - F.col("level"))).cast("long").alias("cell")).agg(F.sum("n").alias("n"))
+    cells = levels.groupBy("level", F.floor(F.col("leaf") / F.pow(F.lit(2), depth - F.col("level"))).cast("long").alias("cell")).agg(F.sum("n").alias("n"))
     parent = cells.select((F.col("level") + 1).alias("level"), F.col("cell").alias("_p"), F.col("n").alias("_pn"))
     kept = cells.join(parent, (cells["level"] == parent["level"]) & (F.floor(cells["cell"] / 2) == parent["_p"]), "left").select(cells["level"], "cell", "n", "_pn")
     full = F.col("n") >= cap

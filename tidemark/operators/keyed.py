@@ -91,11 +91,13 @@ def derive(tables: Mapping[str, DataFrame], drop: Mapping[str, Column]) -> tuple
         raise ValueError(f"no such table: {', '.join(sorted(unknown))}")
     kept = {n: purge(t, drop[n]) if n in drop else t for n, t in tables.items()}
     rows = []
+    zero = F.lit(0).cast("long")
     for name, t in tables.items():
-        gone = F.sum(F.coalesce(drop[name].cast("long"), F.lit(0))) if name in drop else F.lit(0)
-        before = t.agg(F.lit(name).alias("tbl"), F.count("*").alias("n_before"), F.coalesce(gone, F.lit(0)).cast("long").alias("_gone"))
-        rows.append(before.crossJoin(kept[name].agg(F.count("*").alias("n_after"))))  # one row each
-    report = reduce(DataFrame.unionByName, rows).withColumn("n_expected", F.col("n_before") - F.col("_gone"))
+        gone = F.coalesce(F.sum(F.coalesce(drop[name].cast("int"), F.lit(0))), zero) if name in drop else zero
+        rows.append(t.agg(F.lit(name).alias("tbl"), F.count("*").alias("n_before"), gone.cast("long").alias("gone"), zero.alias("n_after")))
+        rows.append(kept[name].agg(F.lit(name).alias("tbl"), zero.alias("n_before"), zero.alias("gone"), F.count("*").alias("n_after")))
+    sums = reduce(DataFrame.unionByName, rows).groupBy("tbl").agg(*[F.sum(c).alias(c) for c in ("n_before", "gone", "n_after")])
+    report = sums.withColumn("n_expected", F.col("n_before") - F.col("gone"))
     return kept, report.select("tbl", "n_before", "n_after", "n_expected", (F.col("n_after") == F.col("n_expected")).alias("ok"))
 
 

@@ -95,9 +95,11 @@ def own_forecast(state: DataFrame, models: DataFrame, backtests: DataFrame, repo
     at the present rate stands beside it as an early risk. half width: the backtest's mean error, at
     least least_half, or plain_half without a backtest.
     """
-    out = state
-    for other in (models, backtests.select(*by, "mae_days", "bias_days"), reposes.select(*by, "repose_median_hours")):
-        out = out.join(other, list(by), "left") if by else out.crossJoin(other)  # one row each without a key
+    out, key = state, list(by) or ["_all"]
+    if not by:  # one series: one row a table
+        out, models, backtests, reposes = (t.withColumn("_all", F.lit(0)) for t in (out, models, backtests, reposes))
+    for other in (models, backtests.select(*key, "mae_days", "bias_days"), reposes.select(*key, "repose_median_hours")):
+        out = out.join(other, key, "left")
     days = F.col("slope") * F.col("x") + F.col("intercept") - F.coalesce("bias_days", F.lit(0.0))
     after = lambda start, d: F.timestamp_micros(F.unix_micros(start) + F.round(d * 86_400_000_000).cast("long"))
     model_at, repose_at = after("pause", days), after("pause", F.col("repose_median_hours") / 24)

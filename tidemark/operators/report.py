@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import hours_between
+from tidemark.operators.keyed import upsert
 from tidemark.operators.latest import newest_each
 
 
@@ -50,6 +51,12 @@ def as_json(snap: DataFrame, by: Sequence[str]) -> DataFrame:
     return snap.select(*by, F.to_json(doc, {"ignoreNullFields": "false"}).alias("json"))
 
 
+def record(log: DataFrame, snap: DataFrame, by: Sequence[str], generated: Column) -> DataFrame:
+    """The log of snapshots with this one's headline figures, for later scoring; one row for each entity and instant."""
+    new = snap.select(*by, generated.alias("generated"), "episode_no", "state", "n_24h", "level", "window_start", "window_end", F.lit(0).alias("_seq"))
+    return upsert(log, new, [*by, "generated"], ["_seq"])
+
+
 def figure_series(episodes: DataFrame, daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Points of a trajectory: 0 at the start, minus the drop at the pause, then minus the drop plus each day's recovery.
 
