@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.texts import element_texts, sections, sentences, strip_tags
+from tidemark.functions.texts import ENTITIES, element_texts, sections, sentences, strip_tags
 from tidemark.operators import checks, intervals, keyed, latest, mining, models, report, rollup
 from tidemark.plans import standins as S
-from tidemark.plans.queries import USER, query, r9, us
+from tidemark.plans.queries import _FIT, USER, query, r9, us
 from tidemark.session import read_table
 from tidemark.streaming import jobs
 
@@ -222,7 +222,13 @@ def html_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", F.size("x").alias("n"), F.array_join("x", "|").alias("cells"))
 
 
-@query()
+_PLAIN = r"regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g'), '(?i)<br\s*/?>|</(?:p|div|li|tr|h[1-6])\s*>', chr(10), 'g'), '(?s)<[^>]+>', ' ', 'g')"
+for _name, _char in ENTITIES:
+    _PLAIN = f"replace({_PLAIN}, '{_name}', '{_char.replace(chr(39), chr(39) * 2)}')"
+
+
+@query(rf"""SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '[ \t\x{{A0}}\r]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'),
+    '^\s+|\s+$', '', 'g') AS text FROM pages""", standins=False)
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "pages").select("page_id", strip_tags("html").alias("text"))
 
@@ -270,7 +276,24 @@ def snapshot_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.as_json(_snapshot(spark, sf_dir), USER)
 
 
-@query()
+@query(_FIT + """, last14 AS (SELECT user_id, count(*) AS n, regr_slope(y, x) AS s, avg(x) AS mx, avg(y) AS my
+        FROM (SELECT * FROM xy QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY episode_no DESC) <= 14) GROUP BY user_id),
+    model AS (SELECT user_id, round_even(s, 4) AS slope, round_even(my - s * mx, 3) AS intercept FROM last14 WHERE n >= 5 AND NOT isnan(s)),
+    med AS (SELECT user_id, median(repose_hours) AS med FROM (SELECT * FROM ep WHERE repose_hours IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY episode_no DESC) <= 10) GROUP BY user_id),
+    state AS (SELECT user_id, pause, volume AS x, volume / 2 AS cumulative, k / 10 AS change FROM ep QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY episode_no DESC) = 1),
+    points AS (SELECT user_id, epoch_us(pause) + CAST(round((slope * x + intercept - coalesce(bias_days, 0)) * 86400000000) AS BIGINT) AS model_us,
+            epoch_us(pause) + CAST(round(med / 24 * 86400000000) AS BIGINT) AS repose_us, coalesce(greatest(mae_days, 1.5), 2.5) AS half,
+            CASE WHEN change > 0 AND x > cumulative THEN epoch_us(TIMESTAMP '2024-01-31') + CAST(round((x - cumulative) / change * 86400000000) AS BIGINT) END AS early_us
+        FROM state LEFT JOIN model USING (user_id) LEFT JOIN bts USING (user_id) LEFT JOIN med USING (user_id)),
+    p AS (SELECT *, coalesce(model_us, repose_us) AS point FROM points)
+    SELECT user_id, CASE WHEN model_us IS NOT NULL THEN 'regression' WHEN repose_us IS NOT NULL THEN 'repose median' END AS method,
+        CAST(CAST(make_timestamp(point - 36000000000) AS DATE) AS VARCHAR) AS point_date,
+        CAST(CAST(make_timestamp(point - CAST(round(half * 86400000000) AS BIGINT) - 36000000000) AS DATE) AS VARCHAR) AS window_start,
+        CAST(CAST(make_timestamp(point + CAST(round(half * 86400000000) AS BIGINT) - 36000000000) AS DATE) AS VARCHAR) AS window_end,
+        CASE WHEN point IS NOT NULL THEN round_even(half, 2) END AS half_width_days,
+        CAST(CAST(make_timestamp(early_us - 36000000000) AS DATE) AS VARCHAR) AS early_risk_date,
+        CASE WHEN point IS NULL THEN 'no history' END AS unavailable
+    FROM p""")
 def own_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = S.events(spark, sf_dir)
     eps = S.episodes(ev)
@@ -279,7 +302,8 @@ def own_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = models.backtest_summary(models.backtest_rows(fitted, USER, ["episode_no"], "episode_no", "x", "y", 6), USER)
     last10 = latest.newest_each(eps.where(F.col("repose_hours").isNotNull()), USER, ["episode_no"], 10).groupBy("user_id").agg(F.percentile("repose_hours", F.lit(0.5)).alias("repose_median_hours"))
     state = latest.newest_each(eps, USER, ["episode_no"]).select("user_id", "pause", F.col("volume").alias("x"), (F.col("volume") / 2).alias("cumulative"), (F.col("k") / 10).alias("change_24h"))
-    return models.own_forecast(state, models.latest_model(xy, USER, ["episode_no"], "x", "y"), back, last10, USER, F.lit(dt.datetime(2024, 1, 31, tzinfo=dt.UTC)))
+    out = models.own_forecast(state, models.latest_model(xy, USER, ["episode_no"], "x", "y"), back, last10, USER, F.lit(dt.datetime(2024, 1, 31, tzinfo=dt.UTC)))
+    return out.withColumns({c: F.col(c).cast("string") for c, kind in out.dtypes if kind == "date"})
 
 
 @query("""SELECT station, epoch_us(date_trunc('hour', ts)) AS hour_us, round(avg(east), 9) AS mean, min(east) AS min, max(east) AS max, count(*) AS n, count(DISTINCT segment) AS n_segments FROM smp GROUP BY station, date_trunc('hour', ts)""")
