@@ -26,7 +26,7 @@ _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Positions kept for every so many suffixes; words that a shard holds at most before it is searched.
 SAMPLE, SHARD_WORDS = 8, 2_000_000
 #: Text of the benchmark, in bytes, that one pass over the corpus takes (its phrases are broadcast).
-PASS_BYTES = 32 << 20
+PASS_BYTES = 4 << 20
 
 
 def words_of(text: str) -> list[bytes]:
