@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -20,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import per_worker
+
 #: States and words that a worker keeps before it starts its tables afresh; results don't depend on them.
 MAX_STATES, MAX_WORDS = 120_000, 250_000
 
@@ -299,18 +302,6 @@ class Codec:
         yield b"", utf8.finish()
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
-def _codec(ranks, pattern: str, split_at_space: bool) -> Codec:
-    """One codec for each Python worker, so that its states serve all of the worker's tasks."""
-    key = (ranks._jbroadcast if hasattr(ranks, "_jbroadcast") else None, len(ranks.value), pattern, split_at_space)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(ranks.value, pattern, split_at_space)
-    return _CODECS[key]
-
-
 def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", split_at_space: bool = True, with_ids: bool = False) -> DataFrame:
     """One row for each row of df: id, n_tokens, ids_sha256, decoded_sha256, round_trip, and with with_ids the ids.
 
@@ -319,10 +310,10 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     The rank file is read on the driver and broadcast (a vocabulary is bounded: one entry a token).
     """
     spark: SparkSession = df.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    ranks, name = spark.sparkContext.broadcast(read_ranks(ranks_path)), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = _codec(ranks, pattern, split_at_space)
+        codec = per_worker(("codec", name, pattern, split_at_space), lambda: Codec(ranks.value, pattern, split_at_space))
         names = {rank: str(rank) for rank in codec.tokens}
         sha = hashlib.sha256
         for pdf in batches:

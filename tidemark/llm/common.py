@@ -44,3 +44,14 @@ def _remove(spark: SparkSession, path: str) -> None:
 def ascii_lower(col):
     """A-Z to a-z, every other character kept."""
     return F.translate(col, UPPER, UPPER.lower())
+
+
+_HELD: dict = {}
+
+
+def per_worker(key, make):
+    """What make() gives, kept for a Python worker's later tasks; one thing at a time, so that memory stays bounded."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
