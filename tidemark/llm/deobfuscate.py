@@ -27,6 +27,7 @@ _SIGNS = re.escape("".join(c for c in LOOK_ALIKES if not c.isdigit()))
 _PIECE = re.compile(rf"[^\W_]+(?:[{_SIGNS}]{{1,2}}[^\W_]+)*")
 _CORE = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
 _PLAIN = re.compile(r"[^\W\d_]+")
+_MARKS = ".,;:?\"'()"  # no letters are read into these at a word's edge
 _RUN = re.compile(r"([^\W\d_])\1\1")
 
 
@@ -45,10 +46,10 @@ def trigram_counts(words: Counter) -> Counter:
         w = f"^^{word}$"
         for i in range(len(w) - 2):
             grams[w[i : i + 3]] += n
-            grams[w[i : i + 2] + "\0"] += n
     out: Counter = Counter()
     for gram, n in grams.items():
         out[slot(gram)] += n
+        out[slot(gram[:2] + "\0")] += n
     return out
 
 
@@ -148,14 +149,15 @@ class Decoder:
 
     def token(self, token: str) -> tuple[str, ...]:
         """The restored words of what stands between white space, in lower case."""
-        if token.isalpha() and not _RUN.search(token):
-            return (token,)
+        plain = token.strip(_MARKS)
+        if plain.isalpha() and not _RUN.search(plain):
+            return (plain,)
         lead, core, trail = _CORE.match(token).groups()
         pieces = _PIECE.findall(core)
         if len(pieces) >= 3 and all(len(x) == 1 for x in pieces) and not core.isdigit():
             return self.apart(core)
         out = [w for x in pieces for w in self.restore(x)]
-        if pieces and core.isalnum():  # a sign at an edge may be a letter too
+        if len(pieces) == 1:  # a sign at an edge may be a letter too
             edge = lead[-1:] if lead.strip("\"'([{") in ("$", "@", "!", "|") else ""
             end = trail if trail in ("$", "$$", "@") else ""
             if edge or end:
@@ -174,6 +176,6 @@ class Decoder:
 
 
 def runs_apart(tokens: list[str]) -> set[str]:
-    """The runs of three and more one-character tokens."""
+    """The runs of four and more one-character tokens."""
     single = bytes(map((1).__eq__, map(len, tokens)))
-    return {" ".join(tokens[m.start() : m.end()]) for m in re.finditer(rb"\x01{3,}", single)}
+    return {" ".join(tokens[m.start() : m.end()]) for m in re.finditer(rb"\x01{4,}", single)}

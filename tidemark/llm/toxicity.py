@@ -15,13 +15,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import per_worker, written
 from tidemark.llm.deobfuscate import BUCKETS, Decoder, letters, runs_apart, trigram_counts
 
 #: Labelled rows that the classifier is fitted on at most, and n-grams that it keeps at most.
 MAX_TRAIN, MAX_GRAMS = 20_000, 50_000
 #: Distinct words that a task counts before it passes them on.
-COUNT_WORDS = 200_000
+COUNT_WORDS = 400_000
 #: Texts of one character.
 SINGLES = frozenset(map(chr, range(33, 0x3000)))
 
@@ -35,6 +35,7 @@ def char_model(df: DataFrame, text_col: str) -> np.ndarray:
         def flushed() -> pd.DataFrame:
             words: Counter = Counter()
             for token, n in tokens.items():
+                token = token.lower()
                 for word in (token,) if token.isalpha() else letters(token):
                     words[word] += n
             grams = trigram_counts(words)
@@ -43,7 +44,7 @@ def char_model(df: DataFrame, text_col: str) -> np.ndarray:
 
         for pdf in parts:
             for text in pdf[text_col]:
-                tokens.update(text.lower().split())
+                tokens.update(text.split())
                 if len(tokens) > COUNT_WORDS:
                     yield flushed()
         yield flushed()
@@ -71,7 +72,7 @@ class Model:
 class Features:
     """The n-grams of a text that are among a given set, by their numbers."""
 
-    def __init__(self, column: dict[str, int], table: np.ndarray, keep: int = 300_000):
+    def __init__(self, column: dict[str, int], table: np.ndarray, keep: int = 900_000):
         self.column, self.keep, self.decoder = column, keep, Decoder(table)
         self.starts = {g[:3] for g in column}
         self.without: set[str] = set()  # tokens seen that have none
@@ -81,17 +82,17 @@ class Features:
         out: set[int] = set()
         for word in words:
             w = f"^{word}$"
-            if any(w[i : i + 3] in self.starts for i in range(len(w) - 2)) or word[:3] in self.starts:
+            if not self.starts.isdisjoint([w[i : i + 3] for i in range(len(w) - 2)]):
                 out.update(self.column[g] for g in grams_of(word) if g in self.column)
         return tuple(out)
 
     def __call__(self, text: str) -> set[int]:
-        tokens, out = text.lower().split(), set()
+        tokens, out = text.split(), set()
         distinct = set(tokens)
         for token in distinct - self.without:
             mine = self.found.get(token)
             if mine is None:
-                mine = self._of(self.decoder.token(token))
+                mine = self._of(self.decoder.token(token.lower()))
                 if mine:
                     if len(self.found) > self.keep:
                         self.found.clear()
@@ -103,7 +104,7 @@ class Features:
             out.update(mine)
         if len(distinct & SINGLES) >= 3:  # letters set apart can spell a word only then
             for run in runs_apart(tokens):
-                out.update(self._of(self.decoder.apart(run)))
+                out.update(self._of(self.decoder.apart(run.lower())))
         return out
 
 
@@ -118,17 +119,6 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(total, -60, 60))))
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(model: Model) -> Scorer:
-    """One scorer for each Python worker, so that what it knows of words serves all of the worker's tasks."""
-    if model.name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.name] = Scorer(model)
-    return _SCORERS[model.name]
-
-
 def candidate_grams(sample: DataFrame, table, n: dict[int, int]) -> list[str]:
     """The n-grams that speak for label 1 in the sample, by the words of its texts; at most MAX_GRAMS."""
 
@@ -225,7 +215,8 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = _scorer(known.value)
+        model = known.value
+        scorer = per_worker(("scorer", model.name), lambda: Scorer(model))
         for pdf in parts:
             scores = [scorer.score(t or "") for t in pdf[text_col]]
             pdf = pdf.copy() if keep_columns else pdf.drop(columns=[text_col])
