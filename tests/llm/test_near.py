@@ -153,6 +153,40 @@ def test_fenwick_and_chains():
     assert [(0, 100), (5, 105), (9, 109), (20, 118)] in found and sum(map(len, found)) == 6
 
 
+def test_chains_equal_brute_force():
+    r = random.Random(12)
+    cost = 0.25 / 12
+
+    def worth(chain):
+        return len(chain) - cost * sum(c - a + d - b for (a, b), (c, d) in zip(chain, chain[1:]))
+
+    for _ in range(300):
+        side = r.choice([20, 150, 600])
+        anchors = sorted({(r.randrange(side), r.randrange(side)) for _ in range(r.randint(1, 60))} | {(i, i + 5) for i in range(0, r.randint(0, side), 6)})
+        best = {}
+        for x, y in anchors:
+            best[x, y] = 1.0 + max([0.0, *(w - cost * (x - a + y - b) for (a, b), w in best.items() if 0 < x - a <= 60 and 0 < y - b <= 60)])
+        found = chains(anchors)
+        assert sorted(a for c in found for a in c) == anchors
+        assert all(0 < c - a <= 60 and 0 < d - b <= 60 for chain in found for (a, b), (c, d) in zip(chain, chain[1:]))
+        assert abs(max(map(worth, found)) - max(best.values())) < 1e-9
+
+
+@pytest.mark.parametrize("first, gap, second", [(60, 80, 60), (100, 80, 60), (200, 300, 60)])
+def test_chains_after_a_gap(first, gap, second):
+    places = [*range(0, first, 6), *range(first + gap, first + gap + second, 6)]
+    assert sorted(map(len, chains([(x, x + 3) for x in places]))) == sorted([len(range(0, first, 6)), second // 6])
+
+
+def test_two_passages_of_a_pair(spark):
+    r = random.Random(13)
+    say = lambda n: " ".join(f"{r.random():.12f}" for _ in range(n))
+    a, b, c = say(100), say(60), say(70)
+    docs = [(1, " ".join([a, say(90), b, say(300), c])), (2, " ".join([say(5), a, say(80), b, say(310), c]))]
+    got = repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((x["start"], x["stop"], x["ref_start"], x["ref_stop"]) for x in got) == [(5, 105, 0, 100), (185, 245, 190, 250), (555, 625, 550, 620)]
+
+
 def test_seeds_meet():
     r = random.Random(5)
     a = np.array([r.getrandbits(64) for _ in range(300)], np.uint64)
