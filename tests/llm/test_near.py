@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tidemark.llm import simhash
+from tidemark.llm import passages, simhash
 from tidemark.llm.bit_sliced import digits, search_shard, top_k
 from tidemark.llm.components import components
 from tidemark.llm.line_dedup import dedup_lines, within_one
@@ -155,7 +155,7 @@ def test_fenwick_and_chains():
 
 def test_chains_equal_brute_force():
     r = random.Random(12)
-    cost = 0.25 / 12
+    cost = passages.GAP_COST / (2 * passages.K)
 
     def worth(chain):
         return len(chain) - cost * sum(c - a + d - b for (a, b), (c, d) in zip(chain, chain[1:]))
@@ -215,6 +215,45 @@ def test_repeated_passages(spark):
     assert repeated_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_matches_are_longest(monkeypatch):
+    r = random.Random(14)
+    for _ in range(200):
+        a, b = ([r.choice("abcdefgh"[: r.randint(2, 8)]) for _ in range(r.randint(0, 30))] for _ in "ab")
+        before = [0] * (len(b) + 1)
+        for word in a:
+            now = [0]
+            for j, other in enumerate(b):
+                now.append(before[j] + 1 if word == other else max(now[j], before[j + 1]))
+            before = now
+        found = passages.matches(a, b)
+        assert len(found) == before[-1] and all(a[i] == b[j] for i, j in found)
+        assert all(i < k and j < m for (i, j), (k, m) in zip(found, found[1:]))
+    monkeypatch.setattr(passages, "BLOCK", 64)
+    a = [str(i) for i in range(1000)]
+    b = [w if i % 5 else "x" for i, w in enumerate(a)]
+    assert passages.matches(a, b) == [(i, i) for i in range(1000) if i % 5]
+
+
+def test_fuzzy_passages_are_found(spark):
+    r = random.Random(15)
+    new = lambda: f"{r.random():.12f}"
+    docs, want = [], {}
+    changes = [("each tenth", 60, lambda i: i % 10 == 9), ("each sixth", 200, lambda i: i % 6 == 5), ("each fifth", 61, lambda i: i % 5 == 0 and 0 < i < 60), ("9 and 50", 60, lambda i: i in (9, 50))]
+    changes += [(f"{share:.2f} at random", n, None) for share in (0.95, 0.9, 0.85, 0.8) for n in (60, 100) for _ in range(5)]
+    for k, (_, n, at) in enumerate(changes):
+        passage = [new() for _ in range(n)]
+        gone = {i for i in range(n) if at(i)} if at else set(r.sample(range(1, n - 1), round(n * (1 - float(_[:4])))))
+        copy = [new() if i in gone else w for i, w in enumerate(passage)]
+        while not at and any(2 * sum(i in gone for i in part) > len(part) for m in range(1, n) for part in (range(m), range(n - m, n))):
+            gone = set(r.sample(range(1, n - 1), len(gone)))
+            copy = [new() if i in gone else w for i, w in enumerate(passage)]
+        docs += [(k, " ".join([*(new() for _ in range(90)), *passage, *(new() for _ in range(90))])), (1000 + k, " ".join([*(new() for _ in range(50)), *copy, *(new() for _ in range(90))]))]
+        edge = [i for i in range(n) if i not in gone]
+        want[1000 + k] = (k, 50 + edge[0], 50 + edge[-1] + 1, n - len(gone))
+    got = repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {x["doc_id"]: (x["ref_doc_id"], x["start"], x["stop"], x["n_equal"]) for x in got} == want and len(got) == len(want)
+
+
 # --- top-k
 
 
