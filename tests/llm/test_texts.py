@@ -211,6 +211,31 @@ def test_long_chain_of_calls(spark):
     assert got == {f"c{i}": i for i in range(300)}
 
 
+def test_calls_that_wait_for_several(spark):
+    r = random.Random(8)
+    want, calls = {}, []
+    for conv in range(12):
+        n = r.randint(1, 25)
+        after = {i: sorted(set(r.choices(range(i), k=r.choice([0, 1, 1, 2, 3])))) if i else [] for i in range(n)}
+        if conv % 3 == 0 and n > 4:
+            after[2] = [0, n - 1]
+            after[n - 1] = [2]
+        level = {}
+        for _ in range(n):
+            level |= {i: max([-1, *(level[k] for k in a)]) + 1 for i, a in after.items() if all(k in level for k in a)}
+        want |= {(conv, f"c{i}"): level.get(i, -1) for i in after}
+        for i, a in after.items():
+            calls.append((conv, f"c{i}", json.dumps([f"c{k}" for k in a] + ["gone"]) if len(a) != 1 else f"c{a[0]}", "add", "{}"))
+    c = spark.createDataFrame(calls, "conv_id long, call_id string, after string, name string, arguments string")
+    none = spark.createDataFrame([], "conv_id long, call_id string, seq long, content string")
+    got = link_calls(c, none, SCHEMAS).collect()
+    assert {(x["conv_id"], x["call_id"]): x["level"] for x in got} == want
+    assert {(x["conv_id"], x["call_id"]) for x in got if x["status"] == "circle"} == {k for k, v in want.items() if v == -1} != set()
+    turns = [(1, 0, "assistant", json.dumps({"id": x, "name": "add", "arguments": {}, "after": a})) for x, a in [("a", None), ("b", "a"), ("c", ["a", "b"])]]
+    calls, _ = calls_of_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    assert {x["call_id"]: x["level"] for x in link_calls(calls, none, SCHEMAS).collect()} == {"a": 0, "b": 1, "c": 2}
+
+
 def test_calls_of_turns(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 2, "assistant", '{"id": "t1", "name": "add", "arguments": {"a": 1}}'), (1, 3, "tool", '{"tool_call_id": "t1", "content": "ok"}'), (None, 0, "user", "x"), (2, None, "user", "x"), (3, 0, None, None)]
     calls, results = calls_of_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))

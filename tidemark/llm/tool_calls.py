@@ -90,24 +90,68 @@ def calls_of_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, level: how many calls stand before each, by doubling; -1 in a circle.
+def waits(calls: DataFrame) -> DataFrame:
+    """conv_id, call_id, after: one row for each call that a call waits for; of repeated calls, all that any of them waits for.
+
+    `after` is an identifier, a JSON list of identifiers as text, or an array.
+    """
+    after = F.col("after")
+    if calls.schema["after"].dataType.typeName() != "array":
+        text = after.cast("string")
+        parsed = F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>"))
+        after = F.coalesce(parsed, F.array(text))
+    return calls.select("conv_id", "call_id", F.explode(after).alias("after")).dropna().distinct()
 
-    A call waits for at most one other; one that waits for a call that isn't there waits for none.
-    After r rounds each call knows its 2^r-th predecessor, so the rounds grow with the logarithm of
-    the longest line; a call that still has one when no line can be longer is in, or behind, a circle.
+
+def levels(calls: DataFrame) -> DataFrame:
+    """conv_id, call_id, level: calls on the longest way to each; -1 in, or behind, a circle.
+
+    A call that waits for a call that isn't there doesn't wait for it. Lines of calls that wait for one
+    other each are followed by doubling up to their head, a call that waits for none or for several:
+    after r rounds each call knows its 2^r-th predecessor or its head, so the rounds grow with the
+    logarithm of the longest line; what has no head when no line can be longer is in, or behind, a
+    circle. The heads that wait for several get their levels in rounds of join and maximum, each taking
+    those whose predecessors all have theirs; there are as many rounds as such calls on the longest way.
     """
     key = ["conv_id", "call_id"]
-    known = calls.groupBy(*key).agg(F.min("after").alias("after"))
-    there = known.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("there"))
-    now = known.join(there, ["conv_id", "after"], "left").select(*key, F.when(F.col("there"), F.col("after")).alias("up"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("level"))
+    nodes = written(calls.select(*key).distinct(), "calls")
+    edges = written(waits(calls).join(nodes.withColumnRenamed("call_id", "after"), ["conv_id", "after"], "left_semi").select(*key, "after"), "waits")
+    ups = edges.groupBy(*key).agg(F.count("*").alias("n"), F.min("after").alias("after"))
+    single, several = F.col("n") == 1, F.coalesce(F.col("n") > 1, F.lit(False))
+    # a call with a head: up is null, head is set
+    now = nodes.join(ups, key, "left").select(
+        *key, several.alias("several"), F.when(single, F.col("after")).alias("up"), F.when(single, None).otherwise(F.col("call_id")).alias("head"), F.when(single, 1).otherwise(0).cast("long").alias("level")
+    )
     now = written(now, "levels")
     reach, n = 1, now.count()
     while reach <= n and not now.where(F.col("up").isNotNull()).isEmpty():
-        above = now.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("further"), F.col("level").alias("more"))
-        now = written(now.join(above, ["conv_id", "up"], "left").select(*key, F.col("further").alias("up"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")), "levels")
+        above = now.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("further"), F.col("head").alias("top"), F.col("level").alias("more"))
+        now = written(
+            now.join(above, ["conv_id", "up"], "left").select(*key, "several", F.col("further").alias("up"), F.coalesce("head", "top").alias("head"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")),
+            "levels",
+        )
         reach *= 2
-    return now.select(*key, F.when(F.col("up").isNull(), F.col("level")).otherwise(-1).alias("level"))
+    heads = now.where("several").select(*key)
+    if heads.isEmpty():
+        return now.select(*key, F.when(F.col("head").isNotNull(), F.col("level")).otherwise(-1).alias("level"))
+    # what heads wait for, as far as the heads above; base is the level of such a head, once it has one
+    above = now.select("conv_id", F.col("call_id").alias("after"), F.col("head").alias("above"), (F.col("level") + 1).alias("steps"))
+    late = heads.select("conv_id", F.col("call_id").alias("above"), F.lit(True).alias("late"))
+    rest = edges.join(heads, key, "left_semi").join(above, ["conv_id", "after"]).join(late, ["conv_id", "above"], "left")
+    rest = rest.select(*key, "above", "steps", F.when(F.col("above").isNotNull() & F.col("late").isNull(), 0).cast("long").alias("base"))
+    rest, done = written(rest, "rest"), heads.limit(0).withColumn("base", F.lit(0).cast("long"))
+    while True:
+        fresh = rest.groupBy(*key).agg(F.max(F.col("base") + F.col("steps")).alias("base"), F.count("*").alias("n"), F.count("base").alias("known")).where("n = known").select(*key, "base")
+        fresh = written(fresh, "fresh")
+        if fresh.isEmpty():
+            break
+        done = done.union(fresh)
+        found = fresh.select("conv_id", F.col("call_id").alias("above"), F.col("base").alias("found"))
+        rest = rest.join(fresh, key, "left_anti").join(found, ["conv_id", "above"], "left")
+        rest = written(rest.select(*key, "above", "steps", F.coalesce("base", "found").alias("base")), "rest")
+    late = heads.join(done, key, "left").select("conv_id", F.col("call_id").alias("head"), F.lit(True).alias("late"), "base")
+    level = F.when(F.col("head").isNull() | F.col("late") & F.col("base").isNull(), -1).otherwise(F.col("level") + F.coalesce("base", F.lit(0)))
+    return now.join(late, ["conv_id", "head"], "left").select(*key, level.alias("level"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
