@@ -11,7 +11,7 @@ from tidemark.llm.deobfuscate import BUCKETS, Decoder, trigram_counts
 from tidemark.llm.fm_index import FMIndex, WaveletMatrix, digest, find_phrases
 from tidemark.llm.html_text import extract_text, main_text
 from tidemark.llm.tool_calls import calls_of_turns, link_calls
-from tidemark.llm.toxicity import score_texts, train
+from tidemark.llm.toxicity import Features, score_texts, train
 from tidemark.llm.url_rules import HostRule, ShiftAnd, judge_urls
 
 # --- FM-index
@@ -151,6 +151,21 @@ def test_decoder():
     assert d.token("hello") == ("hello",) and d.token("12345") == ("12345",) and d.words("") == set()
 
 
+def test_decoder_reads_every_word():
+    counts = trigram_counts(Counter({"idiot": 50, "worthless": 50, "shithead": 50, "people": 80, "all": 80, "hello": 60, "good": 60, "fat": 40, "you": 90}))
+    table = np.zeros(BUCKETS, np.int64)
+    for slot, n in counts.items():
+        table[slot] = n
+    d = Decoder(table)
+    assert "worthless" in d.token("w0r7h1355") and "shithead" in d.token("5h17h34d") and "idiot" in d.token("id" + "i" * 3 + "o" * 60 + "t") and "idiot" in d.token("iiddiioott")
+    assert "hello" in d.token("hello") and "good" in d.token("good,") and d.token("2024") == ("2024",)
+    assert "fat" in d.words("you f a t people") and "idiot" in d.words("you i d i o t.") and "idiot" in d.words("I D I O T!")
+    assert len(d.token("a1" * 20_000)[0]) == 40_000
+    column = {"^idiot$": 0, "^fat$": 1}
+    for text in ("f a t", "so f a t, f a t.", "i d i o t."):  # what is fitted and what is scored is read alike
+        assert Features(column, table)(text) == {column[f"^{w}$"] for w in d.words(text) if f"^{w}$" in column} != set()
+
+
 def test_toxicity(spark):
     r = random.Random(8)
     clean = [f"{a}{b}" for a in ("ta", "re", "mo", "li") for b in ("nd", "ra", "sto", "ve", "ko")]

@@ -28,7 +28,9 @@ _PIECE = re.compile(rf"[^\W_]+(?:[{_SIGNS}]{{1,2}}[^\W_]+)*")
 _CORE = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
 _PLAIN = re.compile(r"[^\W\d_]+")
 _MARKS = ".,;:?\"'()"  # no letters are read into these at a word's edge
-_RUN = re.compile(r"([^\W\d_])\1\1")
+_EDGES = _MARKS + "!"
+_RUN = re.compile(r"([^\W\d_])\1")
+_LONG_RUN = re.compile(r"([^\W\d_])\1\1")
 
 
 def slot(gram: str) -> int:
@@ -77,9 +79,9 @@ class Decoder:
 
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The cheapest string; each place of the lattice has (letters, cost) choices, a space being a border."""
-        paths = {"^^": (0.0, "")}
+        paths: dict[str, tuple[float, tuple]] = {"^^": (0.0, ())}  # of each its cost, and its letters as (what was before, letters)
         for place in lattice:
-            best: dict[str, tuple[float, str]] = {}
+            best: dict[str, tuple[float, tuple]] = {}
             for context, (cost, done) in paths.items():
                 for chars, extra in place:
                     total, now = cost + extra, context
@@ -91,9 +93,13 @@ class Decoder:
                             total += self._cost(now + c)
                             now = now[1] + c
                     if now not in best or total < best[now][0]:
-                        best[now] = (total, done + chars)
-            paths = dict(sorted(best.items(), key=lambda x: x[1])[:BEAM])
-        return min((cost + self._cost(context + "$"), done) for context, (cost, done) in paths.items())[1]
+                        best[now] = (total, (done, chars))
+            paths = dict(sorted(best.items(), key=lambda x: (x[1][0], x[0]))[:BEAM])
+        done, out = min((cost + self._cost(context + "$"), context, done) for context, (cost, done) in paths.items())[2], []
+        while done:
+            done, chars = done
+            out.append(chars)
+        return "".join(reversed(out))
 
     def _places(self, word: str) -> list[list[tuple[str, float]]]:
         lattice, i = [], 0
@@ -105,7 +111,7 @@ class Decoder:
             if c.isdigit():
                 stands.append((c, 0.0))
             run = j - i
-            if run >= 3 and not c.isdigit():
+            if run >= 2 and not c.isdigit():
                 lattice.append([(x * k, cost + RUN_COST * (k != run)) for x, cost in stands for k in (1, 2)])
             else:
                 lattice += [stands] * run
@@ -118,12 +124,12 @@ class Decoder:
         if found is None:
             if len(self.known) > self.keep:
                 self.known.clear()
-            plain = word.isalpha() and not _RUN.search(word)
-            digits = sum(map(str.isdigit, word))
-            if plain or digits == len(word) or digits > 4 or len(word) > 40:
+            if word.isdigit() or word.isalpha() and not _RUN.search(word):
                 found = (word,)
             else:
                 found = (self.decode(self._places(word)),)
+                if found[0] != word and word.isalpha() and not _LONG_RUN.search(word):
+                    found += (word,)  # letters are doubled in plain words too
             self.known[word] = found
         return found
 
@@ -176,6 +182,13 @@ class Decoder:
 
 
 def runs_apart(tokens: list[str]) -> set[str]:
-    """The runs of four and more one-character tokens."""
-    single = bytes(map((1).__eq__, map(len, tokens)))
-    return {" ".join(tokens[m.start() : m.end()]) for m in re.finditer(rb"\x01{4,}", single)}
+    """The runs of three and more tokens of one character, not counting marks at their edges; in lower case."""
+    single = {}
+    for token in set(tokens):
+        bare = token.strip(_EDGES)
+        if len(bare) == 1 or len(token) == 1:
+            single[token] = (bare or token).lower()
+    if not single:
+        return set()
+    has = bytes(map(single.__contains__, tokens))
+    return {" ".join(map(single.__getitem__, tokens[m.start() : m.end()])) for m in re.finditer(rb"\x01{3,}", has)}
