@@ -25,15 +25,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset a local master, as in tests, gets a temporary folder of its own; on a cluster
+    that is an error, since executors would write to disks that the others don't see.
+    """
     import tempfile
 
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="spark-")
+    return _LOCAL[context.applicationId]
 
 
 def ship_package(spark: SparkSession) -> None:
