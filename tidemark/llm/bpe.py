@@ -17,11 +17,10 @@ from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import per_worker
+from tidemark.llm.common import mapped, per_worker, values_of
 
 #: States and words that a worker keeps before it starts its tables afresh; results don't depend on them.
 MAX_STATES, MAX_WORDS = 120_000, 250_000
@@ -73,7 +72,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self.states) > self.max_states:
+        if len(self.states) > self.max_states or max(len(self.pairs), len(self.alive), len(self.lists)) > 8 * self.max_states:
             self.reset()
         out: list[int] = []
         at, moves = 0, self.moves
@@ -221,36 +220,89 @@ class Transducer:
         return tuple(out[::-1])
 
 
+#: What the second byte after some leads may be (no overlong forms, surrogates, or code points over U+10FFFF); after others 80 to BF.
+SECOND = {0xE0: (0xA0, 0xBF), 0xED: (0x80, 0x9F), 0xF0: (0x90, 0xBF), 0xF4: (0x80, 0x8F)}
+
+
+def utf8_table() -> tuple[list[list[int]], list[int]]:
+    """States by byte and the bytes that each state still needs.
+
+    State 0 is between characters; a state stands for a lead's kind and how many bytes are to come. A move of
+    -1 is a byte that the state can't take.
+    """
+    kinds: dict[tuple[int, int, int], int] = {(0x00, 0x00, 0): 0}  # (least and greatest next byte, bytes needed)
+    moves: list[list[int]] = [[-1] * 256]
+    todo = []
+
+    def state(low: int, high: int, need: int) -> int:
+        if (low, high, need) not in kinds:
+            kinds[low, high, need] = len(moves)
+            moves.append([-1] * 256)
+            todo.append((low, high, need))
+        return kinds[low, high, need]
+
+    for byte in range(256):
+        if byte < 0x80:
+            moves[0][byte] = 0
+        elif 0xC2 <= byte <= 0xF4:
+            moves[0][byte] = state(*SECOND.get(byte, (0x80, 0xBF)), 1 if byte < 0xE0 else 2 if byte < 0xF0 else 3)
+    while todo:
+        low, high, need = key = todo.pop()
+        for byte in range(low, high + 1):
+            moves[kinds[key]][byte] = state(0x80, 0xBF, need - 1) if need > 1 else 0
+    return moves, [need for _, _, need in kinds]
+
+
 class Utf8Stream:
-    """Incremental UTF-8: feed bytes in any cut, get text as soon as its last byte is there.
+    """Incremental UTF-8 by a table of states over bytes: feed bytes in any cut, get text as soon as its last byte is there.
 
-    The state is the bytes of the character begun (at most three). A malformed byte gives U+FFFD.
+    Held between calls are the state and the bytes of the character begun (at most three). Bytes that can't go on
+    give one U+FFFD for each longest start of a character, as the Unicode standard recommends.
     """
 
+    MOVES, NEED = utf8_table()
+    #: Bytes that leave state 0 as it is need no step of the machine.
+    _ASCII = bytes(range(128))
+
     def __init__(self):
-        self.begun = b""
-
-    @staticmethod
-    def _open(tail: bytes) -> int:
-        """How many last bytes belong to a character that is not complete."""
-        for back in range(1, min(3, len(tail)) + 1):
-            lead = tail[-back]
-            if lead >= 0xC0:
-                need = 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-                return back if need > back else 0
-            if lead < 0x80:
-                return 0
-        return 0
+        self.state, self.code = 0, 0
 
     def feed(self, data: bytes) -> str:
-        data = self.begun + data
-        cut = len(data) - self._open(data)
-        self.begun = data[cut:]
-        return data[:cut].decode("utf-8", "replace")
+        if not self.state and data.isascii():
+            return data.decode("ascii")
+        out, moves, state, code, at = [], self.MOVES, self.state, self.code, 0
+        size = len(data)
+        while at < size:
+            if not state:  # a stretch of plain bytes at once
+                rest = data[at:].lstrip(self._ASCII) if data[at] < 0x80 else None
+                if rest is not None:
+                    to = size - len(rest)
+                    out.append(data[at:to].decode("ascii"))
+                    at = to
+                    continue
+            byte = data[at]
+            to = moves[state][byte]
+            if to < 0:
+                out.append("\ufffd")
+                if not state:
+                    at += 1
+                state = code = 0  # a byte that broke off a character is read again on its own
+                continue
+            if not state:
+                code = byte & (0x1F if byte < 0xE0 else 0x0F if byte < 0xF0 else 0x07)
+            else:
+                code = code << 6 | byte & 0x3F
+            state = to
+            at += 1
+            if not state:
+                out.append(chr(code))
+                code = 0
+        self.state, self.code = state, code
+        return "".join(out)
 
     def finish(self) -> str:
-        rest, self.begun = self.begun, b""
-        return rest.decode("utf-8", "replace")
+        broken, self.state, self.code = self.state, 0, 0
+        return "\ufffd" if broken else ""
 
 
 class _Words(dict):
@@ -306,30 +358,28 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     """One row for each row of df: id, n_tokens, ids_sha256, decoded_sha256, round_trip, and with with_ids the ids.
 
     A null text counts as empty: no tokens and the hashes of empty strings. Long texts are encoded
-    whole, piece by piece; repeated rows and null ids are kept; an empty table gives an empty result.
-    The rank file is read on the driver and broadcast (a vocabulary is bounded: one entry a token).
+    whole, piece by piece; repeated rows and null ids are kept, ids exactly; other columns are left out,
+    whatever their names; an empty table gives an empty result. The rank file is read on the driver and
+    broadcast (a vocabulary is bounded: one entry a token).
     """
     spark: SparkSession = df.sparkSession
     ranks, name = spark.sparkContext.broadcast(read_ranks(ranks_path)), uuid.uuid4().hex
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator) -> Iterator[tuple]:
         codec = per_worker(("codec", name, pattern, split_at_space), lambda: Codec(ranks.value, pattern, split_at_space))
         names = {rank: str(rank) for rank in codec.tokens}
         sha = hashlib.sha256
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for key, text in zip(pdf[id_col], pdf["_text"]):
+            for text in values_of(batch, "_text"):
                 ids = codec.encode(text)
                 decoded, same, at = sha(), True, 0
                 for data, piece in codec.decode_stream(ids):
                     decoded.update(data)
                     same &= text.startswith(piece, at)
                     at += len(piece)
-                rows.append((key, len(ids), sha(" ".join(map(names.__getitem__, ids)).encode()).hexdigest(), decoded.hexdigest(), same and at == len(text), *([ids] if with_ids else [])))
-            yield pd.DataFrame(rows, columns=out_names).astype({id_col: pdf[id_col].dtype})
-
-    out_names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "round_trip", *(["ids"] if with_ids else [])]
-    part = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    kind = dict(part.dtypes)[id_col]
-    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean" + ", ids array<int>" * with_ids
-    return part.mapInPandas(run, schema)
+                rows.append((len(ids), sha(" ".join(map(names.__getitem__, ids)).encode()).hexdigest(), decoded.hexdigest(), same and at == len(text), *([ids] if with_ids else [])))
+            yield batch, dict(zip(adds, zip(*rows) if rows else [[]] * len(adds)))
+
+    adds = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "round_trip": "boolean"} | ({"ids": "array<int>"} if with_ids else {})
+    return mapped(df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text")), run, adds, keep=[id_col])

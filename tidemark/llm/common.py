@@ -1,36 +1,38 @@
-"""What several corpus operators share: intermediate tables and input columns."""
+"""What several corpus operators share: intermediate tables, columns carried unaltered, and input columns."""
 
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
+from tidemark.session import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and outlives lost executors.
 
-    The table is removed when the driver's process ends.
+    The table is removed by dropped(), or else when the driver's process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables of written() that nothing reads any more."""
+    for table in tables:
+        _remove(table.sparkSession, table._written_path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -41,6 +43,37 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator], Iterator[tuple]], adds: Mapping[str, str], keep: Sequence[str] | None = None) -> DataFrame:
+    """df's columns (or those of `keep`) as they are, and the columns `adds` (name to SQL type) that run makes.
+
+    run turns an iterator of Arrow batches into (batch or slice of one, {name: values}) pairs. Columns
+    are carried as Arrow holds them, so longs beside nulls stay exact. A column of df whose name is in
+    `adds` gets run's values.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kept = list(df.columns if keep is None else keep)
+    new = T.StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in adds.items()))
+    kinds = {f.name: to_arrow_type(f.dataType) for f in new}
+    places = {n: df.columns.index(n) for n in kept if n not in adds}
+    order = [*kept, *[n for n in adds if n not in kept]]
+
+    def batches(parts):
+        import pyarrow as pa
+
+        for batch, values in run(parts):
+            arrays = [batch.column(places[n]) if n in places else pa.array(values[n], kinds[n]) for n in order]
+            yield pa.RecordBatch.from_arrays(arrays, names=order)
+
+    schema = T.StructType([df.schema[n] if n in places else new[n] for n in order])
+    return df.mapInArrow(batches, schema)
+
+
+def values_of(batch, name: str) -> list:
+    """A column of an Arrow batch as a list."""
+    return batch.column(batch.schema.names.index(name)).to_pylist()
+
+
 def ascii_lower(col):
     """A-Z to a-z, every other character kept."""
     return F.translate(col, UPPER, UPPER.lower())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import dropped, written
 
 
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -14,12 +14,13 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     Rounds of large-star and small-star: each node's larger neighbours, then its smaller ones, are
     tied to the least node around it, until every edge points at its component's least node. The
     number of rounds grows with the logarithm of the longest path. Null ends are left out; loops and
-    repeated edges are allowed; no edges give no rows. Each round is written, so lineage stays short.
+    repeated edges are allowed; no edges give no rows. Each round is written, so lineage stays
+    short, and the table of the round before removed.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).dropna().distinct()
     nodes = e.select(F.col("u").alias("node")).union(e.select("v")).distinct()
     e = e.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    before = None
+    before = last = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: larger neighbours go to the least of the node and its neighbours
@@ -29,6 +30,9 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         e = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         e = written(e, "stars")
+        if last is not None:
+            dropped(last)
+        last = e
         # stable when a round changes nothing: same rows, by count and an order-free sum of hashes
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

@@ -14,10 +14,10 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.llm.common import mapped, values_of, written
 
 #: A-Z lowered, every other ASCII byte that is no word character a space; bytes of other characters kept.
 _WORD_BYTES = bytes(b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -25,8 +25,10 @@ _WORD_BYTES = bytes(b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Positions kept for every so many suffixes; words that a shard holds at most before it is searched.
 SAMPLE, SHARD_WORDS = 8, 2_000_000
-#: Text of the benchmark, in bytes, that one pass over the corpus takes (its phrases are broadcast).
+#: Text of the benchmark, in bytes, that one pass over the corpus takes about (its phrases are broadcast).
 PASS_BYTES = 4 << 20
+#: Passes in one job; after so many, what has been found is written and read again.
+PASSES_AT_ONCE = 8
 
 
 def words_of(text: str) -> list[bytes]:
@@ -168,73 +170,102 @@ class ShardSearch:
         yield from zip(spans, items)
 
 
-def _shards(parts: Iterator[pd.DataFrame], text_col: str, search: ShardSearch) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
-    """Rows in runs of at most about SHARD_WORDS words; a longer document is a shard of its own."""
-    for pdf in parts:
+def _shards(parts: Iterator, text_col: str, search: ShardSearch) -> Iterator[tuple]:
+    """Batches, or slices of them, of at most about SHARD_WORDS words with their documents; a longer document is a shard of its own."""
+    for batch in parts:
         docs, begin, held = [], 0, 0
-        for k, text in enumerate(pdf[text_col]):
+        for k, text in enumerate(values_of(batch, text_col)):
             docs.append(search.coded(words_of(text) if text is not None else []))
             held += len(docs[-1])
             if held >= SHARD_WORDS:
-                yield pdf.iloc[begin : k + 1], docs
+                yield batch.slice(begin, k + 1 - begin), docs
                 docs, begin, held = [], k + 1, 0
         if docs:
-            yield pdf.iloc[begin:], docs
+            yield batch.slice(begin), docs
+
+
+FOUND = {"n_words": "long", "hit_spans": "array<struct<start:int,end:int>>", "hit_items": "array<string>"}
+
+
+def item_parts(benchmark: DataFrame, size: int, item_col: str, text_col: str, part_bytes: int) -> DataFrame:
+    """item (as a string), part and text: items of over part_bytes are cut into parts that overlap by size - 1 words, so no phrase is lost."""
+
+    def run(parts: Iterator) -> Iterator[tuple]:
+        import pyarrow as pa
 
+        for batch in parts:
+            items, texts = [], []
+            for item, text in zip(values_of(batch, "item"), values_of(batch, "text")):
+                words = words_of(text) if len(text) * 4 > part_bytes else []
+                if not words:
+                    items.append(item)
+                    texts.append(text)
+                    continue
+                begin = 0
+                while True:
+                    end, held = begin, 0
+                    while end < len(words) and (held < part_bytes or end - begin < size):
+                        held += len(words[end]) + 1
+                        end += 1
+                    items.append(item)
+                    texts.append(b" ".join(words[begin:end]).decode("utf-8", "surrogatepass"))
+                    if end == len(words):
+                        break
+                    begin = end - size + 1
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.string()), pa.array(range(len(items)), pa.int32())], names=["item", "text", "part"])
 
-FOUND = [
-    T.StructField("n_words", T.LongType()),
-    T.StructField("hit_spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
-    T.StructField("hit_items", T.ArrayType(T.StringType())),
-]
+    known = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).dropna()
+    return known.mapInArrow(run, "item string, text string, part int")
 
 
 def find_phrases(df: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pass_bytes: int = PASS_BYTES, cut: bool = False) -> DataFrame:
     """df with n_words, hit_spans (merged word spans) and hit_items (sorted item ids as strings).
 
     A phrase is `size` consecutive words of an item, or the whole of a shorter item. Items are read in
-    blocks of at most pass_bytes of text, so what is broadcast is bounded; each block is one more
-    narrow step over the corpus, without a shuffle. With cut, each hit span is taken out of the text,
-    from its first letter to its last; other texts stay as they are. Null or empty texts and items have no words;
-    repeated rows are judged each on its own; extra columns pass through; columns of the three new
-    names are replaced; an empty corpus or benchmark gives no hits.
+    blocks of about pass_bytes of text, longer items in overlapping parts, so what is broadcast is
+    bounded; each block is one more narrow step over the corpus, without a shuffle, and after every
+    PASSES_AT_ONCE blocks the hits so far are written. With cut, each hit span is taken out of the text,
+    from its first letter to its last; other texts stay as they are. Null or empty texts and items have
+    no words; an item without an id can't be reported and isn't searched for; very long texts are
+    shards of their own; repeated rows are judged each on its own; ids and extra columns pass through
+    exactly; columns of the three new names are replaced; an empty corpus or benchmark gives no hits.
     """
-    bytes_of = F.sum(F.coalesce(F.octet_length(item_text_col), F.lit(0)))
-    total = benchmark.agg(bytes_of.alias("n")).first()["n"] or 0
+    part_bytes = max(1, pass_bytes // 4)
+    parts = item_parts(benchmark, size, item_col, item_text_col, part_bytes)
+    total = parts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-total // pass_bytes))
-    out = df.drop("n_words", "hit_spans", "hit_items")
+    out = df.drop(*FOUND)
+    if blocks > 1:
+        parts = written(parts, "items")
     for block in range(blocks):
-        part = benchmark.where(F.pmod(F.xxhash64(F.col(item_col)), F.lit(blocks)) == block)
-        items = [(str(r[0]), r[1]) for r in part.select(item_col, item_text_col).dropna().collect()]
+        mine = parts if blocks == 1 else parts.where(F.pmod(F.xxhash64("item", "part", "text"), F.lit(blocks)) == block)
+        items = [(r["item"], r["text"]) for r in mine.select("item", "text").collect()]  # about pass_bytes
+        if block and block % PASSES_AT_ONCE == 0:
+            out = written(out, "hits")
         out = _one_block(out, items, size, text_col, first=block == 0, cut=cut and block == blocks - 1)
     return out
 
 
 def _one_block(df: DataFrame, items: list[tuple[str, str]], size: int, text_col: str, first: bool, cut: bool) -> DataFrame:
-    symbols, phrases = phrases_of(items, size)
-    known = df.sparkSession.sparkContext.broadcast((symbols, phrases))
-    kept = df.columns
+    known = df.sparkSession.sparkContext.broadcast(phrases_of(items, size))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator) -> Iterator[tuple]:
         search = ShardSearch(*known.value)
-        for pdf, docs in _shards(parts, text_col, search):
-            pdf = pdf.copy()
+        for batch, docs in _shards(parts, text_col, search):
             found = list(search.hits(docs))
             if first:
-                pdf["n_words"] = [len(d) for d in docs]
-                pdf["hit_spans"] = [[{"start": a, "end": b} for a, b in spans] for spans, _ in found]
-                pdf["hit_items"] = [sorted(items) for _, items in found]
+                new = {"n_words": [len(d) for d in docs], "hit_spans": [[{"start": a, "end": b} for a, b in spans] for spans, _ in found], "hit_items": [sorted(items) for _, items in found]}
             else:
-                pdf["hit_spans"] = [_merged([(s["start"], s["end"]) for s in old] + spans) for old, (spans, _) in zip(pdf["hit_spans"], found)]
-                pdf["hit_items"] = [sorted({*old, *items}) for old, (_, items) in zip(pdf["hit_items"], found)]
+                new = {
+                    "n_words": values_of(batch, "n_words"),
+                    "hit_spans": [_merged([(s["start"], s["end"]) for s in old] + spans) for old, (spans, _) in zip(values_of(batch, "hit_spans"), found)],
+                    "hit_items": [sorted({*old, *items}) for old, (_, items) in zip(values_of(batch, "hit_items"), found)],
+                }
             if cut:
-                pdf[text_col] = [without(t, s) if len(s) else t for t, s in zip(pdf[text_col], pdf["hit_spans"])]
-            yield pdf
+                new[text_col] = [without(t, s) if s else t for t, s in zip(values_of(batch, text_col), new["hit_spans"])]
+            yield batch, new
 
-    schema = T.StructType([f for f in df.schema if f.name in kept])
-    if first:
-        schema = T.StructType([*schema, *FOUND])
-    return df.mapInPandas(run, schema)
+    return mapped(df, run, FOUND | ({text_col: "string"} if cut else {}))
 
 
 def without(text: str, spans: list[dict]) -> str:

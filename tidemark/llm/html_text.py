@@ -12,10 +12,11 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import mapped, values_of
+
 #: Frequent words of the corpus languages (English, French, German, Spanish); fixed values.
 STOP_WORDS = frozenset(
     """a an and are as at be by for from in is it of on or that the this to was with
@@ -170,11 +171,10 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     as far as it goes; repeated rows, null ids and null urls are kept; an empty table gives no rows.
     """
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            texts = [main_text(page) for page in pdf["_html"]]
-            yield pdf.drop(columns="_html").assign(text=texts, n_chars=list(map(len, texts)))
+    def run(parts: Iterator) -> Iterator[tuple]:
+        for batch in parts:
+            texts = [main_text(page) for page in values_of(batch, "_html")]
+            yield batch, {"text": texts, "n_chars": list(map(len, texts))}
 
-    part = df.select(F.col(id_col), F.col(url_col), F.col(html_col).alias("_html"))
-    kinds = dict(part.dtypes)
-    return part.mapInPandas(run, f"`{id_col}` {kinds[id_col]}, `{url_col}` string, text string, n_chars long")
+    part = df.select(F.col(id_col), F.col(url_col).cast("string").alias(url_col), F.col(html_col).alias("_html"))
+    return mapped(part, run, {"text": "string", "n_chars": "long"}, keep=[id_col, url_col])

@@ -6,11 +6,10 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower
+from tidemark.llm.common import ascii_lower, mapped, values_of
 
 #: Stands between host and path in the canonical form; one in an url is read as U+FFFD.
 BORDER = "￿"
@@ -34,8 +33,8 @@ class HostRule:
 
 
 def host_glob(pattern: str) -> list[str]:
-    """A glob over the host (* any run, ? any one character); any path fits."""
-    return [*pattern, BORDER, "*"]
+    """A glob over the whole host (* any run, ? any one character); any path fits."""
+    return [".", *pattern, BORDER, "*"]  # the canonical form begins with a dot
 
 
 class ShiftAnd:
@@ -106,23 +105,23 @@ def judge_urls(df: DataFrame, rules: Sequence[HostRule], block_globs: Sequence[s
     """One row for each row of df: id, host, path, the longest host rule that fits, and a verdict.
 
     Where no host rule fits, the verdict is "block" if a glob over the host fits, else "allow". Null
-    urls and those without "://" have an empty host and path, and so are allowed. Repeated rows and
-    null ids are kept as they are; an empty table gives an empty result; other columns are ignored.
+    urls and those without "://" have an empty host and path, and so are allowed. Very long urls are
+    read whole, one step a character for all rows of a batch together. Repeated rows and null ids are
+    kept as they are, ids exactly; of rules as long the first by text wins; an empty table gives an
+    empty result; other columns are left out, whatever their names.
     """
     by_length = sorted(rules, key=lambda r: (-len(r.text), r.text))
     automaton = ShiftAnd([*(r.glob() for r in by_length), *map(host_glob, block_globs)])
-    names = np.array([r.text for r in by_length] + [None], dtype=object)
-    verdicts = np.array([r.verdict for r in by_length] + ["allow", "block"], dtype=object)
+    names = [*(r.text for r in by_length), None]
+    verdicts = [*(r.verdict for r in by_length), "allow", "block"]
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [f".{h}{BORDER}{p}" for h, p in zip(pdf["host"].str.replace(BORDER, "�"), pdf["path"].str.replace(BORDER, "�"))]
+    def judge(batches: Iterator) -> Iterator[tuple]:
+        for batch in batches:
+            texts = [f".{h}{BORDER}{p}" for h, p in zip(*[[x.replace(BORDER, "\ufffd") for x in values_of(batch, c)] for c in ("host", "path")])]
             hit = automaton.matches(texts)
             ruled, globbed = hit[:, : len(by_length)], hit[:, len(by_length) :].any(axis=1)
             best = np.where(ruled.any(axis=1), ruled.argmax(axis=1) if by_length else 0, len(by_length))
-            pdf["rule"] = names[best]
-            pdf["verdict"] = verdicts[best + ((best == len(by_length)) & globbed)]
-            yield pdf
+            yield batch, {"rule": [names[k] for k in best], "verdict": [verdicts[k] for k in best + ((best == len(by_length)) & globbed)]}
 
     url = F.col(url_col)
     parts = df.select(
@@ -130,5 +129,4 @@ def judge_urls(df: DataFrame, rules: Sequence[HostRule], block_globs: Sequence[s
         ascii_lower(F.coalesce(F.regexp_extract(url, _URL, 1), F.lit(""))).alias("host"),
         F.coalesce(F.regexp_extract(url, _URL, 2), F.lit("")).alias("path"),
     )
-    kind = dict(parts.dtypes)[id_col]
-    return parts.mapInPandas(judge, f"`{id_col}` {kind}, host string, path string, rule string, verdict string")
+    return mapped(parts, judge, {"rule": "string", "verdict": "string"})
