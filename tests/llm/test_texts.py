@@ -1,5 +1,7 @@
 import hashlib
+import itertools
 import json
+import math
 import random
 import re
 import zlib
@@ -7,11 +9,11 @@ from collections import Counter
 
 import numpy as np
 
-from tidemark.llm.deobfuscate import BUCKETS, Decoder, trigram_counts
+from tidemark.llm.deobfuscate import Decoder, trigram_counts, trigram_table
 from tidemark.llm.fm_index import FMIndex, WaveletMatrix, digest, find_phrases
 from tidemark.llm.html_text import extract_text, main_text
 from tidemark.llm.tool_calls import calls_of_turns, link_calls
-from tidemark.llm.toxicity import Features, score_texts, train
+from tidemark.llm.toxicity import Features, Model, Scorer, grams_of, score_texts, train
 from tidemark.llm.url_rules import HostRule, ShiftAnd, judge_urls
 
 # --- FM-index
@@ -141,9 +143,7 @@ def test_extract_text(spark):
 
 def test_decoder():
     counts = trigram_counts(Counter({"idiot": 50, "loser": 50, "people": 80, "all": 80, "hello": 60, "good": 60, "pathetic": 40, "you": 90}))
-    table = np.zeros(BUCKETS, np.int64)
-    for slot, n in counts.items():
-        table[slot] = n
+    table = trigram_table(counts.items(), len(counts))
     d = Decoder(table)
     for spelled in ("1d10t", "!d!ot", "idiooooot", "iiidiot", "id*ot", "i.d.i.o.t"):
         assert "idiot" in d.token(spelled), spelled
@@ -153,9 +153,7 @@ def test_decoder():
 
 def test_decoder_reads_every_word():
     counts = trigram_counts(Counter({"idiot": 50, "worthless": 50, "shithead": 50, "people": 80, "all": 80, "hello": 60, "good": 60, "fat": 40, "you": 90}))
-    table = np.zeros(BUCKETS, np.int64)
-    for slot, n in counts.items():
-        table[slot] = n
+    table = trigram_table(counts.items(), len(counts))
     d = Decoder(table)
     assert "worthless" in d.token("w0r7h1355") and "shithead" in d.token("5h17h34d") and "idiot" in d.token("id" + "i" * 3 + "o" * 60 + "t") and "idiot" in d.token("iiddiioott")
     assert "hello" in d.token("hello") and "good" in d.token("good,") and d.token("2024") == ("2024",)
@@ -166,6 +164,37 @@ def test_decoder_reads_every_word():
         assert Features(column, table)(text) == {column[f"^{w}$"] for w in d.words(text) if f"^{w}$" in column} != set()
 
 
+def test_decode_equals_enumeration():
+    r = random.Random(31)
+    letters = "abcdeiot"
+    counts = trigram_counts(Counter({"".join(r.choice(letters) for _ in range(r.randint(1, 6))): r.randint(1, 50) for _ in range(60)}))
+    d = Decoder(trigram_table(counts.items(), len(counts)))
+
+    def cost(path):
+        total, context = 0.0, "^^"
+        for chars, extra in path:
+            total += extra
+            for c in chars:
+                total += -math.log((counts.get(context + ("$" if c == " " else c), 0) + 0.05) / (counts.get(context + "\0", 0) + 0.05 * 64))
+                context = "^^" if c == " " else context[1] + c
+        return total - math.log((counts.get(context + "$", 0) + 0.05) / (counts.get(context + "\0", 0) + 0.05 * 64))
+
+    for _ in range(150):
+        lattice = [[("".join(r.choice(letters + " ") for _ in range(r.randint(0, 2))), r.choice([0.0, 0.5, 1.0])) for _ in range(r.randint(1, 4))] for _ in range(r.randint(1, 6))]
+        best = min(map(cost, itertools.product(*lattice)))
+        got = d.decode(lattice)
+        assert any("".join(c for c, _ in path) == got and abs(cost(path) - best) < 1e-9 for path in itertools.product(*lattice))
+
+
+def test_score_is_the_logistic_of_the_weights():
+    weights = {"^idiot$": 2.0, "idi": 0.5, "^fat$": -1.0}
+    table = trigram_table(trigram_counts(Counter({"idiot": 9, "fat": 4})).items(), 9)
+    scorer = Scorer(Model(weights, -1.5, table))
+    for text in ("", "idiot", "1d10t and idiot", "f a t", "an idiom"):
+        has = {g for w in scorer.features.decoder.words(text) for g in grams_of(w)} & set(weights)
+        assert abs(scorer.score(text) - 1 / (1 + math.exp(1.5 - sum(weights[g] for g in has)))) < 1e-12
+
+
 def test_toxicity(spark):
     r = random.Random(8)
     clean = [f"{a}{b}" for a in ("ta", "re", "mo", "li") for b in ("nd", "ra", "sto", "ve", "ko")]

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -17,11 +18,10 @@ LOOK_ALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "*": "aeiou", "#": "h", "&": "a", "%": "o",
 }
+#: Buckets of a trigram table at least; a table has several for each distinct trigram.
 BUCKETS = 1 << 18
 #: Natural-log costs of the channel: a sign read as a letter, a run of letters cut short, a border put between letters set apart.
 SIGN_COST, RUN_COST, BORDER_COST = 1.0, 0.5, 3.0
-#: Paths kept at each place of a lattice.
-BEAM = 24
 
 _SIGNS = re.escape("".join(c for c in LOOK_ALIKES if not c.isdigit()))
 _PIECE = re.compile(rf"[^\W_]+(?:[{_SIGNS}]{{1,2}}[^\W_]+)*")
@@ -33,26 +33,32 @@ _RUN = re.compile(r"([^\W\d_])\1")
 _LONG_RUN = re.compile(r"([^\W\d_])\1\1")
 
 
-def slot(gram: str) -> int:
+def slot(gram: str, buckets: int) -> int:
     """A bucket for a short string, the same in every process (FNV-1a over code points)."""
     h = 0xCBF29CE484222325
     for c in gram:
         h = ((h ^ ord(c)) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-    return (h ^ (h >> 32)) % BUCKETS
+    return (h ^ (h >> 32)) % buckets
 
 
 def trigram_counts(words: Counter) -> Counter:
-    """Counts by bucket of the trigrams, and the bigrams before them, of counted words with borders."""
+    """Counts of the trigrams, and of the bigrams before them (two letters and a null), of counted words with borders."""
     grams: Counter = Counter()
     for word, n in words.items():
         w = f"^^{word}$"
         for i in range(len(w) - 2):
             grams[w[i : i + 3]] += n
-    out: Counter = Counter()
-    for gram, n in grams.items():
-        out[slot(gram)] += n
-        out[slot(gram[:2] + "\0")] += n
-    return out
+    for gram, n in list(grams.items()):
+        grams[gram[:2] + "\0"] += n
+    return grams
+
+
+def trigram_table(grams: Iterable[tuple[str, int]], distinct: int) -> np.ndarray:
+    """Counts by bucket, with eight buckets and more for each distinct trigram, so that few share one however large the corpus is."""
+    table = np.zeros(max(BUCKETS, 1 << (8 * distinct - 1).bit_length() if distinct else 0), np.int64)
+    for gram, n in grams:
+        table[slot(gram, len(table))] += n
+    return table
 
 
 def letters(text: str) -> list[str]:
@@ -73,12 +79,16 @@ class Decoder:
         if cost is None:
             if len(self.costs) > self.keep:
                 self.costs.clear()
-            n, m = float(self.table[slot(gram)]), float(self.table[slot(gram[:2] + "\0")])
+            n, m = (float(self.table[slot(g, len(self.table))]) for g in (gram, gram[:2] + "\0"))
             cost = self.costs[gram] = -math.log((n + 0.05) / (m + 0.05 * self.alphabet))
         return cost
 
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
-        """The cheapest string; each place of the lattice has (letters, cost) choices, a space being a border."""
+        """The cheapest string; each place of the lattice has (letters, cost) choices, a space being a border.
+
+        A state is the last two letters, so a place has no more states than the last two places have pairs of
+        choices, whatever the length; none is left out. Of paths that cost the same the first by choice stays.
+        """
         paths: dict[str, tuple[float, tuple]] = {"^^": (0.0, ())}  # of each its cost, and its letters as (what was before, letters)
         for place in lattice:
             best: dict[str, tuple[float, tuple]] = {}
@@ -94,7 +104,7 @@ class Decoder:
                             now = now[1] + c
                     if now not in best or total < best[now][0]:
                         best[now] = (total, (done, chars))
-            paths = dict(sorted(best.items(), key=lambda x: (x[1][0], x[0]))[:BEAM])
+            paths = best
         done, out = min((cost + self._cost(context + "$"), context, done) for context, (cost, done) in paths.items())[2], []
         while done:
             done, chars = done
@@ -138,16 +148,13 @@ class Decoder:
         found = self.known.get(text)
         if found is None:
             chars = [c for c in text if c.isalnum() or c in LOOK_ALIKES and c not in "*"]
-            if len(chars) > 400:  # as long a run is read in parts; its words are short
-                half = len(text) // 2
-                return self.apart(text[:half]) + self.apart(text[half:])
             lattice: list[list[tuple[str, float]]] = []
             for k, c in enumerate(chars):
                 if k:
                     lattice.append([("", 0.0), (" ", BORDER_COST)])
                 lattice.append([(x, SIGN_COST) for x in LOOK_ALIKES.get(c, "")] or [(c, 0.0)])
             spelled = self.decode(lattice).split(" ")
-            found = (*spelled, "".join(spelled)) if 1 < len(spelled) and len(chars) <= 20 else tuple(spelled)
+            found = (*spelled, "".join(spelled)) if len(spelled) > 1 else tuple(spelled)
             if len(self.known) > self.keep:
                 self.known.clear()
             self.known[text] = found

@@ -15,8 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import per_worker, written
-from tidemark.llm.deobfuscate import BUCKETS, Decoder, letters, runs_apart, trigram_counts
+from tidemark.llm.common import mapped, per_worker, values_of, written
+from tidemark.llm.deobfuscate import Decoder, letters, runs_apart, trigram_counts, trigram_table
 
 #: Labelled rows that the classifier is fitted on at most, and n-grams that it keeps at most.
 MAX_TRAIN, MAX_GRAMS = 20_000, 50_000
@@ -25,7 +25,10 @@ COUNT_WORDS = 400_000
 
 
 def char_model(df: DataFrame, text_col: str) -> np.ndarray:
-    """Trigram counts of all texts, in a table of fixed size; counted in tasks, summed by bucket."""
+    """Trigram counts of all texts: counted in tasks, summed by trigram, and hashed into a table whose size follows their number.
+
+    Distinct trigrams are bounded by the alphabet of the corpus, not by its length.
+    """
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens: Counter = Counter()
@@ -38,7 +41,7 @@ def char_model(df: DataFrame, text_col: str) -> np.ndarray:
                     words[word] += n
             grams = trigram_counts(words)
             tokens.clear()
-            return pd.DataFrame({"slot": list(grams.keys()), "n": list(grams.values())}, dtype="int64")
+            return pd.DataFrame({"gram": list(grams.keys()), "n": list(grams.values())})
 
         for pdf in parts:
             for text in pdf[text_col]:
@@ -47,11 +50,9 @@ def char_model(df: DataFrame, text_col: str) -> np.ndarray:
                     yield flushed()
         yield flushed()
 
-    counts = df.select(text_col).dropna().mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    table = np.zeros(BUCKETS, np.int64)
-    for slots in counts.toPandas().itertuples(index=False):  # at most BUCKETS rows
-        table[slots.slot] = slots.n
-    return table
+    counts = df.select(text_col).dropna().mapInPandas(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    found = counts.toPandas()  # one row a distinct trigram
+    return trigram_table(zip(found["gram"], found["n"].tolist()), len(found))
 
 
 def grams_of(word: str, low: int = 3, high: int = 6) -> list[str]:
@@ -116,8 +117,8 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(total, -60, 60))))
 
 
-def candidate_grams(sample: DataFrame, table, n: dict[int, int]) -> list[str]:
-    """The n-grams that speak for label 1 in the sample, by the words of its texts; at most MAX_GRAMS."""
+def candidate_grams(sample: DataFrame, table, n: dict[int, int], most: int = MAX_GRAMS) -> list[str]:
+    """The n-grams that speak for label 1 in the sample, by the words of its texts; the `most` strongest."""
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decoder, counts = Decoder(table.value), (Counter(), Counter())
@@ -148,7 +149,7 @@ def candidate_grams(sample: DataFrame, table, n: dict[int, int]) -> list[str]:
 
     sums = words.mapInPandas(spread, "gram string, clean long, toxic long").groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ratio = (F.col("toxic") / (n[1] + 1)) / ((F.col("clean") + 0.5) / (n[0] + 1))
-    kept = sums.where((F.col("toxic") >= 2) & (ratio > 4)).orderBy(F.desc(F.col("toxic") * F.log(ratio)), "gram").limit(MAX_GRAMS)
+    kept = sums.where((F.col("toxic") >= 2) & (ratio > 4)).orderBy(F.desc(F.col("toxic") * F.log(ratio)), "gram").limit(most)
     return [r["gram"] for r in kept.select("gram").collect()]
 
 
@@ -174,8 +175,15 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> Model:
-    """Fits the model. The sample is the max_train labelled rows outside the held-out part with the least hashed ids."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN, max_grams: int = MAX_GRAMS) -> Model:
+    """Fits the model. The sample is the max_train labelled rows outside the held-out part with the least hashed ids.
+
+    Labels that are null or neither 0 nor 1, null ids, and texts that are null or missing take no part;
+    empty texts speak for their label without features; a document labelled twice, or a repeated id, is
+    read once for each; of n-grams that speak as strongly the first by letters is kept; very long texts
+    are read whole; other columns are ignored. Without texts, labels, or documents of label 1 there are
+    no n-grams, and every score is the bias alone, under 0.5.
+    """
     table = char_model(docs, text_col)
     chosen = (
         labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -188,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     sample = written(sample.select("_text", "_label"), "sample").repartition(docs.sparkSession.sparkContext.defaultParallelism * 2)
     n = {0: 0, 1: 0} | {r["_label"]: r["count"] for r in sample.groupBy("_label").count().collect()}
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    grams = candidate_grams(sample, shared, n)
+    grams = candidate_grams(sample, shared, n, max_grams)
     columns = docs.sparkSession.sparkContext.broadcast({g: k for k, g in enumerate(grams)})
 
     def places(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,21 +215,19 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     """One row for each row of docs: id, held_out, score (0 to 1) and predicted (1 from a score of 0.5).
 
     Null and empty texts have the score of a text without evidence. Long texts are read whole;
-    repeated rows and null ids are kept. With keep_columns the columns of docs come too.
+    repeated rows are kept and score alike, null ids are kept (not held out), ids exactly; an empty table
+    gives no rows. With keep_columns the columns of docs come too, but for those that have one of the
+    three new names: these are replaced.
     """
     known = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator) -> Iterator[tuple]:
         model = known.value
         scorer = per_worker(("scorer", model.name), lambda: Scorer(model))
-        for pdf in parts:
-            scores = [scorer.score(t or "") for t in pdf[text_col]]
-            pdf = pdf.copy() if keep_columns else pdf.drop(columns=[text_col])
-            pdf["score"] = scores
-            pdf["predicted"] = [int(s >= 0.5) for s in scores]
-            yield pdf
+        for batch in parts:
+            scores = [scorer.score(t or "") for t in values_of(batch, text_col)]
+            yield batch, {"score": scores, "predicted": [int(s >= 0.5) for s in scores]}
 
     part = docs.drop("held_out", "score", "predicted")
     part = (part if keep_columns else part.select(id_col, text_col)).withColumn("held_out", held_out(id_col))
-    kinds = [(n, k) for n, k in part.dtypes if keep_columns or n != text_col]
-    return part.mapInPandas(run, ", ".join(f"`{n}` {k}" for n, k in kinds) + ", score double, predicted int")
+    return mapped(part, run, {"score": "double", "predicted": "int"}, keep=None if keep_columns else [id_col, "held_out"])
