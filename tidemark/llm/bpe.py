@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
@@ -256,50 +257,60 @@ def utf8_table() -> tuple[list[list[int]], list[int]]:
 class Utf8Stream:
     """Incremental UTF-8 by a table of states over bytes: feed bytes in any cut, get text as soon as its last byte is there.
 
-    Held between calls are the state and the bytes of the character begun (at most three). Bytes that can't go on
-    give one U+FFFD for each longest start of a character, as the Unicode standard recommends.
+    Held between calls are the state and the code point so far. Bytes that can't go on give one U+FFFD for each
+    longest start of a character, as the Unicode standard recommends. ASCII leaves the machine where it is, so only
+    runs of other bytes are stepped through, and what a run gives is kept for the next time.
     """
 
     MOVES, NEED = utf8_table()
-    #: Bytes that leave state 0 as it is need no step of the machine.
-    _ASCII = bytes(range(128))
+    _OTHER = re.compile(rb"([\x80-\xff]+)")
+    _known: dict[bytes, str] = {}
 
     def __init__(self):
         self.state, self.code = 0, 0
 
-    def feed(self, data: bytes) -> str:
-        if not self.state and data.isascii():
-            return data.decode("ascii")
+    def _steps(self, data: bytes) -> str:
         out, moves, state, code, at = [], self.MOVES, self.state, self.code, 0
-        size = len(data)
-        while at < size:
-            if not state:  # a stretch of plain bytes at once
-                rest = data[at:].lstrip(self._ASCII) if data[at] < 0x80 else None
-                if rest is not None:
-                    to = size - len(rest)
-                    out.append(data[at:to].decode("ascii"))
-                    at = to
-                    continue
+        while at < len(data):
             byte = data[at]
             to = moves[state][byte]
             if to < 0:
                 out.append("\ufffd")
-                if not state:
-                    at += 1
-                state = code = 0  # a byte that broke off a character is read again on its own
+                at += not state  # a byte that broke off a character is read again on its own
+                state = code = 0
                 continue
-            if not state:
-                code = byte & (0x1F if byte < 0xE0 else 0x0F if byte < 0xF0 else 0x07)
-            else:
-                code = code << 6 | byte & 0x3F
-            state = to
-            at += 1
+            code = code << 6 | byte & 0x3F if state else byte & (0x7F if byte < 0x80 else 0x1F if byte < 0xE0 else 0x0F if byte < 0xF0 else 0x07)
+            state, at = to, at + 1
             if not state:
                 out.append(chr(code))
                 code = 0
         self.state, self.code = state, code
         return "".join(out)
 
+    def _run(self, data: bytes) -> str:
+        """What a run of bytes over 7F gives between ASCII, from state 0."""
+        found = self._known.get(data)
+        if found is None:
+            if len(self._known) > 20_000:
+                self._known.clear()
+            found = self._known[data] = self._steps(data) + self.finish()
+        return found
+
+    def feed(self, data: bytes) -> str:
+        head = ""
+        if self.state:  # a character is begun: up to the next ASCII byte by steps
+            cut = len(data) - len(data.lstrip(bytes(range(128, 256))))
+            head, data = self._steps(data[: cut + 1]), data[cut + 1 :]
+        parts = self._OTHER.split(data)
+        tail = self._steps(parts.pop(-2)) if len(parts) > 1 and not parts[-1] else ""
+        parts[1::2] = map(self._run, parts[1::2]) if not self.state else self._runs_apart(parts[1::2])
+        parts[0::2] = [p.decode("ascii") for p in parts[0::2]]
+        return head + "".join(parts) + tail
+
+    def _runs_apart(self, runs: list[bytes]) -> list[str]:
+        fresh = Utf8Stream()
+        return [fresh._run(r) for r in runs]
+
     def finish(self) -> str:
         broken, self.state, self.code = self.state, 0, 0
         return "\ufffd" if broken else ""

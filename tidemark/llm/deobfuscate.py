@@ -43,14 +43,24 @@ def slot(gram: str, buckets: int) -> int:
 
 def trigram_counts(words: Counter) -> Counter:
     """Counts of the trigrams, and of the bigrams before them (two letters and a null), of counted words with borders."""
-    grams: Counter = Counter()
-    for word, n in words.items():
-        w = f"^^{word}$"
-        for i in range(len(w) - 2):
-            grams[w[i : i + 3]] += n
-    for gram, n in list(grams.items()):
-        grams[gram[:2] + "\0"] += n
-    return grams
+    if not words:
+        return Counter()
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 3
+    codes = np.frombuffer("".join([f"^^{w}$" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    ends = np.cumsum(sizes)
+    inside = np.ones(len(codes), bool)
+    inside[ends - 1] = inside[ends - 2] = False  # no trigram begins at a word's last two places
+    at = np.flatnonzero(inside)
+    grams, which = np.unique(codes[at] << 42 | codes[at + 1] << 21 | codes[at + 2], return_inverse=True)
+    weights = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes - 2)
+    order = np.argsort(which, kind="stable")
+    sums = np.add.reduceat(weights[order], np.searchsorted(which[order], np.arange(len(grams))))
+    out: Counter = Counter()
+    for gram, n in zip(grams.tolist(), sums.tolist()):
+        a, b, c = chr(gram >> 42), chr(gram >> 21 & 0x1FFFFF), chr(gram & 0x1FFFFF)
+        out[a + b + c] += n
+        out[a + b + "\0"] += n
+    return out
 
 
 def trigram_table(grams: Iterable[tuple[str, int]], distinct: int) -> np.ndarray:
@@ -90,19 +100,26 @@ class Decoder:
         choices, whatever the length; none is left out. Of paths that cost the same the first by choice stays.
         """
         paths: dict[str, tuple[float, tuple]] = {"^^": (0.0, ())}  # of each its cost, and its letters as (what was before, letters)
+        costs = self.costs
         for place in lattice:
             best: dict[str, tuple[float, tuple]] = {}
             for context, (cost, done) in paths.items():
                 for chars, extra in place:
-                    total, now = cost + extra, context
-                    for c in chars:
-                        if c == " ":
-                            total += self._cost(now + "$")
-                            now = "^^"
-                        else:
-                            total += self._cost(now + c)
-                            now = now[1] + c
-                    if now not in best or total < best[now][0]:
+                    if len(chars) == 1 and chars != " ":
+                        gram = context + chars
+                        step = costs.get(gram)
+                        total, now = cost + extra + (self._cost(gram) if step is None else step), gram[1:]
+                    else:
+                        total, now = cost + extra, context
+                        for c in chars:
+                            if c == " ":
+                                total += self._cost(now + "$")
+                                now = "^^"
+                            else:
+                                total += self._cost(now + c)
+                                now = now[1] + c
+                    known = best.get(now)
+                    if known is None or total < known[0]:
                         best[now] = (total, (done, chars))
             paths = best
         done, out = min((cost + self._cost(context + "$"), context, done) for context, (cost, done) in paths.items())[2], []
@@ -191,11 +208,9 @@ class Decoder:
 def runs_apart(tokens: list[str]) -> set[str]:
     """The runs of three and more tokens of one character, not counting marks at their edges; in lower case."""
     single = {}
-    for token in set(tokens):
-        bare = token.strip(_EDGES)
-        if len(bare) == 1 or len(token) == 1:
-            single[token] = (bare or token).lower()
-    if not single:
+    for token in {t for t in set(tokens) if len(t) == 1 or len(t.strip(_EDGES)) == 1}:
+        single[token] = (token.strip(_EDGES) or token).lower()
+    if len(single) == 0:
         return set()
     has = bytes(map(single.__contains__, tokens))
     return {" ".join(map(single.__getitem__, tokens[m.start() : m.end()])) for m in re.finditer(rb"\x01{3,}", has)}

@@ -30,29 +30,26 @@ def char_model(df: DataFrame, text_col: str) -> np.ndarray:
     Distinct trigrams are bounded by the alphabet of the corpus, not by its length.
     """
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens: Counter = Counter()
+    def count(parts: Iterator) -> Iterator:
+        import pyarrow as pa
 
-        def flushed() -> pd.DataFrame:
-            words: Counter = Counter()
-            for token, n in tokens.items():
-                token = token.lower()
-                for word in (token,) if token.isalpha() else letters(token):
-                    words[word] += n
+        words: Counter = Counter()
+
+        def flushed():
             grams = trigram_counts(words)
-            tokens.clear()
-            return pd.DataFrame({"gram": list(grams.keys()), "n": list(grams.values())})
+            words.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["gram", "n"])
 
-        for pdf in parts:
-            for text in pdf[text_col]:
-                tokens.update(text.split())
-                if len(tokens) > COUNT_WORDS:
+        for batch in parts:
+            for text in values_of(batch, text_col):
+                words.update(letters(text.lower()))
+                if len(words) > COUNT_WORDS:
                     yield flushed()
         yield flushed()
 
-    counts = df.select(text_col).dropna().mapInPandas(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    found = counts.toPandas()  # one row a distinct trigram
-    return trigram_table(zip(found["gram"], found["n"].tolist()), len(found))
+    counts = df.select(text_col).dropna().mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    found = counts.collect()  # one row a distinct trigram
+    return trigram_table(found, len(found))
 
 
 def grams_of(word: str, low: int = 3, high: int = 6) -> list[str]:
@@ -72,18 +69,23 @@ class Features:
     """The n-grams of a text that are among a given set, by their numbers."""
 
     def __init__(self, column: dict[str, int], table: np.ndarray, keep: int = 900_000):
-        self.column, self.keep, self.decoder = column, keep, Decoder(table)
-        self.starts = {g[:3] for g in column}
+        import ahocorasick
+
+        self.keep, self.decoder = keep, Decoder(table)
+        self.automaton = ahocorasick.Automaton()
+        for gram, k in column.items():
+            self.automaton.add_word(gram, k)
+        if column:
+            self.automaton.make_automaton()
+        self.some = bool(column)
         self.without: set[str] = set()  # tokens seen that have none
         self.found: dict[str, tuple[int, ...]] = {}
 
     def _of(self, words) -> tuple[int, ...]:
-        out: set[int] = set()
-        for word in words:
-            w = f"^{word}$"
-            if not self.starts.isdisjoint([w[i : i + 3] for i in range(len(w) - 2)]):
-                out.update(self.column[g] for g in grams_of(word) if g in self.column)
-        return tuple(out)
+        """Of the words' n-grams with borders (a word itself counts as one) those that are known: an n-gram never runs over a border."""
+        if not self.some or not words:
+            return ()
+        return tuple({k for _, k in self.automaton.iter("".join([f"^{w}$" for w in words]))})
 
     def __call__(self, text: str) -> set[int]:
         tokens, out = text.split(), set()
