@@ -324,10 +324,13 @@ def test_passage_with_two_first_holders(spark):
 def test_passages_grow_as_far_as_they_go(spark):
     r = random.Random(23)
     new = lambda n: [f"{r.random():.12f}" for _ in range(n)]
-    p = new(900)
-    docs = [(1, new(30) + p[:400] + new(50)), (2, new(40) + p[500:] + new(50)), (3, new(5) + p + new(20)), (4, p + new(90))]
-    got = {(x["doc_id"], x["ref_doc_id"], x["start"], x["stop"]) for x in repeated_passages(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")).collect()}
-    assert got >= {(3, 1, 5, 405), (3, 2, 505, 905), (4, 3, 0, 900)}
+    p, q = new(900), new(460)
+    few = q[:60] + [w if i % 5 else "x" for i, w in enumerate(q[60:])]  # after 60 words hardly a seed in common
+    docs = [(1, new(30) + p[:400] + new(50)), (2, new(40) + p[500:] + new(50)), (3, new(5) + p + new(20)), (4, p + new(90)), (5, new(10) + q + new(80)), (6, few + new(80))]
+    got = repeated_passages(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")).collect()
+    covered = {d: {i for x in got if x["doc_id"] == d for i in range(x["start"], x["stop"])} for d in range(1, 7)}
+    assert covered == {1: set(), 2: set(), 3: {*range(5, 405), *range(505, 905)}, 4: set(range(900)), 5: set(), 6: set(range(460))}
+    assert [(x["start"], x["stop"], x["ref_start"], x["ref_stop"]) for x in got if x["doc_id"] == 6] == [(0, 460, 10, 470)]
 
 
 def test_several_passages_and_holders_by_words(spark):
