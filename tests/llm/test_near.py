@@ -92,18 +92,36 @@ def test_components(spark):
 # --- line dedup
 
 
-def plain_lines(docs, least=8):
-    seen, gone = [], {}
+def edits(a, b):
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(before[j] + 1, now[j - 1] + 1, before[j - 1] + (x != y)))
+        before = now
+    return before[-1]
+
+
+def plain_near(a, b):
+    v, w = a.split(), b.split()
+    if max(len(v), len(w)) >= 8:
+        return abs(len(v) - len(w)) <= 1 and edits(v, w) <= 1
+    return max(len(a), len(b)) >= 16 and abs(len(a) - len(b)) <= 1 and edits(a, b) <= 1
+
+
+def plain_lines(docs):
+    seen, gone, firsts = [], {}, set()
     for doc, text in sorted((d, t) for d, t in docs if d is not None and t is not None):
         for n, line in enumerate(text.split("\n")):
-            words = line.split()
-            if not words:
+            line = line.strip()
+            if not line:
                 continue
-            for pos, other, body in seen:
-                if body == line.strip() or (len(words) >= least and len(other) >= least and within_one(words, other)):
-                    gone[doc, n] = pos
-                    break
-            seen.append(((doc, n), words, line.strip()))
+            found = next((pos for pos, body in seen if body == line or plain_near(body, line)), None)
+            if found:
+                gone[doc, n] = found
+            if line not in firsts:
+                firsts.add(line)
+                seen.append(((doc, n), line))
     return gone
 
 
@@ -115,18 +133,22 @@ def test_within_one():
 
 def test_dedup_lines_equals_brute_force(spark):
     r = random.Random(9)
-    base = [prose(r, r.randint(3, 20)) for _ in range(25)]
+    base = [prose(r, r.randint(3, 20)) for _ in range(25)] + [prose(r, n) for n in (7, 8, 7, 8)]
     docs = []
-    for d in range(40):
+    for d in range(60):
         lines = []
         for _ in range(r.randint(0, 6)):
             words = r.choice(base).split()
             for _ in range(r.choice([0, 0, 1, 1, 2])):
                 at = r.randrange(len(words))
                 words = r.choice([words[:at] + words[at + 1 :], words[:at] + [r.choice(WORDS)] + words[at:], words[:at] + [r.choice(WORDS)] + words[at + 1 :]])
-            lines.append(r.choice(["", " "]) + " ".join(words))
+            line = r.choice([" ", " ", "  "]).join(words)
+            for _ in range(r.choice([0, 0, 1, 2])):
+                at = r.randrange(len(line) + 1)
+                line = r.choice([line[:at] + line[at + 1 :], line[:at] + "é" + line[at:], line[:at] + "é" + line[at + 1 :]])
+            lines.append(r.choice(["", " "]) + line)
         docs.append((d, "\n".join(lines)))
-    docs += [(None, base[0]), (100, None), (101, ""), (102, "\n\n"), (103, "same\nsame\nSame")]
+    docs += [(None, base[0]), (100, None), (101, ""), (102, "\n\n"), (103, "same\nsame\nSame"), (104, "tart north\nart north"), (105, "Copyright 2020 by Acme\nCopyright 2021 by Acme\nPage 1\nPage 2"), (106, "x " * 700 + "y\n" + "x " * 700 + "z"), (1 << 53, base[3]), ((1 << 53) + 1, base[3])]
     gone = plain_lines(docs)
     found = dedup_lines(spark.createDataFrame([(*x, "extra") for x in docs], "doc_id long, text string, line string"))
     assert found.columns == ["doc_id", "text", "line", "n_lines", "n_dropped", "dropped"]

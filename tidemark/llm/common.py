@@ -74,6 +74,21 @@ def values_of(batch, name: str) -> list:
     return batch.column(batch.schema.names.index(name)).to_pylist()
 
 
+def join_dealt(many: DataFrame, few: DataFrame, key: Sequence[str], most: int = 1000) -> DataFrame:
+    """many joined with few on key, where few has one row a key with the number `n` of its rows in many; n goes.
+
+    Keys with over one in `most` of all rows are under `most` keys, so they are broadcast and their rows
+    stay where they are; the others are shuffled. Both tables are read twice and should be written ones.
+    """
+    total = few.agg(F.sum("n").alias("n")).first()["n"] or 0
+    often = F.col("n") > max(total / most, 1000)
+    hot = few.where(often).drop("n")
+    if hot.isEmpty():
+        return many.join(few.drop("n"), list(key))
+    rest = many.join(F.broadcast(hot.select(*key)), list(key), "left_anti").join(few.where(~often).drop("n"), list(key))
+    return rest.unionByName(many.join(F.broadcast(hot), list(key)))
+
+
 def ascii_lower(col):
     """A-Z to a-z, every other character kept."""
     return F.translate(col, UPPER, UPPER.lower())

@@ -143,23 +143,29 @@ ORACLES = {
         FROM docs LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)""",
     "op5_line_dedup": r"""
         WITH parts AS (
-            SELECT doc_id, CAST(i AS INT) - 1 AS line, lines[i] AS raw, trim(lines[i], E' \\t\\r\\n') AS body
+            SELECT doc_id, CAST(i AS INT) - 1 AS line, lines[i] AS raw, trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
             FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), unnest(range(1, len(lines) + 1)) AS r(i)),
         occ AS (SELECT *, row_number() OVER (ORDER BY doc_id, line) AS pos FROM parts WHERE body <> ''),
         cls AS (SELECT body, min(pos) AS first, regexp_split_to_array(body, '\s+') AS w FROM occ GROUP BY body),
-        long AS (SELECT first, w, len(w) AS n FROM cls WHERE len(w) >= 8),
-        half AS (
-            SELECT DISTINCT first, w, n, side, h, array_to_string(CASE side WHEN 0 THEN w[1:h] ELSE w[n - h + 1:n] END, ' ') AS key
-            FROM (SELECT *, unnest([n // 2, (n - 1) // 2]) AS h FROM long), (SELECT unnest([0, 1]) AS side)),
-        met AS (
-            SELECT DISTINCT a.first AS x, b.first AS y, a.w AS v, b.w AS u
-            FROM half a JOIN half b ON a.side = b.side AND a.h = b.h AND a.key = b.key AND b.first < a.first AND abs(a.n - b.n) <= 1),
-        near AS (
-            SELECT x, min(y) AS y FROM met WHERE CASE
+        -- one edit leaves the first or the last unit of both as it is
+        long AS (SELECT first, w, len(w) AS n FROM cls WHERE len(w) >= 7),
+        ends AS (SELECT *, unnest([{'side': 0, 'word': w[1]}, {'side': 1, 'word': w[n]}]) AS e FROM long),
+        word_pairs AS (SELECT DISTINCT a.first AS x, b.first AS y, a.w AS v, b.w AS u
+            FROM ends a JOIN ends b ON a.e = b.e AND b.first < a.first AND abs(a.n - b.n) <= 1 AND greatest(a.n, b.n) >= 8),
+        short AS (SELECT first, body, length(body) AS n FROM cls WHERE len(w) < 8),
+        tips AS (SELECT *, unnest([{'side': 0, 'c': body[1:1]}, {'side': 1, 'c': body[n:n]}]) AS e FROM short),
+        char_pairs AS (SELECT DISTINCT a.first AS x, b.first AS y, a.body AS v, b.body AS u
+            FROM tips a JOIN tips b ON a.e = b.e AND b.first < a.first AND abs(a.n - b.n) <= 1 AND greatest(a.n, b.n) >= 16),
+        near AS (SELECT x, min(y) AS y FROM (
+            SELECT x, y FROM word_pairs WHERE CASE
                 WHEN len(v) = len(u) THEN len(list_filter(range(1, len(v) + 1), lambda i: v[i] <> u[i])) <= 1
                 WHEN len(v) > len(u) THEN len(list_filter(range(1, len(v) + 1), lambda i: list_concat(v[1:i - 1], v[i + 1:len(v)]) = u)) > 0
                 ELSE len(list_filter(range(1, len(u) + 1), lambda i: list_concat(u[1:i - 1], u[i + 1:len(u)]) = v)) > 0 END
-            GROUP BY x),
+            UNION ALL
+            SELECT x, y FROM char_pairs WHERE CASE
+                WHEN length(v) = length(u) THEN len(list_filter(range(1, length(v) + 1), lambda i: v[i:i] <> u[i:i])) <= 1
+                WHEN length(v) > length(u) THEN len(list_filter(range(1, length(v) + 1), lambda i: v[1:i - 1] || v[i + 1:length(v)] = u)) > 0
+                ELSE len(list_filter(range(1, length(u) + 1), lambda i: u[1:i - 1] || u[i + 1:length(u)] = v)) > 0 END) GROUP BY x),
         fate AS (
             SELECT occ.doc_id, occ.line, least(near.y, CASE WHEN cls.first < occ.pos THEN cls.first END) AS by_pos
             FROM occ JOIN cls USING (body) LEFT JOIN near ON near.x = cls.first),
