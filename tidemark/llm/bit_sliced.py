@@ -20,11 +20,15 @@ SHARD_ROWS, BLOCK_QUERIES = 8192, 256
 
 
 def quantised(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """id and q = floor(scale * x) of each component; without null ids, and vectors that are or hold null or non-finite; q is held within 2^30."""
+    """id and q = floor(scale * x) of each component; without null ids, and vectors that are or hold null or non-finite.
+
+    A component whose q is no long, by 2^62 or more, is an error: no score of it could be one.
+    """
     x = F.col(vec_col)
     sound = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    bound = F.lit(float(1 << 30))
-    q = F.transform(x, lambda v: F.floor(F.least(F.greatest(v.cast("double") * F.lit(float(scale)), -bound), bound)).cast("int"))
+    scaled = lambda v: v.cast("double") * F.lit(float(scale))
+    too_large = F.raise_error(F.lit("a component is too large for integer scores")).cast("long")
+    q = F.transform(x, lambda v: F.when(F.abs(scaled(v)) < float(1 << 62), F.floor(scaled(v))).otherwise(too_large))
     return df.where(F.col(id_col).isNotNull() & F.coalesce(sound, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), q.alias("q"))
 
 
@@ -39,7 +43,7 @@ def slices_of(values: np.ndarray) -> tuple[np.ndarray, int]:
     """Bitmaps (attribute, bit, word) of values (row, attribute), less their least value, which is given too."""
     least = int(values.min(initial=0))
     width = max(1, int(values.max(initial=0) - least).bit_length())
-    shifted = (values - least).astype(np.uint64).T
+    shifted = (values.astype(np.uint64) - np.uint64(least & 0xFFFFFFFFFFFFFFFF)).T
     return np.stack([pack((shifted >> np.uint64(b)) & np.uint64(1) != 0) for b in range(width)], axis=1), least
 
 
@@ -144,8 +148,9 @@ def search_shard(ids: np.ndarray, values: np.ndarray, queries: list[tuple[int, l
 def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, id, score: the k best inner products of each row whose id `every` divides, ties to smaller ids.
 
-    Every other row with a sound vector is a candidate; shorter vectors count as filled up with zeros;
-    scores must fit in a long. Null ids and unsound vectors take no part; repeated ids are candidates
+    Every other row with a sound vector is a candidate; shorter vectors count as filled up with zeros, also
+    empty ones; a score, or a component, that doesn't fit in a long is an error. Other columns are left out,
+    whatever their names. Null ids and unsound vectors take no part; repeated ids are candidates
     of their own, and one query (of its least vector); with fewer than k candidates all are returned; an empty table gives
     no rows. Each shard of the index gives at most k rows a query.
     """
