@@ -4,13 +4,14 @@ against schemas, and written as canonical JSON."""
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import dropped, written
 
 _KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
@@ -21,7 +22,7 @@ def problems(value, schema: Mapping, at: str = "$") -> list[str]:
     kind = schema.get("type")
     if kind:
         number = isinstance(value, (int, float)) and not isinstance(value, bool)
-        whole = number and float(value).is_integer()
+        whole = number and (isinstance(value, int) or value.is_integer())
         if not (whole if kind == "integer" else number if kind == "number" else isinstance(value, _KINDS[kind])):
             return [f"{at}: not {kind}"]
     if "enum" in schema and value not in schema["enum"]:
@@ -50,9 +51,43 @@ def problems(value, schema: Mapping, at: str = "$") -> list[str]:
     return out
 
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
+#: Levels of lists and objects within each other that arguments may have.
+MAX_DEPTH = 200
+
+
+def escaped(text: str) -> str:
+    """Text without lone surrogates, which no encoding takes: each as its JSON escape."""
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value) -> str:
-    """JSON with sorted names, no spare space, and characters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """JSON with sorted names, no spare space, and characters as they are, but for lone surrogates."""
+    return escaped(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def _finite(text: str) -> float:
+    value = float(text)
+    if value - value != 0:  # infinite: digits that no double holds
+        raise ValueError("number out of range")
+    return value
+
+
+def _constant(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+def parsed(text: str):
+    """A JSON value; ValueError for text that is none, has NaN or Infinity or a number beyond a double, or is nested over MAX_DEPTH levels."""
+    depth = 0
+    for c in re.sub(r'"(?:[^"\\]|\\.)*"', "", text, flags=re.S):
+        if c in "[{":
+            depth += 1
+            if depth > MAX_DEPTH:
+                raise ValueError("nested too deep")
+        elif c in "]}":
+            depth -= 1
+    return json.loads(text, parse_float=_finite, parse_constant=_constant)
 
 
 def calls_of_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -126,10 +161,12 @@ def levels(calls: DataFrame) -> DataFrame:
     reach, n = 1, now.count()
     while reach <= n and not now.where(F.col("up").isNotNull()).isEmpty():
         above = now.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("further"), F.col("head").alias("top"), F.col("level").alias("more"))
+        before = now
         now = written(
             now.join(above, ["conv_id", "up"], "left").select(*key, "several", F.col("further").alias("up"), F.coalesce("head", "top").alias("head"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")),
             "levels",
         )
+        dropped(before)
         reach *= 2
     heads = now.where("several").select(*key)
     if heads.isEmpty():
@@ -160,7 +197,10 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
     conv_id, call_id, level (order within a conversation, with call_id), n_results, valid, errors
     (joined by "; "), status ("linked", "unanswered", "orphan", "circle") and canonical: the call with
     its first result, by seq and content, as JSON. Arguments that aren't JSON are invalid and kept as
-    text; names without a schema are invalid; null identifiers match none; repeated calls are kept and
+    text, as are those with NaN, Infinity, numbers beyond a double, or over MAX_DEPTH levels ("not JSON");
+    integers of any length are kept; lone surrogates are written as escapes; very long texts are kept whole;
+    of results with equal seq the least content is first; other columns are left out, whatever their names;
+    no calls and no results give no rows; names without a schema are invalid; null identifiers match none; repeated calls are kept and
     share their results; null contents count as results and are null in JSON. Results of one call are
     counted, and only the first is carried, so a call with very many never fills a task.
     """
@@ -178,7 +218,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
                 out, errors = {"id": call}, []
                 if called:
                     try:
-                        value = json.loads(arguments) if arguments is not None else None
+                        value = parsed(arguments) if arguments is not None else None
                         errors = problems(value, schemas[name]) if name in schemas else ["no schema"]
                     except ValueError:
                         value, errors = arguments, ["not JSON"]
@@ -186,7 +226,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
                 if n:
                     out["result"] = content
                 status = "orphan" if not called else "circle" if level == -1 else "linked" if n else "unanswered"
-                rows.append((conv, call, None if pd.isna(level) else int(level), n, called and not errors, "; ".join(errors), status, canonical(out)))
+                rows.append((conv, call, None if pd.isna(level) else int(level), n, called and not errors, escaped("; ".join(errors)), status, canonical(out)))
             yield pd.DataFrame(rows, columns=names).astype({"level": "Int64"})
 
     names = ["conv_id", "call_id", "level", "n_results", "valid", "errors", "status", "canonical"]
