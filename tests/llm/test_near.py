@@ -77,6 +77,21 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, tile):
     assert sorted(map(tuple, got)) == sorted((d, f"{f:016x}", least[root[f]]) for d, f in known)
 
 
+def test_tiles_by_population_count(spark, monkeypatch):
+    """One block value of many fingerprints, of all population counts: no link is lost between tiles."""
+    monkeypatch.setattr(simhash, "TILE", 40)
+    r = random.Random(6)
+    fps = set()
+    for _ in range(250):
+        f = sum(1 << b for b in range(13, 64) if r.random() < r.choice([0.1, 0.5, 0.9]))
+        fps |= {f, f ^ sum(1 << b for b in set(r.choices(range(13, 64), k=r.choice([1, 3, 4, 5, 7]))))}
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    edges = [(a % (1 << 64), b % (1 << 64)) for a, b in map(tuple, simhash.near_edges(spark.createDataFrame([(f,) for f in signed], "fp long"), 4).collect())]
+    links = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 4]
+    assert all((a ^ b).bit_count() <= 64 for a, b in edges) and joined(edges, fps) == joined(links, fps)
+
+
 def test_near_copies_of_nothing(spark):
     assert near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -406,8 +421,11 @@ def test_search_shard_equals_numpy():
 
 def test_top_k(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 0.0]), (50, [0.5, 0.5]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, [nan, 1.0]), (5, [1.0, None]), (6, [inf, 1.0]), (None, [9.0, 9.0]), (7, [2.0]), (8, [1e30, 0.0]), (1, [1.0, 1.0])]
-    got = [tuple(r) for r in top_k(spark.createDataFrame([(*x, 1) for x in rows], "vec_id long, embedding array<float>, rank int"), k=3).orderBy("query_id", "rank").collect()]
-    big = 1 << 30
+    rows = [(0, [1.0, 0.0]), (50, [0.5, 0.5]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, [nan, 1.0]), (5, [1.0, None]), (6, [inf, 1.0]), (None, [9.0, 9.0]), (7, [2.0]), (8, [1e7, 0.0]), (9, [-1e7, 0.0]), (1, [1.0, 1.0]), (10, [])]
+    frame = spark.createDataFrame([(*x, 1) for x in rows], "vec_id long, embedding array<float>, rank int")
+    got = [tuple(r) for r in top_k(frame, k=3).orderBy("query_id", "rank").collect()]
+    big = 256 * 10_000_000
     assert got == [(0, 1, 8, 256 * big), (0, 2, 7, 256 * 512), (0, 3, 1, 256 * 256), (50, 1, 8, 128 * big), (50, 2, 1, 128 * 512), (50, 3, 1, 128 * 512)]
+    with pytest.raises(Exception, match="too large"):
+        top_k(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>")).collect()
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0

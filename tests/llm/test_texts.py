@@ -8,6 +8,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
 
 from tidemark.llm.deobfuscate import Decoder, trigram_counts, trigram_table
 from tidemark.llm.fm_index import FMIndex, WaveletMatrix, digest, find_phrases
@@ -109,11 +111,14 @@ def test_judge_urls(spark):
         ("no scheme", "", "", None, "allow"),
         (None, "", "", None, "allow"),
         ("", "", "", None, "allow"),
+        ("http://a.casino.com", "a.casino.com", "", None, "block"),
+        ("http://track.net/x", "track.net", "/x", None, "block"),
+        ("http://a.track.net/x", "a.track.net", "/x", None, "allow"),
         ("ftp://h/p\n://q", "h", "/p\n://q", None, "allow"),
         ("http://İ.ORG/" + "a" * 20000, "İ.org", "/" + "a" * 20000, "org/", "allow"),
     ]
     df = spark.createDataFrame([(i, u[0], "z") for i, u in enumerate(urls)], "page_id long, url string, host string")
-    got = [tuple(r)[1:] for r in judge_urls(df, rules, ["*casino*"]).orderBy("page_id").collect()]
+    got = [tuple(r)[1:] for r in judge_urls(df, rules, ["*casino*", "track.net"]).orderBy("page_id").collect()]
     assert got == [u[1:] for u in urls]
     assert judge_urls(df.where("false"), rules, []).count() == 0
 
@@ -132,6 +137,29 @@ def test_main_text():
     assert main_text("<article><p>a &lt;b&gt; c</p><p>x < y</p>") == "a <b> c x < y"
 
 
+def test_ids_and_columns_stay_exact(spark):
+    """A long over 2^53 beside a null, and columns that have the names that the operators add."""
+    from test_near import dedup_lines
+
+    from tidemark.llm.bpe import encode_texts
+    from tidemark.llm.simhash import near_copies
+
+    big = (1 << 53) + 1
+    names = ("score", "predicted", "held_out", "n_lines", "n_dropped", "dropped", "n_words", "hit_spans", "hit_items", "text_sha256", "rule", "host", "n_chars", "fingerprint")
+    rows = [(big, "one two http://a.org/", *([7] * len(names))), (None, "one two", *([None] * len(names)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} long" for n in names))
+    more = frame.withColumn("other", F.when(F.col("doc_id").isNotNull(), F.col("doc_id") + 2)).coalesce(1)
+    items = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    model = Model({"^one$": 1.0}, 0.0, np.zeros(1 << 10, np.int64))
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = lambda df, c="doc_id": sorted((r[c] for r in df.collect()), key=str)
+    want = sorted([big, None], key=str)
+    assert ids(find_phrases(more, items)) == ids(score_texts(more, model)) == ids(dedup_lines(more)) == ids(encode_texts(more, ranks, public_tokenizers.PATTERN)) == want
+    assert ids(extract_text(more, "doc_id", "text", "text")) == ids(judge_urls(more, [], ["*a*"], "doc_id", "text")) == want and ids(near_copies(more)) == [big]
+    for out in (find_phrases(more, items), score_texts(more, model, keep_columns=True), dedup_lines(more)):
+        assert ids(out, "other") == sorted([big + 2, None], key=str)
+
+
 def test_extract_text(spark):
     df = spark.createDataFrame([(1, "u", "<article>é x</article>", 0), (None, None, None, 0), (2, "u", "", 0), (2, "u", "<p>" * 30000, 0)], "page_id long, url string, html string, text int")
     got = sorted(map(tuple, extract_text(df).collect()), key=repr)
@@ -248,6 +276,24 @@ def test_link_calls(spark):
     assert [got[2, k][0]["status"] for k in ("l1", "l2", "l3")] == ["circle"] * 3 and (2, None) not in got
 
 
+def test_calls_with_odd_json(spark):
+    digits = "9" * 400
+    odd = {
+        "s": '{"a": 1, "mode": "\\ud800"}', "i": f'{{"a": {digits}}}', "d": "[" * 5000 + "]" * 5000, "d2": "[" * 150 + "]" * 150, "n": '{"a": NaN}', "inf": '{"a": -Infinity}', "e": '{"a": 1e999}', "k": '{"\\udfff": 1, "a": 1}',
+        "q": '{"a": 1, "tags": ["' + "[" * 300 + '\\""]}',
+    }
+    c = spark.createDataFrame([(1, k, None, "add", v) for k, v in odd.items()], "conv_id long, call_id string, after string, name string, arguments string")
+    none = spark.createDataFrame([], "conv_id long, call_id string, seq long, content string")
+    got = {x["call_id"]: x for x in link_calls(c, none, SCHEMAS).collect()}
+    assert {k for k, x in got.items() if x["errors"] == "not JSON"} == {"d", "n", "inf", "e"}
+    assert got["s"]["errors"] == "$.mode: not in enum" and '"mode":"\\ud800"' in got["s"]["canonical"] and got["k"]["errors"] == "$.\\udfff: not known"
+    assert got["i"]["valid"] and f'"a":{digits}' in got["i"]["canonical"] and got["q"]["valid"] and got["d2"]["errors"] == "$: not object"
+    assert all(json.loads(x["canonical"])["id"] == k for k, x in got.items())
+    turns = [(1, i, "user", json.dumps({"name": "f", "arguments": 0}).replace("0", v)) for i, v in enumerate(odd.values())]
+    calls, results = calls_of_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    assert link_calls(calls, results, SCHEMAS).count() == len(odd)
+
+
 def test_long_chain_of_calls(spark):
     calls = [(1, f"c{i}", f"c{i - 1}", "add", '{"a": 1}') for i in range(300)]
     c = spark.createDataFrame(calls, "conv_id long, call_id string, after string, name string, arguments string")

@@ -1,8 +1,9 @@
 """SimHash near-dedup: fingerprints, exact tiled comparison, and connected components.
 
 Two fingerprints within `radius` bits agree in at least one of radius + 1 blocks of bits, so only
-fingerprints with an equal block meet, in tiles; each pair of tiles is compared exactly with numpy
-exclusive-or and bit counts, row stripes being skipped whose population counts differ beyond the radius.
+fingerprints with an equal block meet, in tiles by population count; each pair of tiles is compared exactly
+with numpy exclusive-or and bit counts, but for those whose population counts differ beyond the radius, as
+stripes within a tile are skipped.
 Equal fingerprints are one row throughout. A tile gives at most one edge for each of its rows (a
 spanning forest of the links that it found), so groups of copies never become lists of pairs.
 """
@@ -14,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import join_dealt, values_of, written
 from tidemark.llm.components import components
 
 #: Fingerprints of one block value that one tile takes; more are dealt over several tiles.
@@ -47,13 +48,15 @@ def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
 def fingerprints(df: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and fp (64 bits as a signed long) of each row with an id; one pass, no shuffle."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            fps = np.array([fingerprint(t, words) for t in pdf["_text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({id_col: pdf[id_col], "fp": fps})
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in parts:
+            fps = np.array([fingerprint(t, words) for t in values_of(batch, "_text")], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=[id_col, "fp"])
 
     part = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col).alias("_text"))
-    return part.mapInPandas(run, f"`{id_col}` long, fp long")
+    return part.mapInArrow(run, f"`{id_col}` long, fp long")
 
 
 def block_values(fps: np.ndarray, blocks: int) -> list[np.ndarray]:
@@ -104,12 +107,22 @@ def near_edges(fps: DataFrame, radius: int) -> DataFrame:
     edges = [64 * i // blocks for i in range(blocks + 1)]
     bits = [F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:])]
     routed = fps.select("fp", F.posexplode(F.array(*bits)).alias("block", "value"))
-    # A block value that many fingerprints have is dealt over k tiles; a pair of tiles meets once.
-    crowded = routed.groupBy("block", "value").agg(F.count("*").alias("n")).where(F.col("n") > TILE)
-    crowded = crowded.select("block", "value", F.ceil(F.col("n") / TILE).cast("int").alias("k"))
-    dealt = routed.join(crowded, ["block", "value"], "left").withColumn("k", F.coalesce("k", F.lit(1)))
-    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    # A block value that many fingerprints have is dealt over tiles, each a range of population counts (or a part of
+    # one count); pairs of tiles whose counts all differ beyond the radius never meet.
+    routed = routed.withColumn("ones", F.bit_count("fp"))
+    counts = routed.groupBy("block", "value", "ones").agg(F.count("*").alias("n"))
+    by = Window.partitionBy("block", "value")  # 65 counts at most
+    counts = counts.withColumn("total", F.sum("n").over(by)).where(F.col("total") > TILE)
+    upto = F.sum("n").over(by.orderBy("ones"))
+    counts = counts.withColumn("first", F.floor((upto - F.col("n")) / TILE).cast("int")).withColumn("last", F.floor((upto - 1) / TILE).cast("int"))
+    tiles = counts.select("block", "value", "ones", F.explode(F.sequence("first", "last")).alias("tile"))
+    tiles = tiles.groupBy("block", "value", "tile").agg(F.min("ones").alias("low"), F.max("ones").alias("high"))
+    meeting = tiles.alias("x").join(tiles.alias("y"), ["block", "value"]).where(F.expr(f"x.low - y.high <= {radius} AND y.low - x.high <= {radius}"))
+    meeting = meeting.groupBy("block", "value", F.col("x.tile").alias("tile")).agg(F.collect_list("y.tile").alias("others"))
+    crowded = counts.select("block", "value", "ones", "first", "last")
+    dealt = routed.join(crowded, ["block", "value", "ones"], "left").withColumn("first", F.coalesce("first", F.lit(0)))
+    dealt = dealt.withColumn("tile", F.col("first") + F.pmod(F.xxhash64("fp"), F.coalesce("last", F.lit(0)) - F.col("first") + 1).cast("int"))
+    dealt = dealt.join(meeting, ["block", "value", "tile"], "left").withColumn("other", F.explode(F.coalesce("others", F.array("tile"))))
     dealt = dealt.select("fp", "block", "value", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile")
     key = ["block", "value", "a", "b"]
 
@@ -140,8 +153,8 @@ def near_edges(fps: DataFrame, radius: int) -> DataFrame:
         if held and (found := compared(held)):
             yield _as_edges(found)
 
-    tiles = dealt.repartition(*key).sortWithinPartitions(*key)
-    return tiles.mapInPandas(run, "src long, dst long")
+    ordered = dealt.repartition(*key).sortWithinPartitions(*key)
+    return ordered.mapInPandas(run, "src long, dst long")
 
 
 def _as_edges(found: list[tuple[int, int]]) -> pd.DataFrame:
@@ -153,15 +166,16 @@ def near_copies(df: DataFrame, radius: int = 4, words: int = 4, id_col: str = "d
     """One row for each row with an id: id, fingerprint (16 hex digits), component_id.
 
     component_id is the least id of the documents that links reach. Texts without words (null, empty)
-    have fingerprint zero and are linked like any other; fewer than `words` words are one shingle;
-    rows with a null id are left out; repeated ids each keep a row; an empty table gives no rows.
+    have fingerprint zero and are linked like any other; fewer than `words` words are one shingle; very
+    long texts are read whole; a bit that half of the hashes have is not set; rows with a null id are left
+    out, as are other columns, whatever their names; repeated rows and ids each keep a row; an empty table
+    gives no rows.
     """
     fps = written(fingerprints(df, words, id_col, text_col), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
+    distinct = written(fps.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n")), "distinct")
     edges = written(near_edges(distinct.select("fp"), radius), "edges")
     linked = components(edges)  # node, component: only fingerprints with a link
-    of = distinct.join(linked, distinct["fp"] == linked["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    roots = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    # the table is small beside the texts: one row a distinct fingerprint
-    by_fp = of.join(roots, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = written(distinct.join(linked, distinct["fp"] == linked["node"], "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("root")), "roots")
+    roots = written(of.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "components")
+    by_fp = written(join_dealt(of.withColumnRenamed("n", "copies"), roots, ["root"]).select("fp", "component_id", F.col("copies").alias("n")), "by_fp")
+    return join_dealt(fps, by_fp, ["fp"]).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
