@@ -4,6 +4,7 @@ import json
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -11,9 +12,10 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from tidemark.llm import html_text
 from tidemark.llm.deobfuscate import Decoder, trigram_counts, trigram_table
 from tidemark.llm.fm_index import FMIndex, WaveletMatrix, digest, find_phrases
-from tidemark.llm.html_text import extract_text, main_text
+from tidemark.llm.html_text import Block, Region, extract_text, main_text
 from tidemark.llm.tool_calls import calls_of_turns, link_calls
 from tidemark.llm.toxicity import Features, Model, Scorer, grams_of, score_texts, train
 from tidemark.llm.url_rules import HostRule, ShiftAnd, judge_urls
@@ -137,6 +139,87 @@ def test_main_text():
     assert main_text("<article><p>a &lt;b&gt; c</p><p>x < y</p>") == "a <b> c x < y"
 
 
+PARAGRAPH = "This is the first of the paragraphs of the text and it is as long as it has to be for the rule that is in use here, and on it goes with all of the words that it has."
+
+
+def test_names_alone_empty_no_page():
+    nav = '<ul><li><a href="/a">One of the links</a></li><li><a href="/b">Another of the links</a></li></ul>'
+    aside = f'<div class="sidebar"><p>{PARAGRAPH.replace("first", "last")}</p></div>'
+    for name in ('<div class="content has-sidebar">', '<div id="main" class="layout search-results">', "<form>"):
+        for head in ("<h1>What it is</h1>", ""):
+            assert main_text(f"<body>{name}{nav}{head}<p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div></form></body>") == " ".join([*(["What it is"] if head else []), PARAGRAPH, PARAGRAPH])
+        text = main_text(f"<body>{name}<h1>What it is</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>{aside}</div></form><footer><p>{PARAGRAPH}</p></footer></body>")
+        assert text == f"What it is {PARAGRAPH} {PARAGRAPH}"
+    comments = f'<section class="comments"><article><p>{PARAGRAPH}</p></article></section>' * 5
+    assert main_text(f"<main><h1>Head</h1><p>{PARAGRAPH}</p>{comments}</main>") == f"Head {PARAGRAPH}"
+
+
+def test_pages_without_an_article():
+    linked = '<a href="/x"><div>Some of the other things that are on the site</div><div>and more of them</div></a>'
+    page = f"<body><p>Home</p>{linked}<div><h2>What it is</h2><p>{PARAGRAPH}</p><p>Short.</p><p>{PARAGRAPH}</p></div><p>Nearer to this.</p>{linked}<p>Last</p></body>"
+    assert main_text(page) == f"What it is {PARAGRAPH} Short. {PARAGRAPH} Nearer to this."
+    assert main_text(f"<p><a href='/y'>open<p>{PARAGRAPH}</p>") == PARAGRAPH  # a link without end is one up to the next block
+    assert main_text("<p>only short</p>") == ""
+
+
+def test_labels_equal_plain_rules():
+    """Labels by plain rules: sums of words and place, and for open blocks a search outward in both directions."""
+    r = random.Random(41)
+    for _ in range(300):
+        regions = [Region(r.randrange(-1, k) if k else -1, r.random() < 0.7, r.random() < 0.2) for k in range(r.randint(0, 5))]
+        articles = [k for k, x in enumerate(regions) if not x.away]
+        blocks = []
+        for _ in range(r.randint(0, 30)):
+            n = r.choice([3, 8, 15, 60])
+            blocks.append(Block("x", n, r.choice([0, 0, 0, n // 3, n]), r.choice([0, n // 6, n // 2]), r.randrange(-1, len(regions)), r.choice([-1, *articles]), r.choice([0, 0, 0, 1, 2])))
+        said = [html_text.by_words(b) for b in blocks]
+        size = lambda some, least=1: sum(b.words for b, t in zip(blocks, said) if t >= least and some(b))
+        least = 1 if size(lambda b: True) else 0
+        total = size(lambda b: True, least)
+
+        def under(k, top):
+            while k >= 0 and k != top:
+                k = regions[k].up
+            return k == top and k >= 0
+
+        def off(k):
+            while k >= 0:
+                mine = size(lambda b: under(b.region, k), least)
+                heads = any(under(j, k) and regions[j].heads for j in range(len(regions)))
+                headed = any(b.heading == 1 or b.article >= 0 for b in blocks)
+                void = total > 0 and (2 * mine >= total if heads else not headed and 5 * mine >= 4 * total)
+                if regions[k].away and not void:
+                    return True
+                k = regions[k].up
+            return False
+
+        live = {b.article for b in blocks if b.article >= 0 and not off(b.article)}
+        marked = live and 2 * size(lambda b: b.article in live, least) >= total
+        place = [-4 * off(b.region) + (1 if b.article in live else -2 if marked else 0) for b in blocks]
+        sums = [a + b for a, b in zip(said, place)]
+        want = []
+        for k, b in enumerate(blocks):
+            if sums[k]:
+                want.append(sums[k] > 0)
+                continue
+            good = lambda i: sums[i] != 0 and place[i] > -3
+            left = next((i for i in range(k - 1, -1, -1) if good(i)), None)
+            right = next((i for i in range(k + 1, len(blocks)) if good(i)), None)
+            if b.heading and right is not None:
+                want.append(sums[right] > 0)
+            else:
+                near = sorted((abs(i - k), sums[i] < 0) for i in (left, right) if i is not None)
+                want.append(bool(near) and not near[0][1])
+        assert html_text.labels_of(blocks, regions) == want
+
+
+def test_long_pages_take_linear_time():
+    began = time.time()
+    for page in ("<div>x</div>" * 200_000, "<div>x" * 200_000, "<a href=1>x<p>" * 200_000, "<!" * 200_000, "</p></div>" * 200_000):
+        main_text(page)
+    assert time.time() - began < 50
+
+
 def test_ids_and_columns_stay_exact(spark):
     """A long over 2^53 beside a null, and columns that have the names that the operators add."""
     from test_near import dedup_lines

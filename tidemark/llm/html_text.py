@@ -1,14 +1,17 @@
 """HTML extraction by two passes of block rules.
 
-Pass one splits a page into blocks and decides on each by where it stands, its link density, length
-and share of stop words. Pass two lets short blocks that are still open inherit the label of their
-nearest decided neighbours. Markup is read once from left to right; a page is never cut.
+Pass one splits a page into blocks and weighs for each its link density, length and share of stop words, and as
+evidence where it stands: in a part that is named or marked as a menu, footer, advert and the like, or in or
+outside what the page marks as its article. A part that is named so but holds the page's text counts for nothing.
+Pass two lets blocks that are still open, mostly short ones, inherit the label of their nearest decided
+neighbours. Markup is read once from left to right; a page is never cut.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,31 +42,53 @@ AWAY_NAMES = re.compile(
     r"nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|topbar|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|"
     r"search|widget|pagination|pager|tags|contentinfo|complementary|copyright|legal|disclaimer|skip-link)(?:$|[\s_-])"
 )
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][\w:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^<>]*+)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][\w:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^<>]*+)>", re.S)
 _NAMES = re.compile(r"(?:\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W_]+")
 
 
+_LINK = re.compile(r"<(/?)a(?=[\s>/])", re.I)
+#: Blocks of fewer words are short; long ones are text with fewer stop words.
+SHORT, LONG = 12, 40
+#: Shares of linked words over which a block is a list of links, and of stop words that long and other blocks of text have.
+MOST_LINKED, LOW_STOPS, HIGH_STOPS = 0.4, 0.15, 0.25
+#: What the place says, beside +2, +1, 0, -1 or -3 for the words of a block.
+AWAY_WEIGHT, OUTSIDE_WEIGHT, WITHIN_WEIGHT = -4, -2, 1
+
+
+_NO_LINK = _LINK.match("<a>")
+
+
 @dataclass
 class Block:
     text: str
     words: int
     linked: int
     stops: int
+    region: int  # the innermost part that is named or marked as none of the article, or -1
+    article: int  # the innermost article or main part, or -1
+    heading: int  # 1 to 6, or 0
+
+
+@dataclass
+class Region:
+    """A part of the page: the one around it, and whether it is one of those that are not article text."""
+
+    up: int
     away: bool
-    within: bool
-    heading: bool
+    heads: bool = False  # holds a first heading, an article or a main part
 
 
-def blocks_of(page: str) -> tuple[list[Block], bool]:
-    """The blocks of a page in order, and whether it marks an article or main part."""
+def blocks_of(page: str) -> tuple[list[Block], list[Region]]:
+    """The blocks of a page in order, and the parts that they stand in."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, away, within an article
+    regions: list[Region] = []
+    stack: list[tuple[str, int, int]] = []  # element, its region or the one around it, its article or the one around it
+    opened: Counter = Counter()
     parts: list[tuple[str, bool]] = []
-    links = at = 0
-    marked = False
-    heading = False
+    at, heading, links = 0, 0, 0
+    link = None  # the next tag of a link after some place
 
     def close() -> None:
         nonlocal parts
@@ -71,10 +96,17 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
         if text:
             linked = len(_WORD.findall(html.unescape(" ".join(t for t, link in parts if link))))
             words = [w.lower() for w in _WORD.findall(text)]
-            away, within = stack[-1][1:] if stack else (False, False)
-            out.append(Block(text, len(words), linked, sum(w in STOP_WORDS for w in words), away, within, heading))
+            region, article = stack[-1][1:] if stack else (-1, -1)
+            out.append(Block(text, len(words), linked, sum(w in STOP_WORDS for w in words), region, article, heading))
         parts = []
 
+    def closed_later(begin: int) -> bool:
+        """Whether a link's end tag comes before another link."""
+        nonlocal link
+        if link is None or link is not _NO_LINK and link.start() < begin:
+            link = _LINK.search(page, begin) or _NO_LINK
+        return link[1] == "/"
+
     while True:
         m = _TAG.search(page, at)
         if m is None:
@@ -95,64 +127,130 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
                 at = end.end() if end else len(page)
             continue
         if name == "a":
-            links = 0 if closing else 1
+            # 2: a link up to its end tag, also over blocks; 1: one without end, up to the next block
+            links = 0 if closing or "href" not in attributes.lower() else 2 if closed_later(at) else 1
             continue
         if name == "br":
             parts.append((" ", False))
             continue
         tracked = name in BLOCK and name not in ("p", "hr", "h1", "h2", "h3", "h4", "h5", "h6") or name in AWAY
         named = "" if closing else " ".join(x for found in _NAMES.findall(attributes) for x in found if x).lower()
+        away = name in AWAY
         if not closing and (named and AWAY_NAMES.search(named) or _HIDDEN.search(attributes)) and name not in VOID and name not in ("html", "body"):
-            tracked = True
-            away = True
-        else:
-            away = name in AWAY
-        if name in BLOCK or tracked or any(x[0] == name for x in stack[-40:]) and closing:
+            tracked = away = True
+        if name in BLOCK or tracked or closing and opened[name]:
             close()
-            links = 0
-            heading = name[0] == "h" and name[1:].isdigit() and not closing
+            links = links if links == 2 else 0
+            heading = int(name[1]) if name[0] == "h" and name[1:].isdigit() and not closing else 0
+        region, article = stack[-1][1:] if stack else (-1, -1)
+        if heading == 1 and region >= 0:
+            regions[region].heads = True
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if opened[name]:
+                while True:  # what is still open inside ends too
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
+                        break
         elif tracked and name not in VOID and not attributes.endswith("/"):
-            up = stack[-1][1:] if stack else (False, False)
-            article = name in ("article", "main")
-            marked |= article and not up[0] and not away
-            stack.append((name, up[0] or away, up[1] or article))
+            if away:
+                regions.append(Region(region, True))
+                region = len(regions) - 1
+            elif name in ("article", "main"):
+                if region >= 0:
+                    regions[region].heads = True
+                regions.append(Region(region, False))
+                region = article = len(regions) - 1
+            stack.append((name, region, article))
+            opened[name] += 1
     close()
-    return out, marked
+    return out, regions
 
 
-def labels_of(blocks: list[Block], marked: bool, short: int = 12, long: int = 40, most_linked: float = 0.4, low: float = 0.15, high: float = 0.25) -> list[bool]:
-    """Whether each block is main text."""
-    found: list[bool | None] = []
-    for b in blocks:
-        density = b.linked / b.words if b.words else 0.0
-        stops = b.stops / b.words if b.words else 0.0
-        if b.away or (marked and not b.within) or (density > most_linked and not (b.heading and b.within)):
-            found.append(False)
-        elif marked:  # in the part that the page marks as its article
-            found.append(True)
-        elif b.text.startswith(("©", "Copyright ")):
-            found.append(False)
-        elif b.words < short or b.heading:
-            found.append(None)
-        elif stops >= (low if b.words >= long else high):
-            found.append(True)
-        else:
-            found.append(False if b.linked else None)
+def by_words(block: Block) -> int:
+    """What the words of a block say: 2 and 1 for text, 0 for nothing, less for lists of links and the like."""
+    density = block.linked / block.words if block.words else 0.0
+    stops = block.stops / block.words if block.words else 0.0
+    if density > MOST_LINKED and not (block.heading and block.article >= 0):
+        return -3
+    if block.text.startswith(("©", "Copyright ")):
+        return -2
+    if block.words < SHORT or block.heading:
+        return 0
+    if stops >= (LOW_STOPS if block.words >= LONG else HIGH_STOPS):
+        return 2 if block.words >= LONG else 1
+    return -1 if block.linked else 0
+
+
+def by_place(blocks: list[Block], regions: list[Region], said: list[int]) -> list[int]:
+    """What the place of each block says.
+
+    A part that is named as none of the article counts for nothing if it holds half of the page's text and
+    a first heading or article, or, where no part or heading is marked so, four fifths of the text.
+    """
+    weight = lambda least: [b.words if t >= least else 0 for b, t in zip(blocks, said)]
+    text = weight(1)
+    if not any(text):
+        text = weight(0)
+    total = sum(text)
+    held, heads = [0] * len(regions), [r.heads for r in regions]
+    for b, n in zip(blocks, text):
+        if b.region >= 0:
+            held[b.region] += n
+    for k in range(len(regions) - 1, -1, -1):  # parts come after those around them
+        if regions[k].up >= 0:
+            held[regions[k].up] += held[k]
+            heads[regions[k].up] |= heads[k]
+    headed = any(b.heading == 1 or b.article >= 0 for b in blocks)
+    away: list[bool] = []
+    for k, r in enumerate(regions):
+        void = total > 0 and (2 * held[k] >= total if heads[k] else not headed and 5 * held[k] >= 4 * total)
+        away.append(r.away and not void or r.up >= 0 and away[r.up])
+    articles = {b.article for b in blocks if b.article >= 0 and not away[b.article]}
+    inside = sum(n for b, n in zip(blocks, text) if b.article in articles)
+    marked = bool(articles) and 2 * inside >= total
     out = []
-    for k, label in enumerate(found):
+    for b in blocks:
+        place = AWAY_WEIGHT if b.region >= 0 and away[b.region] else 0
+        if b.article in articles:
+            place += WITHIN_WEIGHT
+        elif marked:
+            place += OUTSIDE_WEIGHT
+        out.append(place)
+    return out
+
+
+def nearest(decided: list[bool]) -> tuple[list[int], list[int]]:
+    """Of each place the last decided one before it and the first after it, or -1, in two sweeps."""
+    before, after, last = [], [], -1
+    for k, known in enumerate(decided):
+        before.append(last)
+        last = k if known else last
+    last = -1
+    for k in range(len(decided) - 1, -1, -1):
+        after.append(last)
+        last = k if decided[k] else last
+    return before, after[::-1]
+
+
+def labels_of(blocks: list[Block], regions: list[Region]) -> list[bool]:
+    """Whether each block is main text."""
+    said = [by_words(b) for b in blocks]
+    place = by_place(blocks, regions, said)
+    sums = [a + b for a, b in zip(said, place)]
+    found = [None if s == 0 else s > 0 for s in sums]
+    # what is off by its place says nothing about its neighbours
+    before, after = nearest([f is not None and p > AWAY_WEIGHT + WITHIN_WEIGHT for f, p in zip(found, place)])
+    out: list[bool] = []
+    for k, (label, a, b) in enumerate(zip(found, before, after)):
         if label is None:
-            near = lambda places: next(((abs(k - i), not found[i]) for i in places if found[i] is not None and not blocks[i].away), None)  # noqa: B023, E731
-            before, after = near(range(k - 1, -1, -1)), near(range(k + 1, len(found)))
-            if blocks[k].heading and after:  # a heading goes with what it heads
-                label = not after[1]
-            else:  # the nearer neighbour; of two as near, one that is main text
-                label = not min((x for x in (before, after) if x), default=(0, False))[1]
-        out.append(label)
+            if blocks[k].heading and b >= 0:  # a heading goes with what it heads
+                label = found[b]
+            elif a >= 0 and b >= 0:  # the nearer neighbour; of two as near, one that is main text
+                label = found[a] if k - a < b - k else found[b] if b - k < k - a else found[a] or found[b]
+            else:
+                label = a >= 0 and found[a] or b >= 0 and found[b]
+        out.append(bool(label))
     return out
 
 
@@ -160,15 +258,17 @@ def main_text(page: str | None) -> str:
     """The main text of a page: its blocks joined by one space."""
     if not page:
         return ""
-    blocks, marked = blocks_of(page)
-    return " ".join(b.text for b, good in zip(blocks, labels_of(blocks, marked)) if good)
+    blocks, regions = blocks_of(page)
+    return " ".join(b.text for b, good in zip(blocks, labels_of(blocks, regions)) if good)
 
 
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each row of df: id, url, text and n_chars.
 
     Null and empty pages have an empty text, as have pages without main text. Broken markup is read
-    as far as it goes; repeated rows, null ids and null urls are kept; an empty table gives no rows.
+    as far as it goes, very long pages in time linear in their length; of two neighbours as near the one
+    that is main text counts; repeated rows, null ids and null urls are kept, ids exactly; other columns
+    are left out, whatever their names; an empty table gives no rows.
     """
 
     def run(parts: Iterator) -> Iterator[tuple]:
