@@ -6,6 +6,7 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from test_near import joined, plain_fingerprint, plain_lines
 from test_texts import plain_hits, words
 
@@ -84,6 +85,24 @@ def test_stages(spark, folder):
         assert found[d]["n_tokens"] == len(ids) and found[d]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_columns_of_the_caller_stay(spark, folder):
+    names = ("score", "predicted", "held_out", "n_lines", "n_dropped", "dropped", "n_words", "hit_spans", "hit_items", "other")
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet")
+    docs = docs.select("*", *[(F.when(F.col("doc_id") % 3 > 0, (1 << 53) + 1 + F.col("doc_id"))).alias(n) for n in names])
+    before = {r["doc_id"]: r for r in docs.collect()}
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder[0])
+        assert out.dtypes == docs.dtypes
+        for r in out.collect():
+            assert all(r[n] == before[r["doc_id"]][n] for n in ("lang", "source", *names))
+
+
+def test_stages_of_nothing(spark, folder):
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").where("false")
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs, folder[0]).count() == 0
+
+
 def test_run(spark, folder):
     out = pipeline.run(spark, folder[0]).collect()
     assert len(out) > 100 and all(r["round_trip"] for r in out)
