@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,6 +131,25 @@ def test_forecast_on_known_slope(spark):
     assert f["point_date"] is None and f["unavailable"] == "no pause"
 
 
+def test_one_key_with_many_points_and_intervals(spark):
+    points = spark.range(100_000).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 600).alias("time"))
+    spans = spark.range(10_000).select(F.lit(1).alias("k"), "id", F.timestamp_seconds(F.col("id") * 6000).alias("lo"), F.timestamp_seconds(F.col("id") * 6000 + 3000).alias("hi"))
+    spans = spans.union(spark.sql("select 1, -1L, timestamp'1970-01-01', timestamp'1980-01-01'"))
+    met = intervals.interval_join(points, spans, "time", "lo", "hi", ["k"]).groupBy("id").count()
+    assert met.where("id >= 0 and count = 5").count() == 10_000 and met.where("id = -1").first()["count"] == 100_000
+
+
+def test_running_bias_is_the_median_before(spark):
+    r = random.Random(3)
+    data = [(k, i, r.uniform(1, 9), r.uniform(1, 9), 0.5, 1.0) for k in range(3) for i in range(40)]
+    fitted = spark.createDataFrame(data, "k int, n int, x double, y double, slope double, intercept double")
+    got = {(x["k"], x["n"]): (x["bias"], x["error"]) for x in models.backtest_rows(fitted, ["k"], ["n"], "n", "x", "y", 5).collect()}
+    for (k, n), (bias, _) in got.items():
+        before = [e for (a, b), (_, e) in got.items() if a == k and b < n]
+        assert abs(bias - (statistics.median(before) if len(before) >= 3 else 0.0)) < 1e-12
+    assert len(got) == 3 * 35
+
+
 def test_report(spark):
     t = {"e": spark.createDataFrame([(1, at(0)), (2, at(5)), (4, None)], "n int, t timestamp"), "empty": spark.createDataFrame([], "n int, t timestamp")}
     rules = [checks.not_empty("e there", "e", "t"), checks.not_empty("empty there", "empty"), checks.contiguous("in a row", "e", "n"), checks.populated("time known", "e", "t"), checks.counted("late", "e", F.col("n") > 1), checks.fresh("fresh", "e", "t", F.lit(at(48)), 1.0)]
@@ -138,18 +158,49 @@ def test_report(spark):
 
 
 def test_readings(spark):
-    text = "The tiltmeter at UWD recorded about 11 microradians of deflationary tilt during episode 8 and about 1.3 microradians of inflationary tilt since the end of episode 8. It is less than 1.0 microradian per day of inflation. SMC saw 19.1 microradians of deflation during episode 53. Last."
+    text = "The tiltmeter at UWD recorded about 11 microradians of deflationary tilt during episode 8 and about 1.3 microradians of inflationary tilt since the end of episode 8. It is less than 1.0 microradian per day of inflation. The Sandhill tiltmeter (SMC) saw 19.1 microradians of deflation during episode 53. Last."
     df = spark.createDataFrame([(1, text)], "id int, body string")
     got = [(r["kind"], r["number"], r["station"], r["qualifier"]) for r in mining.number_readings(df, "body", ["id"]).collect()]
     assert got == [("deflation_episode", 11.0, "UWD", "about"), ("inflation_cumulative", 1.3, "UWD", "about"), ("rate_per_day", 1.0, None, "exact"), ("deflation_episode", 19.1, "SMC", "exact")]
 
 
+def test_only_instruments_are_stations(spark):
+    text = "The NWS reports that UWD recorded 5.0 microradians of inflationary tilt since the end of episode 50. Sand Hill lost 2 microradians of deflation overnight."
+    df = spark.createDataFrame([(1, text)], "id int, body string")
+    seen = lambda **k: [(r["number"], r["station"], r["kind"]) for r in mining.number_readings(df, "body", ["id"], **k).collect()]
+    assert seen() == [(5.0, None, "inflation_cumulative"), (2.0, None, "change_24h")]
+    assert seen(codes=["UWD"], stations={"sand hill": "SDH"}) == [(5.0, "UWD", "inflation_cumulative"), (2.0, "SDH", "change_24h")]
+
+
+def test_phrases_and_ranges():
+    tokens = mining.tokens_of("It re-inflated 1.5 µrad since the end.")
+    assert [t[2] for t in tokens] == ["it", "re-inflated", "1.5", "µrad", "since", "the", "end", "."]
+    assert mining.Phrases(["re-inflat*", "since the"]).spans(tokens) == [(3, 14), (24, 33)] and mining.Phrases(["since end"]).spans(tokens) == []
+    found = lambda t: [x[1:] for x in mining.ranges_of(t)]
+    assert found("between Monday, May 3 and Friday, May 7, 2026") == [(("may", 3, None), ("may", 7, 2026))]
+    assert found("from May 3, 2025 through 9; between 3 and 5 May, from June 5 until 7") == [(("may", 3, 2025), ("may", 9, None))]
+    assert found("between December 30 and January 2") == [(("december", 30, None), ("january", 2, None))] and found("") == []
+
+
+def test_latest_offline_and_precursors(spark):
+    r = spark.createDataFrame([(1, "a", 1.0, "U", "exact", 0, "x"), (1, "a", 2.0, "V", "about", 1, "y"), (1, "b", 3.0, None, "exact", 2, "x")], "id int, kind string, number double, station string, qualifier string, pos int, sentence string")
+    got = {x["kind"]: (x["latest"]["number"], x["quotes"]) for x in mining.latest_readings(r, ["id"]).collect()}
+    assert got == {"a": (2.0, ["x", "y"]), "b": (3.0, ["x"])}
+    df = spark.createDataFrame([(1, "The SDH and UWD instruments are offline. ABC is fine. UWD was offline.", at(24)), (2, None, at(24))], "id int, body string, start timestamp")
+    assert {x["id"]: x["offline_stations"] for x in mining.offline(df, "body", ["id"]).collect()} == {1: ["SDH", "UWD"], 2: []}
+    notes = ["Precursory overflows began on January 1 - 4 a.m. and went on.", "It went on. First spatter started on January 1, 2026 - 12:30 p.m.; more.", "Overflows began on January 1.", None]
+    df = spark.createDataFrame([(i, n, at(24)) for i, n in enumerate(notes)], "id int, body string, start timestamp")
+    assert {x["id"]: (x["precursor"], x["lead_hours"]) for x in mining.precursors(df, "body", "start", ["id"]).collect()} == {0: (at(14), 10.0), 1: (at(22.5), 1.5), 2: (None, None), 3: (None, None)}
+
+
 def test_date_windows(spark):
     issued = dt.datetime(2025, 12, 30, 20)
     texts = ["Episode 40 is likely to begin between December 31 and January 3.", "The eruption went on from December 1 to 5, as forecast.", "Rain is expected between January 2 and 4.", "Episode 41 is likely between January 5 and March 30."]
     df = spark.createDataFrame([(i, t, issued) for i, t in enumerate(texts)], "id int, body string, sent timestamp")
     got = [(r["id"], r["window_start_date"], r["window_end_date"], r["stated_episode"]) for r in mining.date_windows(df, "body", "sent", ["id"]).collect()]
     assert got == [(0, dt.date(2025, 12, 31), dt.date(2026, 1, 3), 40)]
+    first = mining.date_windows(df, "body", "sent", ["id"], behind=120, past_allowed=True, first_only=True)
+    assert [(r["id"], r["window_start_date"]) for r in first.orderBy("id").collect()] == [(0, dt.date(2025, 12, 31)), (1, dt.date(2025, 12, 1))]
 
 
 def test_facts(spark):

@@ -35,8 +35,9 @@ def test_episode_table(spark):
     e = {r["episode_no"]: r for r in landed.episode_table(spark.createDataFrame([(page,)], "h string"), "h", "Episode").collect()}
     assert set(e) == {1, 2} and e[1]["pause"] == dt.datetime(2024, 12, 24, 2) and e[1]["precursor_lead_hours"] == 1.0
     assert e[1]["duration_hours_calc"] == 13.667 and e[1]["repose_hours_calc"] == 204.0 and (e[2]["is_ongoing"], e[1]["is_ongoing"]) == (1, 0)
-    hz = landed.hazard_table(spark.createDataFrame([(f"<table>{row('Episode', 'Date', 'Hazard')}{row('12-13', 'June 1', 'tephra', 'roads')}</table>",)], "h string"), "h", "Hazard").first()
-    assert (hz["episode_no"], hz["hazard"], hz["impacts"], hz["wind_conditions"]) == (12, "tephra", "roads", None)
+    hazards = f"<table>{row('Episode', 'Date', 'Fountain', 'Wind', 'Plume', 'Hazards')}{row('12-13', 'June 1', '1,000 feet', 'light', '5 km', 'tephra on roads')}{row('14', 'June 2', '', '', '')}{row('x', 1, 2, 3, 4, 5)}</table>"
+    hz = landed.hazard_table(spark.createDataFrame([(hazards,)], "h string"), "h", "Hazard").collect()
+    assert [tuple(r) for r in hz] == [(12, "June 1", "1,000 feet", 304.8, "light", "5 km", "tephra on roads")]
 
 
 def test_notices_and_telex(spark):
@@ -46,6 +47,9 @@ def test_notices_and_telex(spark):
     assert (n["notice_id"], n["alert_level"], n["color_code"], n["type_title"], n["sent"]) == ("notice-2026-08-13T11:26:00Z", "WATCH", "ORANGE", "Daily", dt.datetime(2026, 8, 13, 11, 26))
     body = "VONA\nNOTICE NR: 2026/12\nDTG: 20260813/1126Z\nCURRENT COLOUR CODE: YELLOW\nPREVIOUS COLOUR CODE: ORANGE\nONSET: 20260813/1123Z\nMOV: SW\nRMK: EPISODE 53 ENDED."
     v = landed.telex(spark.createDataFrame([(body,)], "b string"), "b", []).first()
+    more = body + "\nCONTACTS: office\nEPISODE 60"
+    typed = spark.createDataFrame([(more, "VV"), (more, "DU"), ("KEY: 1", "VV")], "b string, code string")
+    assert [(r["remarks"], r["episode_no"]) for r in landed.telex(typed, "b", [], "code").collect()] == [("EPISODE 53 ENDED.", 53)]
     assert (v["onset"], v["colour_code"], v["previous_colour"], v["cloud_movement"], v["episode_no"]) == (dt.datetime(2026, 8, 13, 11, 23), "YELLOW", "ORANGE", "SW", 53)
 
 
@@ -74,3 +78,22 @@ def test_positions(spark):
     line = "UWEV 26JUL04 2026.5 61225 2425 6 -155.3 100 0.5 2000 0.25 1257 0.629615 0 0.001 0.001 0.004 0 0 0 19.42 -155.29 1257.6"
     p = landed.positions(spark.createDataFrame([(line,), (line.replace("UWEV", "BYRL"),), ("site YYMMMDD",)], "l string"), "l", "uwev", "final", "PA").collect()
     assert len(p) == 1 and (p[0]["up_off_m"], p[0]["up_ref_m"], p[0]["up_abs_m"], p[0]["day"]) == (0.629615, 1257.0, 1257.629615, dt.date(2026, 7, 4))
+
+
+def test_zips_and_labels(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "uwd.zip", "w") as z:
+        z.writestr("a/UWD_2018.csv", "\ufeffUTC Date Time,East Tilt (microrad)\n2018-05-01 00:00:00,1.5\nbad,2\n2018-05-01T00:01:00Z,NaN\n2018-05-01T00:02:00Z\n")
+        z.writestr("UWD_1sec.csv", "UTC Date Time,East Tilt (microrad)\n2018-05-01 00:00:00,9\n")
+        z.writestr("readme.txt", "Station: UWD")
+    s = landed.zipped_samples(spark.read.format("binaryFile").load(str(tmp_path)), "UWD").orderBy("time").collect()
+    assert [(r["station"], r["segment"], r["east"], r["north"]) for r in s] == [("UWD", "UWD_2018", 1.5, None), ("UWD", "UWD_2018", None, None), ("UWD", "UWD_2018", None, None)]
+    text = "Station Name: Uwekahuna\n  Elevation :  1250 m \nOther"
+    r = landed.labelled_values(spark.createDataFrame([(text,)], "t string"), "t", ["Station Name", "Elevation", "Depth"], []).first()
+    assert tuple(r) == ("Uwekahuna", "1250 m", None)
+
+
+def test_daily_millimetres(spark):
+    p = spark.createDataFrame([("A", "2020-01-01", "final", "NA12", 1.23456, 0.5, 0.25, 0.001), ("A", "2020-01-02", "final", "IGS", 1.0, 1.0, 1.0, 1.0), ("A", "2020-01-03", "final", "NA12", None, 1.0, 1.0, 1.0)], "station string, day string, solution string, frame string, up_abs_m double, east_abs_m double, north_abs_m double, sig_up_m double")
+    assert [tuple(r) for r in landed.daily_millimetres(p, "NA12").collect()] == [("A", "2020-01-01", "final", 1234.56, 500.0, 250.0, 1.0)]

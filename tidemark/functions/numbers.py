@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import col
 
+#: The mean radius of the earth, feet in metres, number words.
 EARTH_RADIUS_KM = 6371.0088
 FEET_TO_METRES = 0.3048
 NUMBER_WORDS = {"no": 0, "zero": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10}
@@ -20,7 +21,7 @@ def first_number(text) -> Column:
 def number_or_word(text) -> Column:
     """A number in digits or a word from no to ten."""
     words = F.create_map(*[F.lit(x) for pair in NUMBER_WORDS.items() for x in pair])
-    return F.coalesce(F.expr("null").cast("int"), F.try_element_at(words, F.lower(F.trim(col(text)))), first_number(text).cast("int"))
+    return F.coalesce(F.try_element_at(words, F.lower(F.trim(col(text)))), first_number(text).cast("int"))
 
 
 def height_m(text) -> Column:
@@ -52,10 +53,15 @@ def hit(value, low, high) -> Column:
     return F.when(col(value).isNull(), None).when(col(value).between(col(low), col(high)), 1).otherwise(0)
 
 
+def rank_at(q: float, n) -> Column:
+    """The place, from 1, of a quantile among n values in order: half-even rounding of q * (n - 1)."""
+    return (1 + F.bround(F.lit(q) * (col(n) - 1))).cast("int")
+
+
 def nearest_rank(values, q: float) -> Column:
     """The quantile at the index that half-even rounding gives; values is an array."""
     ordered = F.sort_array(values)
-    return F.try_element_at(ordered, (1 + F.bround(F.lit(q) * (F.size(ordered) - 1))).cast("int"))
+    return F.try_element_at(ordered, rank_at(q, F.size(ordered)))
 
 
 def signed(magnitude, kind, negative_prefix: str = "deflation", most: float = 200.0) -> Column:

@@ -130,3 +130,13 @@ def repose_daily_range(episodes: DataFrame, daily: DataFrame, by: Sequence[str]
         F.round(F.avg("sigma") * 1000, 2).alias("mean_sigma_mm"),
         F.count_distinct("solution").alias("n_solutions"),
     )
+
+
+def with_trajectory(features: DataFrame, tracks: DataFrame, station: str, by: Sequence[str] = (), prefix: str = "tn_") -> DataFrame:
+    """The feature table with one station's drop and recovery of each episode, and the drop of the episode before, by number."""
+    key = [*by, "episode_no"]
+    one = tracks.where(F.col("station") == station)
+    names = ("drop", "recovered_last", "recovered_max", "recovery_days", "n_readings", "recovery_rate", "recovery_fraction", "change_last")
+    own = one.select(*key, *[F.col(c).alias(f"{prefix}{c}") for c in names])
+    prior = one.select(*by, (F.col("episode_no") + 1).alias("episode_no"), F.col("drop").alias(f"{prefix}prev_drop"))
+    return features.join(own, key, "left").join(prior, key, "left")

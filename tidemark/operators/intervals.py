@@ -14,26 +14,25 @@ MOST_BUCKETS = 512
 def interval_join(points: DataFrame, intervals: DataFrame, at: str, low: str, high: str, by: Sequence[str] = (), bucket_seconds: int = 86_400) -> DataFrame:
     """Inner join: low <= at < high, and equal `by` columns.
 
-    With `by`, the equi-join on them carries the range as a residual. Without, both sides meet in time
-    buckets: an interval goes to each bucket that it touches, a point to its own. Intervals over more
-    than MOST_BUCKETS buckets meet points in buckets MOST_BUCKETS times as wide, so a long interval
-    doesn't become a row for each day of a century. Intervals with a null or reversed bound match nothing.
+    Both sides meet in time buckets, beside the `by` columns if there are any: an interval goes to each
+    bucket that it touches, a point to its own, so a key with many points and many intervals doesn't
+    compare them all. Intervals over more than MOST_BUCKETS buckets meet points in buckets MOST_BUCKETS
+    times as wide, so a long interval doesn't become a row for each day of a century; the wide buckets are
+    the narrow ones' numbers divided, so one point row serves both. Null keys, and intervals with a null or
+    reversed bound, match nothing.
     """
-    if by:
-        renamed = intervals.select([F.col(c).alias(f"_{c}") if c in by else F.col(c) for c in intervals.columns])
-        on = [points[c] == renamed[f"_{c}"] for c in by] + [F.col(at) >= F.col(low), F.col(at) < F.col(high)]
-        return points.join(renamed, on).drop(*[f"_{c}" for c in by])
     seconds = lambda c: F.floor(F.unix_micros(F.col(c)) / 1_000_000)
-    sound = intervals.where(F.col(low) < F.col(high))
-    span = F.floor(seconds(high) / bucket_seconds) - F.floor(seconds(low) / bucket_seconds)
-    out = None
-    for width, chosen in ((bucket_seconds, span < MOST_BUCKETS), (bucket_seconds * MOST_BUCKETS, span >= MOST_BUCKETS)):
-        bucket = lambda c: F.floor(seconds(c) / width)  # noqa: B023, E731
-        left = points.withColumn("_bucket", bucket(at))
-        right = sound.where(chosen).withColumn("_bucket", F.explode(F.sequence(bucket(low), bucket(high))))
-        met = left.join(right, "_bucket").where((F.col(at) >= F.col(low)) & (F.col(at) < F.col(high))).drop("_bucket")
-        out = met if out is None else out.unionByName(met)
-    return out
+    renamed = intervals.select([F.col(c).alias(f"_{c}") if c in by else F.col(c) for c in intervals.columns])
+    sound = renamed.where(F.col(low) < F.col(high))
+    narrow = lambda c: F.floor(seconds(c) / bucket_seconds)
+    wide = lambda c: F.floor(narrow(c) / MOST_BUCKETS)
+    short = narrow(high) - narrow(low) < MOST_BUCKETS
+    step = F.when(short, 0).otherwise(1)
+    buckets = F.when(short, F.sequence(narrow(low), narrow(high))).otherwise(F.sequence(wide(low), wide(high)))
+    right = sound.withColumn("_step", step).withColumn("_bucket", F.explode(buckets))
+    left = points.withColumn("_p", F.explode(F.array(F.struct(F.lit(0).alias("s"), narrow(at).alias("b")), F.struct(F.lit(1).alias("s"), wide(at).alias("b")))))
+    on = [F.col("_p.s") == F.col("_step"), F.col("_p.b") == F.col("_bucket"), *[points[c] == F.col(f"_{c}") for c in by], F.col(at) >= F.col(low), F.col(at) < F.col(high)]
+    return left.join(right, on).drop("_p", "_step", "_bucket", *[f"_{c}" for c in by])
 
 
 def with_prior(df: DataFrame, number: str, columns: dict[int, dict[str, str]], by: Sequence[str] = ()) -> DataFrame:

@@ -119,9 +119,15 @@ def publish(tables: Mapping[str, DataFrame], drop: Mapping[str, Column], path: s
     if bad:
         fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
         raise ValueError(f"counts differ after derivation: {', '.join(bad)}")
-    if fs.exists(target):
-        fs.delete(target, True)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.replaced-{uuid.uuid4().hex}") if fs.exists(target) else None
+    if aside is not None and not fs.rename(target, aside):
+        raise OSError(f"could not move {path} aside; the new dataset is in {staging}")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
+        if aside is not None:
+            fs.rename(aside, target)
+        raise OSError(f"could not move {staging} to {path}; what was there is back")
+    if aside is not None:
+        fs.delete(aside, True)
     return report
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush, heappushpop
+from itertools import repeat
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.functions.numbers import hit, nearest_rank
+from tidemark.functions.numbers import hit, rank_at
 from tidemark.functions.times import days_between, hours_between, local_date
 from tidemark.operators.latest import latest_with_ties
 
@@ -41,9 +45,13 @@ def score_pairs(pairs: DataFrame, by: Sequence[str], least: int = 6, tolerances:
     e = F.col("prediction") - F.col("actual")
     a = F.abs(e)
     within = [(100.0 * F.avg(F.when(a <= t, 1.0).otherwise(0.0))).alias(f"within_{t:g}_pct") for t in tolerances]
-    out = pairs.groupBy(*by, "name").agg(
+    series = [*by, "name"]
+    w = Window.partitionBy(*series)
+    ranked = pairs.withColumns({"_a": a, "_n": F.count("*").over(w), "_rank": F.row_number().over(w.orderBy(a))})
+    picked = F.max(F.when(F.col("_rank") == rank_at(coverage, F.col("_n")), F.col("_a")))
+    out = ranked.groupBy(*series).agg(
         F.count("*").alias("n"), F.avg(a).alias("mae"), F.percentile(a, F.lit(0.5)).alias("median_ae"), F.sqrt(F.avg(e * e)).alias("rmse"), *within,
-        (2 * nearest_rank(F.collect_list(a), coverage) / 24).alias("implied_window_days"),
+        (2 * picked / 24).alias("implied_window_days"),
     )
     return out.where(F.col("n") >= least - 1)
 
@@ -59,11 +67,31 @@ def rolling_fit(df: DataFrame, by: Sequence[str], order: Sequence[str], x: str,
 
 
 def backtest_rows(fitted: DataFrame, by: Sequence[str], order: Sequence[str], number: str, x: str, y: str, first: int) -> DataFrame:
-    """From episode `first` on: raw and corrected errors; the correction is the median of the errors before, from three on."""
+    """From episode `first` on: raw and corrected errors; the correction is the median of the errors before, from three on.
+
+    The median runs along a series in two heaps; `by` and `order` name a row, and are never null.
+    """
     rows = fitted.where((F.col(number) >= first) & F.col("slope").isNotNull() & (F.col(y) != 0)).withColumn("error", F.col("slope") * F.col(x) + F.col("intercept") - F.col(y))
-    before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    bias = F.when(F.count("error").over(before) >= 3, F.percentile("error", F.lit(0.5)).over(before)).otherwise(0.0)
-    return rows.withColumn("bias", bias).withColumn("corrected", F.col("error") - F.col("bias"))
+    plain = rows.select(*by, *order, "error")
+
+    def medians(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, below, above = None, [], []  # of a series its lesser half, negated, and its greater half, as heaps
+        for pdf in parts:
+            biases = []
+            for row, error in zip(pdf[list(by)].itertuples(index=False, name=None) if by else repeat(()), pdf["error"]):
+                if row != key:
+                    key, below, above = row, [], []
+                n = len(below) + len(above)
+                biases.append(0.0 if n < 3 else (above[0] - below[0]) / 2 if n % 2 == 0 else -below[0])
+                heappush(above, -heappushpop(below, -error))
+                if len(above) > len(below):
+                    heappush(below, -heappop(above))
+            yield pdf.assign(bias=biases)
+
+    schema = StructType([*plain.schema.fields, StructField("bias", DoubleType())])
+    keyed = plain.repartition(*by).sortWithinPartitions(*by, *order) if by else plain.repartition(1).sortWithinPartitions(*order)
+    biases = keyed.mapInPandas(medians, schema).drop("error")
+    return rows.join(biases, [*by, *order]).withColumn("corrected", F.col("error") - F.col("bias"))
 
 
 def backtest_summary(rows: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.texts import ENTITIES, element_texts, sections, sentences, strip_tags
+from tidemark.functions.texts import ENTITIES, SHORT_FORMS, element_texts, sections, sentences, strip_tags
 from tidemark.operators import checks, intervals, keyed, latest, mining, models, report, rollup
 from tidemark.plans import standins as S
 from tidemark.plans.queries import _FIT, USER, query, r9, us
@@ -194,7 +194,7 @@ def radius_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ABBREVIATED = "text"
-for _form in ("a.m.", "p.m.", "A.M.", "P.M.", "U.S.", "U.S.G.S.", "Mt.", "St.", "Dr.", "Mr.", "Ms.", "approx.", "no.", "No.", "vs.", "e.g.", "i.e."):
+for _form in SHORT_FORMS:
     _ABBREVIATED = f"replace({_ABBREVIATED}, '{_form}', '{_form.replace('.', chr(1))}')"
 
 
@@ -236,7 +236,7 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def number_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return mining.number_readings(docs, "text", ["doc_id"], units=r"[a-z]{2,}", kinds={"first": r"\bthe\b", "second": r"\bof\b"}, frames={"near": r"\band\b"}, most=1e6).drop("sentence")
+    return mining.number_readings(docs, "text", ["doc_id"], units=["*"], kinds={"first": ["the"], "second": ["of"]}, frames={"near": ["and"]}, most=1e6).drop("sentence")
 
 
 @query("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) + 3 AS VARCHAR) AS window_start_date, CAST(CAST(o_orderdate AS DATE) + 6 AS VARCHAR) AS window_end_date, CAST(o_custkey % 100 AS INT) AS stated_episode FROM orders""", standins=False)

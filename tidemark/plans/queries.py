@@ -249,6 +249,22 @@ def episode_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("user_id", "episode_no", "station", "drop", "drop_qualifier", "n_readings", "recovered_max", "recovered_last", "recovery_rate", "recovery_fraction", "change_last")
 
 
+@query("""SELECT b.user_id, b.episode_no, f.n_events, t.drop_max AS tn_drop, r.last AS tn_recovered_last, r.mx AS tn_recovered_max, r.n AS tn_n_readings,
+    CASE WHEN t.drop_max > 0 THEN round(r.last / t.drop_max, 4) END AS tn_recovery_fraction, p.drop_max AS tn_prev_drop
+    FROM base b LEFT JOIN feats f USING (user_id, episode_no)
+    LEFT JOIN (SELECT user_id, episode_no, max(magnitude) AS drop_max FROM rd WHERE kind = 'deflation_episode' AND station = 's0' GROUP BY ALL) t ON t.user_id = b.user_id AND t.episode_no = b.episode_no
+    LEFT JOIN (SELECT user_id, episode_no, max(magnitude) AS drop_max FROM rd WHERE kind = 'deflation_episode' AND station = 's0' GROUP BY ALL) p ON p.user_id = b.user_id AND p.episode_no = b.episode_no - 1
+    LEFT JOIN (SELECT user_id, episode_no, count(*) AS n, max(magnitude) AS mx, arg_max(magnitude, observed) AS last FROM dmax WHERE station = 's0' GROUP BY ALL) r
+        ON r.user_id = b.user_id AND r.episode_no = b.episode_no AND t.drop_max IS NOT NULL""")
+def episode_features_tilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = S.events(spark, sf_dir)
+    eps = S.episodes(ev)
+    rd = S.readings(ev, eps)
+    tracks = features.trajectory(rd, features.daily_maximum(rd, eps, "inflation_cumulative", USER), USER)
+    t = features.with_trajectory(_feature_table(spark, sf_dir), tracks, "s0", USER)
+    return t.select("user_id", "episode_no", "n_events", "tn_drop", "tn_recovered_last", "tn_recovered_max", "tn_n_readings", "tn_recovery_fraction", "tn_prev_drop")
+
+
 @query("""SELECT conv_id, arg_min(text, turn) FILTER (role ILIKE '%user%') AS first_user, arg_max(text, turn) FILTER (role ILIKE '%assistant%') AS last_assistant,
     count(DISTINCT text) AS distinct_values, count(*) AS messages, arg_max(role, turn) AS final_role FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id""", standins=False)
 def per_episode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ file names, and returns a typed table; nothing is fetched. Rows without a key or
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import first_number, haversine_km
+from tidemark.functions.numbers import first_number, haversine_km, height_m
 from tidemark.functions.texts import group, squeezed, strip_tags, table_cells
 from tidemark.functions.times import compact_utc, duration_hours, first_timestamp, hours_between, local_clock, local_date, partial_date, to_utc, two_digit_date
 
@@ -108,7 +109,7 @@ def episode_table(df: DataFrame, html: str, marker: str) -> DataFrame:
     r = r.withColumn("_s", start)
     r = r.withColumn("_p", local_clock(cell(3), F.year(local_date(F.col("_s.utc")))))
     notes = cell(8)
-    before = group(notes, r"(?i)began on\s+([A-Za-z]+\s+\d{1,2}(?:,\s*\d{4})?(?:\s*[-–]\s*\d{1,2}(?::\d{2})?\s*[ap]\.?\s?m\.?)?)")
+    before = F.regexp_extract(notes, r"(?is)\bbegan on\b(.*)", 1)  # of what follows, local_clock takes the first date
     r = r.withColumn("_b", local_clock(before, F.year(local_date(F.col("_s.utc")))))
     out = r.select(
         "episode_no", F.col("_s.utc").alias("start"), F.col("_s.exact").alias("start_exact"), F.col("_p.utc").alias("pause"), F.col("_p.exact").alias("pause_exact"),
@@ -121,11 +122,15 @@ def episode_table(df: DataFrame, html: str, marker: str) -> DataFrame:
 
 
 def hazard_table(df: DataFrame, html: str, marker: str) -> DataFrame:
-    """Rows of the other kind of table; their key is the first number of "12-13"."""
+    """Rows of six cells and more of the other kind of table: date, height (also in metres), wind, plume height and impacts; their key is the first number of "12-13"."""
     r = table_rows(df, html, marker)
-    number = F.nullif(F.regexp_extract(F.try_element_at("cells", F.lit(1)), r"^\s*(\d+)", 1), F.lit("")).cast("int")
+    number = F.nullif(F.regexp_extract(F.try_element_at("cells", F.lit(1)), r"^\s*(\d+)\s*(?:-|$)", 1), F.lit("")).cast("int")
     cell = lambda i: F.nullif(F.try_element_at("cells", F.lit(i)), F.lit(""))
-    return r.withColumn("episode_no", number).where(F.col("episode_no").isNotNull()).select("episode_no", cell(2).alias("date_text"), cell(3).alias("hazard"), cell(4).alias("impacts"), cell(5).alias("wind_conditions"))
+    kept = r.withColumn("episode_no", number).where(F.col("episode_no").isNotNull() & (F.size("cells") >= 6))
+    return kept.select(
+        "episode_no", cell(2).alias("date_text"), cell(3).alias("fountain_height_text"), height_m(cell(3)).alias("fountain_height_m"),
+        cell(4).alias("wind_conditions"), cell(5).alias("plume_height_text"), cell(6).alias("impacts"),
+    )
 
 
 # --- notices
@@ -162,10 +167,16 @@ TELEX = {
 }
 
 
-def telex(df: DataFrame, body: str, keep: Sequence[str]) -> DataFrame:
-    """KEY: VALUE lines as columns, with the instants that they state and the episode in the remarks."""
+def telex(df: DataFrame, body: str, keep: Sequence[str], type_code: str | None = None, wanted: str = "VV", marker: str = "VONA") -> DataFrame:
+    """KEY: VALUE lines as columns, with the instants that they state and the episode in the remarks.
+
+    Remarks go on up to the next line that begins with a key, a blank line, or the end. With type_code, the
+    column of notice types, only notices of the wanted type that have the marker are read.
+    """
+    if type_code is not None:
+        df = df.where((F.col(type_code) == wanted) & F.contains(F.col(body), F.lit(marker)))
     fields = {n: squeezed(group(body, f"(?i){p}")) for n, p in TELEX.items()}
-    remarks = squeezed(group(body, r"(?is)RMK:\s*(.+?)(?:\n\s*\n|\z)"))
+    remarks = squeezed(group(body, r"(?s)RMK:\s*(.+?)(?:\n\s*\n|\n\s*[A-Z][A-Z .]*:|\z)"))
     ep = group(F.coalesce(remarks, F.col(body)), r"(?i)EPISODE\s+(\d{1,3})").cast("int")
     d = df.select(*keep, *[c.alias(n) for n, c in fields.items()], remarks.alias("remarks"), ep.alias("episode_no"))
     return d.withColumn("issued", compact_utc("dtg")).withColumn("onset", compact_utc("onset"))
@@ -199,8 +210,6 @@ def number(c) -> Column:
 
 def by_headers(df: DataFrame, headers: Mapping[str, str]) -> DataFrame:
     """The columns whose names, without white space, case and byte-order mark, are known, renamed; the first of equal names."""
-    import re
-
     picked: dict[str, str] = {}
     for c in df.columns:
         name = headers.get(re.sub(r"\s+", "", c).lower().lstrip("﻿"))
@@ -218,6 +227,48 @@ def samples(df: DataFrame, station: str, segment: str) -> DataFrame:
     return renamed.select(F.lit(station).alias("station"), first_timestamp("time", SAMPLE_TIMES).alias("time"), *channels, F.lit(segment).alias("segment")).where(F.col("time").isNotNull())
 
 
+def zipped_samples(files: DataFrame, station: str, skip: str = r"(?i)1sec") -> DataFrame:
+    """Samples of the CSV files within zip files (path, content, as binaryFile gives them); a file's stem is its segment, names that `skip` fits are left out.
+
+    Members are read as streams, a batch of rows at a time; each has one of the header layouts.
+    """
+    names = ["x", "y", "east", "north", "hole_temp", "box_temp", "voltage"]
+
+    def run(parts):
+        import csv
+        import io
+        import zipfile
+
+        for batch in parts:
+            for content in batch.column(0):
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
+                    for name in z.namelist():
+                        if not name.lower().endswith(".csv") or re.search(skip, name):
+                            continue
+                        with z.open(name) as member:
+                            reader = csv.reader(io.TextIOWrapper(member, "utf-8-sig", errors="replace"))
+                            known = [SAMPLE_HEADERS.get(re.sub(r"\s+", "", h).lower().lstrip("\ufeff")) for h in next(reader, [])]
+                            if "time" not in known:
+                                continue
+                            rows = []
+                            for row in reader:
+                                rows.append(dict(zip(reversed(known), reversed(row[: len(known)] + [""] * (len(known) - len(row))))))
+                                if len(rows) == 50_000:
+                                    yield shown(rows, name)
+                                    rows = []
+                            if rows:
+                                yield shown(rows, name)
+
+    def shown(rows: list[dict], name: str):
+        import pyarrow as pa
+
+        stem = name.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+        return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], pa.string()) for n in ("time", *names)] + [pa.array([stem] * len(rows), pa.string())], names=["time", *names, "segment"])
+
+    raw = files.select("content").mapInArrow(run, ", ".join(f"{n} string" for n in ("time", *names, "segment")))
+    return raw.select(F.lit(station).alias("station"), first_timestamp("time", SAMPLE_TIMES).alias("time"), *[number(n).alias(n) for n in names], "segment").where(F.col("time").isNotNull())
+
+
 def labelled_values(df: DataFrame, text: str, labels: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """"Label: value" lines of whole texts as columns."""
     return df.select(*keep, *[group(text, rf"(?im)^\s*{label}\s*:\s*(.+?)\s*$").alias(label.lower().replace(" ", "_")) for label in labels])
@@ -258,8 +309,6 @@ def emissions(df: DataFrame, file_name: str) -> DataFrame:
 
     Files of no known class, rows without a time or rate, and pages that were saved as CSV are left out.
     """
-    import re
-
     columns = [c for c in df.columns if c != file_name]
     find = lambda *patterns: next((c for p in patterns for c in columns if re.search(p, c, re.I)), None)
     time, rate = find(r"date.*time|time.*date", r"date", r"time"), find(r"so2.*(?:t/?d|tpd|tonnes|rate)", r"emission", r"rate", r"so2")
