@@ -323,7 +323,7 @@ def emissions(df: DataFrame, file_name: str) -> DataFrame:
     return rows.select("_k.*", "time", local_date("time").alias("day"), "rate", "source_file")
 
 
-def plume_heights(df: DataFrame, time: str, above_rim: str | None, camera: str | None, above_vent: str | None, formats: Sequence[str] = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss")) -> DataFrame:
+def plume_heights(df: DataFrame, time: str, above_rim: str | None, camera: str | None, above_vent: str | None, formats: Sequence[str] = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss"), keep: Sequence[str] = ()) -> DataFrame:
     """Heights of two layouts: the rim height unless it is 0 or missing, else the camera's, or the height above the vent; others go."""
     at = to_utc(first_timestamp(F.col(f"`{time}`"), list(formats)))
     n = lambda c: F.nullif(first_number(F.col(f"`{c}`").cast("string")), F.lit(0.0)) if c else F.lit(None).cast("double")
@@ -332,7 +332,7 @@ def plume_heights(df: DataFrame, time: str, above_rim: str | None, camera: str |
     else:
         height = F.coalesce(n(above_rim), n(camera))
         ref = F.when(n(above_rim).isNotNull(), "above rim").otherwise("camera frame")
-    return df.select(at.alias("time"), height.alias("height_m"), ref.alias("height_ref")).where(F.col("time").isNotNull() & F.col("height_m").isNotNull())
+    return df.select(*keep, at.alias("time"), height.alias("height_m"), ref.alias("height_ref")).where(F.col("time").isNotNull() & F.col("height_m").isNotNull())
 
 
 def gravity_hourly(df: DataFrame, station: str, time: str, value: str, year: int, formats: Sequence[str] = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss")) -> tuple[DataFrame, DataFrame]:
