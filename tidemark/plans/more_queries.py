@@ -71,8 +71,8 @@ def incremental_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TABLES = {"region": None, "nation": None, "customer": None, "supplier": None, "part": None, "orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts", "documents": None, "labels": None, "pages": None, "conversations": None}
 
 
-@query("""SELECT 'events' AS tbl, count(*) AS n_before, count(*) FILTER (NOT coalesce(event_type = 'error', false)) AS n_after, count(*) FILTER (NOT coalesce(event_type = 'error', false)) AS n_expected, true AS ok FROM events
-    UNION ALL SELECT 'lineitem', count(*), count(*) FILTER (NOT coalesce(l_quantity > 40, false)), count(*) FILTER (NOT coalesce(l_quantity > 40, false)), true FROM lineitem
+@query("""SELECT 'events' AS tbl, count(*) AS n_before, count(*) FILTER (NOT coalesce(event_type = 'error', false)) AS n_after, count(*) - count(*) FILTER (event_type = 'error') AS n_expected, count(*) FILTER (NOT coalesce(event_type = 'error', false)) = count(*) - count(*) FILTER (event_type = 'error') AS ok FROM events
+    UNION ALL SELECT 'lineitem', count(*), count(*) FILTER (NOT coalesce(l_quantity > 40, false)), count(*) - count(*) FILTER (l_quantity > 40), count(*) FILTER (NOT coalesce(l_quantity > 40, false)) = count(*) - count(*) FILTER (l_quantity > 40) FROM lineitem
     UNION ALL SELECT 'orders', count(*), count(*), count(*), true FROM orders""", standins=False)
 def derive_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {n: read_table(spark, sf_dir, n) for n in ("events", "lineitem", "orders")}
@@ -118,15 +118,17 @@ def _rules() -> list[checks.Rule]:
 
 @query("""SELECT * FROM (
     SELECT 'episodes present' AS "check", CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(count(*) = 0 AS BIGINT) AS n FROM ep
-    UNION ALL SELECT 'episode numbers contiguous', 'PASS', 0
+    UNION ALL SELECT 'episode numbers contiguous', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*) FROM ep a WHERE
+        episode_no < (SELECT max(episode_no) FROM ep m WHERE m.user_id = a.user_id) AND NOT EXISTS (SELECT 1 FROM ep b WHERE b.user_id = a.user_id AND b.episode_no = a.episode_no + 1)
     UNION ALL SELECT 'pause after start', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*) FROM ep WHERE pause <= start
     UNION ALL SELECT 'episodes apart', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*) FROM ep a JOIN ep b ON a.user_id = b.user_id AND b.episode_no = a.episode_no + 1 AND a.pause > b.start
-    UNION ALL SELECT 'repose known', 'PASS', 0
+    UNION ALL SELECT 'repose known', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'WARN' END, count(*) FROM ep WHERE is_ongoing = 0 AND repose_hours IS NULL
     UNION ALL SELECT 'ongoing episodes', 'INFO', count(*) FROM ep WHERE is_ongoing = 1
     UNION ALL SELECT 'values in range', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*) FROM ev WHERE value < 0 OR value > 490
     UNION ALL SELECT 'events unique', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*) FROM (SELECT event_id FROM ev GROUP BY 1 HAVING count(*) > 1)
     UNION ALL SELECT 'k known', CASE WHEN count(k) >= 0.9 * count(*) THEN 'PASS' ELSE 'WARN' END, CAST(count(k) < 0.9 * count(*) AS BIGINT) FROM ev
-    UNION ALL SELECT 'rollup has the hours of the samples', 'PASS', 0
+    UNION ALL SELECT 'rollup has the hours of the samples', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, n FROM (SELECT abs(
+        (SELECT count(*) FROM (SELECT DISTINCT station, date_trunc('hour', ts) FROM smp)) - (SELECT count(*) FROM (SELECT station, hour FROM hourly GROUP BY station, hour))) AS n)
     UNION ALL SELECT 'relevelled hours', 'INFO', count(*) FROM (SELECT station, date_trunc('hour', ts) FROM smp GROUP BY ALL HAVING count(DISTINCT segment) > 1)
     UNION ALL SELECT 'orders have customers', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*) FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)
     UNION ALL SELECT 'lines unique', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'WARN' END, count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
