@@ -1,4 +1,4 @@
-"""The corpus queries op1 to op10 with their production parameters, and SQL for those that SQL can express."""
+"""The corpus queries with their production parameters, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from tidemark.llm.simhash import near_copies
 from tidemark.llm.tool_calls import calls_of_turns, link_calls
 from tidemark.llm.toxicity import score_texts, train
 from tidemark.llm.url_rules import HostRule, judge_urls
+from tidemark.llm.word_bpe import encode_words
 
 HOST_RULES = (
     HostRule("org", "/", "allow"),
@@ -90,6 +91,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"), radius=4, words=4)
 
 
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return encode_words(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_passages": op1_passages,
     "op2_top_k": op2_top_k,
@@ -101,6 +108,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_url_rules": op9_url_rules,
     "op10_simhash": op10_simhash,
+    "op12_word_bpe": op12_word_bpe,
 }
 
 ORACLES = {
