@@ -11,10 +11,12 @@ from tidemark.llm.fm_index import digest, find_phrases
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.passages import repeated_passages
+from tidemark.llm.resampling import resample
 from tidemark.llm.simhash import near_copies
 from tidemark.llm.tool_calls import calls_of_turns, link_calls
 from tidemark.llm.toxicity import score_texts, train
 from tidemark.llm.url_rules import HostRule, judge_urls
+from tidemark.llm.whitening import whiten
 from tidemark.llm.word_bpe import encode_words
 
 HOST_RULES = (
@@ -91,12 +93,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"), radius=4, words=4)
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, least_words=20, buckets=10_000, seed=7)
+
+
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return encode_words(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=16, scale=64.0)
+
+
 QUERIES = {
     "op1_passages": op1_passages,
     "op2_top_k": op2_top_k,
@@ -108,7 +118,9 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_url_rules": op9_url_rules,
     "op10_simhash": op10_simhash,
+    "op11_resampling": op11_resampling,
     "op12_word_bpe": op12_word_bpe,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
@@ -230,4 +242,41 @@ ORACLES = {
             WHEN host LIKE '%casino%' OR host LIKE '%-pills%' OR host LIKE '%-bets.%' OR host LIKE '%ads-%' OR host LIKE '%track.%' THEN 'block'
             ELSE 'allow' END AS verdict
         FROM ruled""",
+    "op11_resampling": r"""
+        WITH bits AS (
+            SELECT i, list_reduce(list_concat([CAST(i AS BIGINT)], range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+            FROM range(256) AS r(i)),
+        crc_table AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM bits),
+        texts AS MATERIALIZED (
+            SELECT 1 AS side, row_number() OVER () AS rid, doc_id, text FROM documents
+            UNION ALL SELECT 2, row_number() OVER (), NULL, text FROM benchmark),
+        words AS MATERIALIZED (
+            SELECT side, rid, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM texts),
+        features AS MATERIALIZED (
+            SELECT side, rid, f, count(*) AS n
+            FROM words, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS u(f) GROUP BY ALL),
+        bytes AS (
+            SELECT f, list_transform(range(1, octet_length(encode(f)) + 1), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i - 1, 2) AS BIGINT)) AS b
+            FROM (SELECT DISTINCT f FROM features)),
+        hashed AS MATERIALIZED (
+            SELECT f, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda c, x: xor(c // 256, t[1 + xor(c % 256, x)])), 4294967295) % 10000 AS bucket
+            FROM bytes, crc_table),
+        sums AS (SELECT bucket, sum(n) FILTER (side = 1) AS s, sum(n) FILTER (side = 2) AS t FROM features JOIN hashed USING (f) GROUP BY bucket),
+        every AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM sums),
+        gains AS (
+            SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (s_all + 10000) AS DOUBLE) / CAST((coalesce(s, 0) + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain
+            FROM sums, every),
+        weights AS (
+            SELECT rid, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight
+            FROM features JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 1 GROUP BY rid),
+        scored AS (
+            SELECT rid, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+            FROM words LEFT JOIN weights USING (rid) WHERE side = 1),
+        ranks AS (
+            SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+        SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+        FROM scored LEFT JOIN ranks USING (rid)""",
 }
