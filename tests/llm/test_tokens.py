@@ -30,6 +30,17 @@ def test_equals_the_library(ranks, reference):
         assert codec.encode(text) == reference.encode_ordinary(text), text[:80]
 
 
+def test_equals_the_library_on_runs_of_all_white_space(ranks, reference):
+    codec, r = Codec(ranks, public_tokenizers.PATTERN), random.Random(11)
+    white = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    for text in ["cell \xa0 \xa0 \xa0 cell", "end. \xa0 \xa0", "a \n \xa0 \xa0 b", "\t \xa0 \xa0 b", "a \xa0 \xa0\n\nb", "a \xa0 \xa0", " a ", "a\n ", "\x1c \x1d a \x1c"]:
+        assert codec.encode(text) == reference.encode_ordinary(text), text
+    for _ in range(30_000):
+        some = r.choice(([" ", "\xa0"], [" ", "\xa0", "\t", "\n"], [" ", "\u3000", "\u2009"], white))
+        text = "".join(r.choice(some) if r.random() < 0.7 else r.choice(["cell", "a", ".", "7", "中", "don't"]) for _ in range(r.randint(0, 12)))
+        assert codec.encode(text) == reference.encode_ordinary(text), text
+
+
 def test_small_state_table_gives_the_same(ranks, reference):
     codec = Codec(ranks, public_tokenizers.PATTERN)
     codec.transducer.max_states = 50

@@ -332,10 +332,13 @@ class _Words(dict):
 class Codec:
     """Whole texts to ids and back.
 
-    split_at_space says that the pattern always begins a new piece at a space before another
-    character, as the pattern of byte-level vocabularies does; words can then be looked up.
+    split_at_space says that the pattern always begins a new piece at a space before a character that is no
+    white space, as the pattern of byte-level vocabularies does; words can then be looked up. A space
+    before other white space, or at the end, is part of a run that the pattern takes together.
     """
 
+    _RUN, _CUT = re.compile(r" (?:\s|\Z)").search, re.compile(r" (?=\S)").split
+
     def __init__(self, ranks: dict[bytes, int], pattern: str, split_at_space: bool = True):
         import regex
 
@@ -349,9 +352,7 @@ class Codec:
         return tuple(chain.from_iterable(self.transducer.encode(piece.encode("utf-8")) for piece in self.split(text)))
 
     def encode(self, text: str) -> list[int]:
-        first, *rest = text.split(" ") if self.split_at_space else [text]
-        if "" in rest:  # runs of spaces
-            return list(self._pieces(text))
+        first, *rest = [text] if not self.split_at_space else self._CUT(text) if self._RUN(text) else text.split(" ")
         ids = list(self._pieces(first))
         ids.extend(chain.from_iterable(map(self.words.__getitem__, rest)))
         return ids
