@@ -1,3 +1,4 @@
+import pytest
 import hashlib
 import itertools
 import json
@@ -414,3 +415,19 @@ def test_calls_of_turns(spark):
     calls, results = calls_of_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
     assert sorted((c["call_id"], c["name"]) for c in calls.collect()) == [("1:0", "user"), ("3:0", ""), ("t1", "add")]
     assert sorted((r["call_id"], r["content"]) for r in results.collect()) == [("1:0", "yo"), ("t1", "ok")]
+
+
+def test_json_of_any_size():
+    import time
+
+    from tidemark.llm.tool_calls import canonical, parsed, problems
+
+    long = "-" + "7" * 10_000
+    assert canonical(parsed('{"b":[%s,1.5,"x\\ud800"],"a":%s}' % (long, long))) == '{"a":%s,"b":[%s,1.5,"x\\ud800"]}' % (long, long)
+    assert problems(parsed(long), {"type": "integer", "minimum": 0}) == ["$: too small"]
+    assert problems(parsed(long[1:]), {"type": "integer", "maximum": 10}) == ["$: too large"]
+    began = time.time()
+    for odd in ('{"a":"' + '\\"' * 1_000_000, '"' * 1_000_001, '{"a":"' + "\\" * 1_000_001, "[" * 1_000_000):
+        with pytest.raises(ValueError):
+            parsed(odd)
+    assert time.time() - began < 2

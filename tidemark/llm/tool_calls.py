@@ -63,7 +63,43 @@ def escaped(text: str) -> str:
 
 def canonical(value) -> str:
     """JSON with sorted names, no spare space, and characters as they are, but for lone surrogates."""
-    return escaped(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+    try:
+        return escaped(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+    except ValueError:  # some integer is too long for the library
+        return _spelled(value)
+
+
+def _spelled(value) -> str:
+    if isinstance(value, dict):
+        return "{%s}" % ",".join(f"{canonical(name)}:{_spelled(value[name])}" for name in sorted(value))
+    if isinstance(value, list):
+        return "[%s]" % ",".join(map(_spelled, value))
+    return value.digits if isinstance(value, LongInteger) else escaped(json.dumps(value, ensure_ascii=False, allow_nan=False))
+
+
+#: Digits that Python turns into a number at once; more are put together by halves.
+SHORT_DIGITS = 4000
+
+
+class LongInteger(int):
+    """An integer of any length that remembers its digits, since Python writes out no more than some thousands."""
+
+    digits: str
+
+
+def _integer(text: str) -> int:
+    if len(text) <= SHORT_DIGITS:
+        return int(text)
+
+    def value(digits: str) -> int:
+        if len(digits) <= SHORT_DIGITS:
+            return int(digits)
+        k = len(digits) // 2
+        return value(digits[:-k]) * 10**k + value(digits[-k:])
+
+    found = LongInteger(-value(text[1:]) if text[0] == "-" else value(text))
+    found.digits = text
+    return found
 
 
 def _finite(text: str) -> float:
@@ -77,17 +113,21 @@ def _constant(name: str):
     raise ValueError(f"{name} is not JSON")
 
 
+#: Brackets, and strings as a whole; one that doesn't end goes on to the end of the text, so nothing is read twice.
+_MARKS = re.compile(r'[\[{\]}]|"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|\\?\Z)', re.S)
+
+
 def parsed(text: str):
     """A JSON value; ValueError for text that is none, has NaN or Infinity or a number beyond a double, or is nested over MAX_DEPTH levels."""
     depth = 0
-    for c in re.sub(r'"(?:[^"\\]|\\.)*"', "", text, flags=re.S):
-        if c in "[{":
+    for mark in _MARKS.findall(text):
+        if mark in ("[", "{"):
             depth += 1
             if depth > MAX_DEPTH:
                 raise ValueError("nested too deep")
-        elif c in "]}":
+        elif mark in ("]", "}"):
             depth -= 1
-    return json.loads(text, parse_float=_finite, parse_constant=_constant)
+    return json.loads(text, parse_int=_integer, parse_float=_finite, parse_constant=_constant)
 
 
 def calls_of_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
