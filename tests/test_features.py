@@ -79,8 +79,3 @@ def test_streams_over_several_batches(spark, tmp_path):
     hours = jobs.merged(jobs.run_available(jobs.hourly_stream(stream(), ["user_id"], "ts", "value", "seg"), "update", str(tmp_path / "h")), ["user_id", "hour"])
     want = batch.groupBy("user_id", F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n"), F.max("value").alias("max"))
     assert sorted(map(tuple, hours.select("user_id", "hour", "n", "max").collect())) == sorted(map(tuple, want.collect()))
-    changes = jobs.run_available(jobs.level_change_stream(jobs.without_repeats(stream(), "ts", ["event_id"]), "user_id", "level", "ts", "event_id"), "append", str(tmp_path / "c"))
-    from tidemark.operators.intervals import level_changes
-
-    plain = level_changes(batch, "level", ["ts", "event_id"], ["user_id"]).select("event_id", "user_id", "level", "previous")
-    assert sorted(map(tuple, changes.drop("_batch").collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)

@@ -316,13 +316,3 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = stream.select(F.col("event_type").alias("station"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("east"), (F.col("user_id") % 7).alias("segment"))
     rows = jobs.run_available(jobs.hourly_stream(stream, ["station"], "ts", "east", "segment"), "update", jobs.new_folder(spark, "hourly"))
     return jobs.merged(rows, ["station", "hour"]).select("station", us("hour"), *r9("mean"), "min", "max", "n", "n_segments")
-
-
-@query("""SELECT event_id, user_id, event_type AS level, previous FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM ev)
-    WHERE previous IS NULL OR previous <> event_type""")
-def stream_level_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    path = f"{sf_dir}/events.parquet"
-    stream = jobs.landed(spark, path, spark.read.parquet(path).schema).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    changes = jobs.level_change_stream(jobs.without_repeats(stream, "ts", ["event_id"]), "user_id", "event_type", "ts", "event_id")
-    return jobs.run_available(changes, "append", jobs.new_folder(spark, "levels")).drop("_batch")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.operators.keyed import by_precedence
@@ -61,23 +62,79 @@ def merged(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return by_precedence(rows, key, -F.col("_batch")).drop("_batch")
 
 
-def level_change_stream(stream: DataFrame, entity: str, level: str, time: str, row_id: str) -> DataFrame:
-    """Rows at which an entity's level changes, in order of time within a batch and of arrival between batches."""
-
-    def changes(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts)).sort_values([time, row_id])
-        last = state.get[0] if state.exists else None
-        before = rows[level].shift(1)
-        before.iloc[0] = last
-        changed = rows[level] != before
-        state.update((rows[level].iloc[-1],))
-        out = pd.DataFrame({row_id: rows[row_id], entity: key[0], "level": rows[level], "previous": before})[changed]
-        yield out.astype({"previous": object}).where(out.notna(), None)
-
-    kinds = dict(stream.dtypes)
-    schema = f"{row_id} {kinds[row_id]}, {entity} {kinds[entity]}, level string, previous string"
-    known = stream.where(F.col(level).isNotNull()).select(entity, level, time, row_id)
-    return known.groupBy(entity).applyInPandasWithState(changes, schema, "last string", "append", GroupStateTimeout.NoTimeout)
+class LevelChanges(StatefulProcessor):
+    """Each entity's rows with the level before them, put right when rows come late.
+
+    State: the last level before the watermark and a count of what came (one value), and the rows since then, in order of
+    time. A row is emitted when it comes, and again, with a greater version, when a late one changes what stands before
+    it. Timers of event time take rows that can't be late any more out of the list, so state is bounded by the lateness allowed.
+    """
+
+    def __init__(self, schema: StructType, entity: str, micros: str, row_id: str, level: str):
+        self.schema, self.entity, self.micros, self.row_id, self.level = schema, entity, micros, row_id, level
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.settled = handle.getValueState("settled", f"level {self.schema[self.level].dataType.simpleString()}, version long")
+        self.recent = handle.getListState("recent", StructType([self.schema[c] for c in (self.micros, self.row_id, self.level)]))
+
+    def _listed(self) -> list[tuple]:
+        return [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+
+    def _settled(self) -> tuple:
+        return tuple(self.settled.get()) if self.settled.exists() else (None, 0)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        old = self._listed()
+        came = {(r[self.micros], r[self.row_id], r[self.level]) for r in rows} - set(old)
+        if not came:
+            return
+        listed, (settled, version) = sorted([*old, *came], key=lambda r: r[:2]), self._settled()
+        before, version = settled, version + 1
+        known = dict(zip(old, [before, *(r[2] for r in old)]))
+        for row in listed:
+            if row in came or known[row] != before:
+                yield Row(**{self.entity: key[0], self.row_id: row[1], "level": row[2], "previous": before, "changed": before != row[2], "version": version})
+            before = row[2]
+        self.recent.put(listed)
+        self.settled.update((settled, version))
+        if not old:
+            self.handle.registerTimer(listed[0][0] // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        listed, mark = self._listed(), timerValues.getCurrentWatermarkInMs()
+        past = [r for r in listed if r[0] < mark * 1000]
+        if past:
+            self.settled.update((past[-1][2], self._settled()[1]))
+        rest = listed[len(past) :]
+        if rest:
+            self.recent.put(rest)
+            self.handle.registerTimer(rest[0][0] // 1000 + 1)
+        else:
+            self.recent.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def level_change_stream(stream: DataFrame, entity: str, level: str, time: str, row_id: str, late: str = "7 days") -> DataFrame:
+    """Each row's row_id, entity, level, previous level, changed and version, in order of event time; a row comes again when late ones change it.
+
+    Merged into a keyed table of row_id, the greatest version last, the rows are those of a lag over all. Rows without a level don't count;
+    rows later than `late` are dropped.
+    """
+    use_rocksdb(stream.sparkSession)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the driver's own worker doesn't look where executors find packages
+    known = stream.where(F.col(level).isNotNull() & F.col(time).isNotNull()).select(entity, level, time, row_id, F.unix_micros(time).alias("_us")).withWatermark(time, late)
+    kind = dict(stream.dtypes)
+    schema = f"{entity} {kind[entity]}, {row_id} {kind[row_id]}, level {kind[level]}, previous {kind[level]}, changed boolean, version long"
+    return known.groupBy(entity).transformWithState(LevelChanges(known.schema, entity, "_us", row_id, level), schema, "Append", "EventTime")
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """State in RocksDB, which transformWithState needs and which holds more than memory does."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
