@@ -15,6 +15,7 @@ from tidemark.functions.numbers import guarded_ratio, moment
 from tidemark.functions.times import days_between, shifted
 from tidemark.operators.intervals import interval_join, with_prior
 from tidemark.operators.latest import arg_max
+from tidemark.operators.range_sums import range_aggregate
 
 
 def episode_base(episodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -37,36 +38,49 @@ def with_window(base: DataFrame) -> DataFrame:
 def event_features(base: DataFrame, events: DataFrame, by: Sequence[str] = (), split: float = 5.0) -> DataFrame:
     """Counts and sums of the events (time, magnitude, depth) in each episode's window; episodes without any keep counts of 0."""
     windows = with_window(base).select(*by, "episode_no", "start", "window_start")
-    met = interval_join(events, windows, "time", "window_start", "start", by)
-    near = lambda h: F.sum(F.when(F.col("time") >= shifted("start", -h), 1).otherwise(0))
-    d = F.col("depth")
-    stats = met.groupBy(*by, "episode_no").agg(
-        F.count("*").alias("n_events"),
-        F.sum(F.when(d < split, 1).otherwise(0)).alias("n_shallow"),
-        F.sum(F.when(d >= split, 1).otherwise(0)).alias("n_deep"),
-        F.max("magnitude").alias("max_mag"),
-        F.avg("magnitude").alias("mean_mag"),
-        F.sum(moment("magnitude")).alias("moment_sum"),
-        near(24).alias("n_24h"),
-        near(72).alias("n_72h"),
-        F.avg("depth").alias("mean_depth"),
+    key, d, one = [*by, "episode_no"], F.col("depth"), F.lit(1).cast("long")
+    given = lambda c: F.when(F.col(c).isNotNull(), one)
+    parts = {
+        "n_events": ("sum", one),
+        "n_shallow": ("sum", F.when(d < split, one).otherwise(0)),
+        "n_deep": ("sum", F.when(d >= split, one).otherwise(0)),
+        "max_mag": ("max", F.col("magnitude")),
+        "moment_sum": ("sum", moment("magnitude")),
+        "_mag": ("sum", F.col("magnitude")), "_n_mag": ("sum", given("magnitude")), "_depth": ("sum", d), "_n_depth": ("sum", given("depth")),
+    }
+    # the window, and its last hours, as intervals of one pass
+    spans = F.array(*[F.struct(F.lit(h).alias("hours"), (F.greatest("window_start", shifted("start", -h)) if h else F.col("window_start")).alias("low")) for h in (0, 24, 72)])
+    spanned = windows.select(*key, "start", F.inline(spans))
+    stats = range_aggregate(events, spanned, "time", "low", "start", parts, [*key, "hours"], by)
+    of = lambda h, c: F.max(F.when(F.col("hours") == h, F.col(c)))
+    stats = stats.withColumns({"mean_mag": F.try_divide("_mag", "_n_mag"), "mean_depth": F.try_divide("_depth", "_n_depth")}).groupBy(*key).agg(
+        *[of(0, c).alias(c) for c in ("n_events", "n_shallow", "n_deep", "max_mag", "mean_mag", "moment_sum", "mean_depth")], *[of(h, "n_events").alias(f"n_{h}h") for h in (24, 72)]
     )
-    return base.select(*by, "episode_no").join(stats, [*by, "episode_no"], "left").fillna(0, ["n_events", "n_shallow", "n_deep", "n_24h", "n_72h"])
+    out = base.select(*key).join(stats, key, "left")
+    return out.fillna(0, ["n_events", "n_shallow", "n_deep", "n_24h", "n_72h"])
 
 
 def sample_ranges(base: DataFrame, hourly: DataFrame, by: Sequence[str] = (), station: str = "station", segment_safe: bool = False) -> DataFrame:
     """Per station, the range of hourly means in each episode's window. segment_safe leaves out hours of several segments."""
     windows = with_window(base).select(*by, "episode_no", "start", "window_start")
-    met = interval_join(hourly, windows, "hour", "window_start", "start", by)
     if segment_safe:
-        met = met.where(F.coalesce("n_segments", F.lit(1)) <= 1)
-    return met.groupBy(*by, "episode_no", station).agg(
-        F.count("*").alias("n_hours"),
-        (F.max("east_mean") - F.min("east_mean")).alias("east_range"),
-        (F.max("north_mean") - F.min("north_mean")).alias("north_range"),
-        F.avg("east_std").alias("east_std_mean"),
-        F.sum(F.when(F.col("n_segments") > 1, 1).otherwise(0)).alias("relevelled_hours"),
-    )
+        hourly = hourly.where(F.coalesce("n_segments", F.lit(1)) <= 1)
+    one = F.lit(1).cast("long")
+    ends = {f"_{f}_{c}": (f, F.col(f"{c}_mean")) for f in ("min", "max") for c in ("east", "north")}
+    parts = ends | {
+        "n_hours": ("sum", one),
+        "_std": ("sum", F.col("east_std")),
+        "_n_std": ("sum", F.when(F.col("east_std").isNotNull(), one)),
+        "relevelled_hours": ("sum", F.when(F.col("n_segments") > 1, one).otherwise(0)),
+    }
+    met = range_aggregate(hourly, windows, "hour", "window_start", "start", parts, [*by, "episode_no"], by, [station])
+    return met.select(
+        *by, "episode_no", station, "n_hours",
+        (F.col("_max_east") - F.col("_min_east")).alias("east_range"),
+        (F.col("_max_north") - F.col("_min_north")).alias("north_range"),
+        F.try_divide("_std", "_n_std").alias("east_std_mean"),
+        "relevelled_hours",
+    )
 
 
 def feature_table(base: DataFrame, events: DataFrame, ranges: DataFrame, station: str, by: Sequence[str] = ()) -> DataFrame:
