@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,6 +86,39 @@ def as_of_forward_bucketed(left: DataFrame, right: DataFrame, time: str, right_t
     return inside.join(later, "_b", "left").withColumn(name, F.coalesce("_near", "_later")).drop("_b", "_near", "_later")
 
 
+def as_of_backward_bucketed(left: DataFrame, right: DataFrame, time: str, right_time: str, value: str, name: str, by: Sequence[str] = (), bucket_seconds: int = 86_400) -> DataFrame:
+    """left with `name` and `name`_at: the value of the last right row at or before its time, and that row's time; of rows at one time the greatest value.
+
+    For tables without a key, or with a key that has most of the rows. Within time buckets by window; a row before its
+    bucket's first right row takes what the last bucket with one carries on: one row a bucket is all that is put
+    in order along a key. Rows without a time or a key find nothing, and right rows without them are not found.
+    """
+    bucket = lambda c: F.floor(F.unix_micros(F.col(c)) / (1_000_000 * bucket_seconds))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*by, right_time)])
+    found = F.struct(F.col(right_time).alias("at"), F.col(value).alias("value"))
+    right = right.where(whole).select(*by, bucket(right_time).alias("_b"), F.col(right_time).alias("_t"), found.alias("_v"))
+    rows = left.withColumns({"_b": bucket(time), "_t": F.col(time), "_left": F.lit(True)})
+    near = rows.unionByName(right.withColumn("_left", F.lit(False)), allowMissingColumns=True)
+    inside = Window.partitionBy(*by, "_b").orderBy("_t", "_left", F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, -1)
+    near = near.withColumn("_near", F.last("_v", ignorenulls=True).over(inside)).where("_left").drop("_v", "_t", "_left")
+    every = right.groupBy(*by, "_b").agg(F.max("_v").alias("_m")).unionByName(rows.select(*by, "_b").distinct(), allowMissingColumns=True).groupBy(*by, "_b").agg(F.max("_m").alias("_m"))
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = every.where(F.col("_b").isNotNull()).withColumn("_carried", F.last("_m", ignorenulls=True).over(before)).drop("_m")
+    out = near.join(carried, [*by, "_b"], "left").withColumn("_near", F.coalesce("_near", "_carried"))
+    return out.withColumns({name: F.col("_near.value"), f"{name}_at": F.col("_near.at")}).drop("_b", "_near", "_carried")
+
+
+def fill_as_of(left: DataFrame, right: DataFrame, time: str, right_time: str, value: str, name: str, source: str, by: Sequence[str] = (), inferred: str = "inferred") -> DataFrame:
+    """left, its nulls in `name` filled by as_of_backward_bucketed, and `source`: "stated" where a value stood, `inferred` where one was filled in, else null.
+
+    Stated values are never changed, and only rows without one take part in the join.
+    """
+    stated = left.where(F.col(name).isNotNull()).withColumn(source, F.lit("stated"))
+    filled = as_of_backward_bucketed(left.where(F.col(name).isNull()).drop(name), right, time, right_time, value, name, by)
+    filled = filled.drop(f"{name}_at").withColumn(source, F.when(F.col(name).isNotNull(), inferred))
+    return stated.unionByName(filled).select(*left.columns, source)
+
+
 def ordered_lag(df: DataFrame, order: Sequence[str], columns: dict[str, str], bucket: Column) -> DataFrame:
     """lag by one over a whole table: in buckets of the order, then across their edges.
 

@@ -188,6 +188,32 @@ def asof_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.readings(ev, S.episodes(ev)).select("user_id", "event_id", "episode_no")
 
 
+_STATED = "CASE WHEN k % 3 = 0 THEN k END"
+
+
+@query(f"""SELECT event_id, {_STATED} IS NOT NULL AS given, CASE WHEN {_STATED} IS NOT NULL THEN k ELSE f END AS number,
+    CASE WHEN {_STATED} IS NOT NULL THEN 'stated' WHEN f IS NOT NULL THEN 'inferred' END AS source
+    FROM (SELECT e.*, (SELECT max(s.user_id) FROM ep s WHERE s.start = e.started) AS f FROM (
+        SELECT e.*, (SELECT max(start) FROM ep WHERE ep.start <= e.ts) AS started FROM ev e WHERE event_type <> 'signup') e) e""")
+def asof_fill_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that state no number take the user of the episode that began last, whoever's it is, and say so."""
+    ev = S.events(spark, sf_dir)
+    given = ev.where("event_type <> 'signup'").withColumn("number", F.when(F.col("k") % 3 == 0, F.col("k")).cast("long"))
+    starts = S.episodes(ev).select("start", F.col("user_id").cast("long").alias("value"))
+    out = intervals.fill_as_of(given, starts, "ts", "start", "value", "number", "source")
+    return out.select("event_id", (F.col("source") == "stated").alias("given"), "number", "source").fillna(False, ["given"])
+
+
+@query(f"""SELECT e.event_id, e.user_id, CASE WHEN {_STATED} IS NOT NULL THEN k ELSE f END AS number, CASE WHEN {_STATED} IS NOT NULL THEN 'stated' WHEN f IS NOT NULL THEN 'inferred' END AS source
+    FROM (SELECT e.*, (SELECT max(episode_no) FROM ep WHERE ep.user_id = e.user_id AND ep.start <= e.ts) AS f FROM ev e WHERE event_type <> 'signup') e""")
+def asof_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that state no episode take their user's last one, and say so."""
+    ev = S.events(spark, sf_dir)
+    given = ev.where("event_type <> 'signup'").withColumn("number", F.when(F.col("k") % 3 == 0, F.col("k")).cast("long"))
+    out = intervals.fill_as_of(given, S.episodes(ev).withColumn("episode_no", F.col("episode_no").cast("long")), "ts", "start", "episode_no", "number", "source", USER)
+    return out.select("event_id", "user_id", "number", "source")
+
+
 @query("SELECT user_id, event_id, lead_hours, hit, error_hours, round((epoch_us(window_end) - epoch_us(window_start)) / 86400000000.0, 9) AS window_days FROM scored")
 def window_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(S.events(spark, sf_dir)).select("user_id", "event_id", "lead_hours", "hit", "error_hours", F.round(days_between("window_end", "window_start"), 9).alias("window_days"))
