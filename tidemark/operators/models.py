@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 from heapq import heappop, heappush, heappushpop
 from itertools import repeat
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -14,6 +13,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tidemark.functions.numbers import hit, rank_at
 from tidemark.functions.times import days_between, hours_between, local_date
 from tidemark.operators.latest import latest_with_ties
+from tidemark.operators.ranks import nth_values
 
 
 def baseline_pairs(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, k: int = 5) -> DataFrame:
@@ -46,13 +46,12 @@ def score_pairs(pairs: DataFrame, by: Sequence[str], least: int = 6, tolerances:
     a = F.abs(e)
     within = [(100.0 * F.avg(F.when(a <= t, 1.0).otherwise(0.0))).alias(f"within_{t:g}_pct") for t in tolerances]
     series = [*by, "name"]
-    w = Window.partitionBy(*series)
-    ranked = pairs.withColumns({"_a": a, "_n": F.count("*").over(w), "_rank": F.row_number().over(w.orderBy(a))})
-    picked = F.max(F.when(F.col("_rank") == rank_at(coverage, F.col("_n")), F.col("_a")))
-    out = ranked.groupBy(*series).agg(
-        F.count("*").alias("n"), F.avg(a).alias("mae"), F.percentile(a, F.lit(0.5)).alias("median_ae"), F.sqrt(F.avg(e * e)).alias("rmse"), *within,
-        (2 * picked / 24).alias("implied_window_days"),
-    )
+    n = F.col("n")
+    middles = {"_low": F.floor((n + 1) / 2).cast("int"), "_high": F.ceil((n + 1) / 2).cast("int"), "_held": rank_at(coverage, n)}
+    picked = nth_values(pairs.withColumn("_a", a), series, "_a", middles).withColumn("median_ae", (F.col("_low") + F.col("_high")) / 2).withColumn("implied_window_days", 2 * F.col("_held") / 24)
+    sums = pairs.groupBy(*series).agg(F.count("*").alias("n"), F.avg(a).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), *within)
+    on = [sums[c].eqNullSafe(picked[c]) for c in series]
+    out = sums.join(picked, on, "left").select(*[sums[c] for c in series], "n", "mae", "median_ae", "rmse", *[f"within_{t:g}_pct" for t in tolerances], "implied_window_days")
     return out.where(F.col("n") >= least - 1)
 
 
@@ -69,16 +68,19 @@ def rolling_fit(df: DataFrame, by: Sequence[str], order: Sequence[str], x: str,
 def backtest_rows(fitted: DataFrame, by: Sequence[str], order: Sequence[str], number: str, x: str, y: str, first: int) -> DataFrame:
     """From episode `first` on: raw and corrected errors; the correction is the median of the errors before, from three on.
 
-    The median runs along a series in two heaps; `by` and `order` name a row, and are never null.
+    The median runs along a series in two heaps, all columns beside it; `by` and `order` name a row.
     """
     rows = fitted.where((F.col(number) >= first) & F.col("slope").isNotNull() & (F.col(y) != 0)).withColumn("error", F.col("slope") * F.col(x) + F.col("intercept") - F.col(y))
-    plain = rows.select(*by, *order, "error")
+    places, at = [rows.columns.index(c) for c in by], rows.columns.index("error")
+
+    def medians(batches: Iterator):
+        import pyarrow as pa
 
-    def medians(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, below, above = None, [], []  # of a series its lesser half, negated, and its greater half, as heaps
-        for pdf in parts:
+        for batch in batches:
             biases = []
-            for row, error in zip(pdf[list(by)].itertuples(index=False, name=None) if by else repeat(()), pdf["error"]):
+            keys = zip(*[batch.column(p).to_pylist() for p in places]) if places else repeat(())
+            for row, error in zip(keys, batch.column(at).to_pylist()):
                 if row != key:
                     key, below, above = row, [], []
                 n = len(below) + len(above)
@@ -86,12 +88,11 @@ def backtest_rows(fitted: DataFrame, by: Sequence[str], order: Sequence[str], nu
                 heappush(above, -heappushpop(below, -error))
                 if len(above) > len(below):
                     heappush(below, -heappop(above))
-            yield pdf.assign(bias=biases)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(biases, pa.float64())], names=[*batch.schema.names, "bias"])
 
-    schema = StructType([*plain.schema.fields, StructField("bias", DoubleType())])
-    keyed = plain.repartition(*by).sortWithinPartitions(*by, *order) if by else plain.repartition(1).sortWithinPartitions(*order)
-    biases = keyed.mapInPandas(medians, schema).drop("error")
-    return rows.join(biases, [*by, *order]).withColumn("corrected", F.col("error") - F.col("bias"))
+    keyed = rows.repartition(*by).sortWithinPartitions(*by, *order) if by else rows.repartition(1).sortWithinPartitions(*order)
+    out = keyed.mapInArrow(medians, StructType([*rows.schema.fields, StructField("bias", DoubleType())]))
+    return out.withColumn("corrected", F.col("error") - F.col("bias"))
 
 
 def backtest_summary(rows: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -47,6 +47,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[context.applicationId]
 
 
+def shared_table(df, name: str):
+    """df as a Parquet table in the shared folder, so that what follows doesn't compute it again and lost executors don't matter."""
+    import uuid
+
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Makes this package importable in the Python workers, once a context, unless it is already.
 
