@@ -431,3 +431,31 @@ def test_json_of_any_size():
         with pytest.raises(ValueError):
             parsed(odd)
     assert time.time() - began < 2
+
+
+def test_runs_of_digits_are_shortened_and_read():
+    from collections import Counter
+
+    from tidemark.llm.deobfuscate import Decoder, trigram_counts, trigram_table
+
+    words = Counter({"idiot": 50, "kill": 40, "villa": 30, "stool": 20, "the": 500, "moon": 20, "hello": 60})
+    counts = trigram_counts(words)
+    decoder = Decoder(trigram_table(counts.items(), len(counts)))
+    for seen, wanted in {"idi0t": "idiot", "idi00t": "idiot", "idi000t": "idiot", "idi0000000t": "idiot", "1d1100t": "idiot", "111d10t": "idiot", "ki11": "kill", "vi11a": "villa", "v111a": "villa", "m00n": "moon", "he110": "hello", "st0000l": "stool"}.items():
+        assert decoder.restore(seen)[0] == wanted, seen
+    assert decoder.restore("2000") == ("2000",) and decoder.restore("1" * 5000) == ("1" * 5000,)
+
+
+def test_cut_is_never_over_even_odds():
+    import numpy as np
+
+    from tidemark.llm.toxicity import cut_of
+
+    r = np.random.default_rng(3)
+    labels = (np.arange(300) % 10 == 0).astype(np.int64)
+    cols = np.where(labels == 1, r.integers(0, 5, 300), r.integers(5, 40, 300))
+    cut = cut_of(np.arange(300), cols, labels, 40)
+    assert cut <= 0
+    none = np.zeros(0, np.int64)
+    assert cut_of(none, none, none, 0) == 0.0
+    assert cut_of(none, none, np.zeros(9, np.int64), 0) == 0.0

@@ -10,6 +10,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable
+from itertools import product
 
 import numpy as np
 
@@ -23,6 +24,9 @@ BUCKETS = 1 << 18
 #: Natural-log costs of the channel: a sign read as a letter, a run of letters cut short, a border put between letters set apart.
 SIGN_COST, RUN_COST, BORDER_COST = 1.0, 0.5, 3.0
 
+#: A run of one sign that may stand for unlike letters has this many at most: no word has more such letters in a row.
+MIXED_RUN = 3
+
 _SIGNS = re.escape("".join(c for c in LOOK_ALIKES if not c.isdigit()))
 _PIECE = re.compile(rf"[^\W_]+(?:[{_SIGNS}]{{1,2}}[^\W_]+)*")
 _CORE = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
@@ -89,7 +93,7 @@ class Decoder:
         if cost is None:
             if len(self.costs) > self.keep:
                 self.costs.clear()
-            n, m = (float(self.table[slot(g, len(self.table))]) for g in (gram, gram[:2] + "\0"))
+            n, m = (0.0 if any(c.isdigit() for c in g) else float(self.table[slot(g, len(self.table))]) for g in (gram, gram[:2] + "\0"))  # counted words have no digits
             cost = self.costs[gram] = -math.log((n + 0.05) / (m + 0.05 * self.alphabet))
         return cost
 
@@ -138,8 +142,13 @@ class Decoder:
             if c.isdigit():
                 stands.append((c, 0.0))
             run = j - i
-            if run >= 2 and not c.isdigit():
-                lattice.append([(x * k, cost + RUN_COST * (k != run)) for x, cost in stands for k in (1, 2)])
+            if run >= 2:
+                choices = [(x * k, cost + RUN_COST * (k != run)) for x, cost in stands if x != c or not c.isdigit() for k in (1, 2)]
+                if c.isdigit():
+                    choices.append((c * run, 0.0))  # digits are never shortened as such
+                    if 1 < len(LOOK_ALIKES[c]) and run <= MIXED_RUN:  # unlike letters may stand side by side
+                        choices += [("".join(x), SIGN_COST) for x in product(LOOK_ALIKES[c], repeat=run) if len(set(x)) > 1]
+                lattice.append(choices)
             else:
                 lattice += [stands] * run
             i = j
