@@ -459,3 +459,26 @@ def test_cut_is_never_over_even_odds():
     none = np.zeros(0, np.int64)
     assert cut_of(none, none, none, 0) == 0.0
     assert cut_of(none, none, np.zeros(9, np.int64), 0) == 0.0
+
+
+PROSE = "It was on the day that the house by the river stood in the light of the sun and all who came to see it were glad to be there with us in the end of the year, as it is by now known to the people of the town."
+
+
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        (f'<nav><a href=x>Home</a></nav><article><div class="article-header"><h1>A headline</h1><p>The lead is what it says to the reader of the page, and it is for us.</p></div><p>{PROSE}</p></article><footer>Foot</footer>', f"A headline The lead is what it says to the reader of the page, and it is for us. {PROSE}"),
+        (f'<article><h1>T</h1><p>{PROSE}</p><section class="notice-period"><p>{PROSE}</p></section></article>', f"T {PROSE} {PROSE}"),
+        (f'<div class="entry tags politics"><p>{PROSE}</p></div><p>{PROSE}</p>', f"{PROSE} {PROSE}"),
+        ("<div class=nav><a href=x>ホーム</a></div><h1>題名</h1><p>" + "これは日本語の文章です。とても長い段落です。" * 8 + "</p>", "題名 " + "これは日本語の文章です。とても長い段落です。" * 8),
+        ('<div class="menu"><a href=x>Дом</a> <a href=y>Новости</a></div><p>' + "Это длинный абзац на русском языке о погоде. " * 7 + "</p>", ("Это длинный абзац на русском языке о погоде. " * 7).strip()),
+        ("<h1>Title</h1><p>Short one.</p><p>Another short.</p>", "Title Short one. Another short."),
+        (f'<article><p>{PROSE}</p><div class="comments"><p>{PROSE} me too</p></div><div class="cookie-notice">{PROSE}</div><aside>{PROSE}</aside></article><div hidden>{PROSE}</div>', PROSE),
+        (f'<article><p>{PROSE}</p><div class="hidden md:block"><p>{PROSE}</p></div></article>', f"{PROSE} {PROSE}"),
+        (f'<article><div class="site-notice user-comments">{PROSE}</div><p>{PROSE} end</p></article>', f"{PROSE} end"),
+    ],
+)
+def test_words_outweigh_names_that_say_little(page, wanted):
+    from tidemark.llm.html_text import main_text
+
+    assert main_text(f"<html><body>{page}</body></html>") == wanted

@@ -2,7 +2,7 @@
 
 Pass one splits a page into blocks and weighs for each its link density, length and share of stop words, and as
 evidence where it stands: in a part that is named or marked as a menu, footer, advert and the like, or in or
-outside what the page marks as its article. A part that is named so but holds the page's text counts for nothing.
+outside what the page marks as its article. A part that is named so but holds the page's text counts for nothing, and long text outweighs a name that says little.
 Pass two lets blocks that are still open, mostly short ones, inherit the label of their nearest decided
 neighbours. Markup is read once from left to right; a page is never cut.
 """
@@ -36,15 +36,24 @@ BLOCK = frozenset(
     h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: What class, id and role values say of parts that are not article text, as whole words or word starts.
-AWAY_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|comments?|commentlist|replies|disqus|notice|alert|cookie\w*|consent|gdpr|popup|modal|overlay|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|topbar|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|"
-    r"search|widget|pagination|pager|tags|contentinfo|complementary|copyright|legal|disclaimer|skip-link)(?:$|[\s_-])"
+#: What class, id and role values say of parts that are not article text, as parts of names. Parts called so may hold prose of their own, which isn't the article's.
+AWAY_PROSE = re.compile(
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|comments?|commentlist|replies|disqus|notice|alert|cookies?\w*|consent|gdpr|popup|modal|overlay|"
+    r"footer|related|recommend\w*|newsletter|subscribe|subscription|signup|login|widget|contentinfo|complementary|copyright|legal|disclaimer"
+)
+#: These hold no prose: what is long and reads like text there is the article's.
+AWAY_LISTS = re.compile(r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|toolbar|share|sharing|social|search|pagination|pager|tags|skip")
+#: What may stand beside such words in a name without a meaning of its own; beside other words ("notice-period") a name says less.
+PLAIN_PARTS = re.compile(
+    r"area|article|bar|body|block|bottom|box|center|container|content|footer|form|global|group|header|holder|inner|item|js|large|left|link|links|list|main|outer|page|panel|post|primary|"
+    r"reader|right|secondary|section|side|site|small|text|the|top|user|web|wrap|wrapper|[a-z]?\d*"
 )
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][\w:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^<>]*+)>", re.S)
 _NAMES = re.compile(r"(?:\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_HIDDEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_BARE_HIDDEN, _VALUE = re.compile(r"(?:^|\s)hidden(?:\s|=|$)", re.I), re.compile(r"\"[^\"]*+\"|'[^']*+'")
+#: Characters of scripts that put no spaces between words; two count as a word.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -54,7 +63,9 @@ SHORT, LONG = 12, 40
 #: Shares of linked words over which a block is a list of links, and of stop words that long and other blocks of text have.
 MOST_LINKED, LOW_STOPS, HIGH_STOPS = 0.4, 0.15, 0.25
 #: What the place says, beside +2, +1, 0, -1 or -3 for the words of a block.
-AWAY_WEIGHT, OUTSIDE_WEIGHT, WITHIN_WEIGHT = -4, -2, 1
+AWAY_WEIGHT, NAMED_WEIGHT, OUTSIDE_WEIGHT, WITHIN_WEIGHT = -4, -2, -2, 1
+#: A page with fewer stop words among its words is in a language that the list doesn't know: length and links decide there.
+LEAST_STOPS = 0.05
 
 
 _NO_LINK = _LINK.match("<a>")
@@ -69,6 +80,7 @@ class Block:
     region: int  # the innermost part that is named or marked as none of the article, or -1
     article: int  # the innermost article or main part, or -1
     heading: int  # 1 to 6, or 0
+    known: bool = True  # whether the page's language has stop words here
 
 
 @dataclass
@@ -76,7 +88,7 @@ class Region:
     """A part of the page: the one around it, and whether it is one of those that are not article text."""
 
     up: int
-    away: bool
+    away: int  # 2: marked so, 1: by a name that says little
     heads: bool = False  # holds a first heading, an article or a main part
 
 
@@ -94,10 +106,10 @@ def blocks_of(page: str) -> tuple[list[Block], list[Region]]:
         nonlocal parts
         text = " ".join(html.unescape("".join(t for t, _ in parts)).split())
         if text:
-            linked = len(_WORD.findall(html.unescape(" ".join(t for t, link in parts if link))))
+            linked = size_of(html.unescape(" ".join(t for t, link in parts if link)))
             words = [w.lower() for w in _WORD.findall(text)]
             region, article = stack[-1][1:] if stack else (-1, -1)
-            out.append(Block(text, len(words), linked, sum(w in STOP_WORDS for w in words), region, article, heading))
+            out.append(Block(text, size_of(text), linked, sum(w in STOP_WORDS for w in words), region, article, heading))
         parts = []
 
     def closed_later(begin: int) -> bool:
@@ -135,9 +147,11 @@ def blocks_of(page: str) -> tuple[list[Block], list[Region]]:
             continue
         tracked = name in BLOCK and name not in ("p", "hr", "h1", "h2", "h3", "h4", "h5", "h6") or name in AWAY
         named = "" if closing else " ".join(x for found in _NAMES.findall(attributes) for x in found if x).lower()
-        away = name in AWAY
-        if not closing and (named and AWAY_NAMES.search(named) or _HIDDEN.search(attributes)) and name not in VOID and name not in ("html", "body"):
-            tracked = away = True
+        away = 2 * (name in AWAY and name != "header") or int(name == "header")
+        if not closing and attributes and name not in VOID and name not in ("html", "body"):
+            hidden = "hidden" in attributes.lower() and _BARE_HIDDEN.search(_VALUE.sub("", attributes)) or _HIDDEN.search(attributes)
+            if said := 2 if hidden else away_by_name(named) if named else 0:
+                tracked, away = True, max(away, said)
         if name in BLOCK or tracked or closing and opened[name]:
             close()
             links = links if links == 2 else 0
@@ -154,19 +168,43 @@ def blocks_of(page: str) -> tuple[list[Block], list[Region]]:
                         break
         elif tracked and name not in VOID and not attributes.endswith("/"):
             if away:
-                regions.append(Region(region, True))
+                regions.append(Region(region, away))
                 region = len(regions) - 1
             elif name in ("article", "main"):
                 if region >= 0:
                     regions[region].heads = True
-                regions.append(Region(region, False))
+                regions.append(Region(region, 0))
                 region = article = len(regions) - 1
             stack.append((name, region, article))
             opened[name] += 1
     close()
+    words = [(b.words, b.stops) for b in out if b.words >= SHORT and b.linked <= MOST_LINKED * b.words]
+    if sum(s for _, s in words) < LEAST_STOPS * sum(w for w, _ in words):
+        for b in out:
+            b.known = False
     return out, regions
 
 
+def size_of(text: str) -> int:
+    """Words of a text; of scripts without spaces, two characters are one."""
+    unspaced = 0 if text.isascii() else len(_UNSPACED.findall(text))
+    return len(_WORD.findall(text)) + unspaced // 2
+
+
+def away_by_name(names: str) -> int:
+    """What class, id and role values say: 2 for a part with other text than the article's, 1 if they say less, 0 for nothing."""
+    found = 0
+    for name in names.split():
+        parts = [p for p in re.split(r"[_-]+", name.replace("side-bar", "sidebar")) if p]
+        if any(map(AWAY_PROSE.fullmatch, parts)):
+            if all(AWAY_PROSE.fullmatch(p) or PLAIN_PARTS.fullmatch(p) or AWAY_LISTS.fullmatch(p) for p in parts):
+                return 2
+            found = 1
+        elif any(map(AWAY_LISTS.fullmatch, parts)):
+            found = 1
+    return found
+
+
 def by_words(block: Block) -> int:
     """What the words of a block say: 2 and 1 for text, 0 for nothing, less for lists of links and the like."""
     density = block.linked / block.words if block.words else 0.0
@@ -177,13 +215,15 @@ def by_words(block: Block) -> int:
         return -2
     if block.words < SHORT or block.heading:
         return 0
+    if not block.known:
+        return 0 if block.linked else 2 if block.words >= LONG else 1
     if stops >= (LOW_STOPS if block.words >= LONG else HIGH_STOPS):
         return 2 if block.words >= LONG else 1
     return -1 if block.linked else 0
 
 
-def by_place(blocks: list[Block], regions: list[Region], said: list[int]) -> list[int]:
-    """What the place of each block says.
+def by_place(blocks: list[Block], regions: list[Region], said: list[int]) -> tuple[list[int], list[bool]]:
+    """What the place of each block says, and whether it is in a part that isn't the article's.
 
     A part that is named as none of the article counts for nothing if it holds half of the page's text and
     a first heading or article, or, where no part or heading is marked so, four fifths of the text.
@@ -202,22 +242,24 @@ def by_place(blocks: list[Block], regions: list[Region], said: list[int]) -> lis
             held[regions[k].up] += held[k]
             heads[regions[k].up] |= heads[k]
     headed = any(b.heading == 1 or b.article >= 0 for b in blocks)
-    away: list[bool] = []
+    away: list[int] = []
     for k, r in enumerate(regions):
         void = total > 0 and (2 * held[k] >= total if heads[k] else not headed and 5 * held[k] >= 4 * total)
-        away.append(r.away and not void or r.up >= 0 and away[r.up])
-    articles = {b.article for b in blocks if b.article >= 0 and not away[b.article]}
+        away.append(max(0 if void else r.away, away[r.up] if r.up >= 0 else 0))
+    articles = {b.article for b in blocks if b.article >= 0 and away[b.article] < 2}
     inside = sum(n for b, n in zip(blocks, text) if b.article in articles)
     marked = bool(articles) and 2 * inside >= total
     out = []
     for b in blocks:
-        place = AWAY_WEIGHT if b.region >= 0 and away[b.region] else 0
+        place = (0, NAMED_WEIGHT, AWAY_WEIGHT)[away[b.region] if b.region >= 0 else 0]
+        if place == NAMED_WEIGHT and b.heading == 1 and b.article in articles:
+            place = -WITHIN_WEIGHT  # an article's head has its title: as what it heads
         if b.article in articles:
             place += WITHIN_WEIGHT
         elif marked:
             place += OUTSIDE_WEIGHT
         out.append(place)
-    return out
+    return out, [b.region >= 0 and away[b.region] > 0 for b in blocks]
 
 
 def nearest(decided: list[bool]) -> tuple[list[int], list[int]]:
@@ -236,11 +278,13 @@ def nearest(decided: list[bool]) -> tuple[list[int], list[int]]:
 def labels_of(blocks: list[Block], regions: list[Region]) -> list[bool]:
     """Whether each block is main text."""
     said = [by_words(b) for b in blocks]
-    place = by_place(blocks, regions, said)
+    place, apart = by_place(blocks, regions, said)
     sums = [a + b for a, b in zip(said, place)]
     found = [None if s == 0 else s > 0 for s in sums]
+    if not any(found) and any(b.heading == 1 or b.article >= 0 for b in blocks):  # nothing reads like text: what a headed page has, but for what is off by its place or its links, is all there is
+        found = [True if f is None and p >= 0 else f for f, p in zip(found, place)]
     # what is off by its place says nothing about its neighbours
-    before, after = nearest([f is not None and p > AWAY_WEIGHT + WITHIN_WEIGHT for f, p in zip(found, place)])
+    before, after = nearest([f is not None and (f or not off) for f, off in zip(found, apart)])
     out: list[bool] = []
     for k, (label, a, b) in enumerate(zip(found, before, after)):
         if label is None:
