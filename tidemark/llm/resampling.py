@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, per_worker, written
+from tidemark.llm.common import dropped, mapped, per_worker, written
 
 #: Frequent words and pairs that are broadcast, words that a worker keeps beside them, and bytes of text taken at a time.
 HEAD_FEATURES, MAX_WORDS, BLOCK_BYTES = 60_000, 300_000, 4_000_000
@@ -76,7 +76,8 @@ def frequent_features(df: DataFrame, most: int = HEAD_FEATURES) -> tuple[list[by
     """The words and pairs that all texts hold most often, as far as tasks' own counts show it: words, and pairs by the places of their words.
 
     Each task counts what comes up often in its blocks and keeps a bounded number of features; the sums meet in
-    one shuffle of at most that number of rows a task.
+    one shuffle of at most that number of rows a task. Of the sums, the driver gets those from the power of two on
+    from which they are no more than `most`.
     """
 
     def run(batches: Iterator):
@@ -101,8 +102,17 @@ def frequent_features(df: DataFrame, most: int = HEAD_FEATURES) -> tuple[list[by
         columns = [f[0] for f, _ in top], [f[1] if len(f) > 1 else None for f, _ in top], [n for _, n in top]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.binary(), pa.int64()))], names=["first", "second", "n"])
 
-    counted = df.mapInArrow(run, "first binary, second binary, n long").groupBy("first", "second").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "first", "second").limit(most).collect()
+    summed = df.mapInArrow(run, "first binary, second binary, n long").groupBy("first", "second").agg(F.sum("n").alias("n"))
+    counted = written(summed, "frequent")
+    sizes = counted.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect()  # 63 rows at most
+    least, held = 1 << 62, 0
+    for r in sizes:
+        held += r["count"]
+        if held > most:
+            break
+        least = 1 << r["power"]
+    rows = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "first", "second").collect()
+    dropped(counted)
     words = [bytes(r["first"]) for r in rows if r["second"] is None]
     place = {w: i for i, w in enumerate(words)}
     pairs = {}
