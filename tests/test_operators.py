@@ -239,3 +239,12 @@ def test_balanced_windows(spark):
     got = intervals.balanced_windows(df, "t", 40).collect()
     assert sum(w["n"] for w in got) == len(times) and all(w["n"] < 40 or w["full"] for w in got) and any(w["full"] for w in got)
     assert intervals.balanced_windows(df.where("false"), "t", 40).count() == 0
+
+
+def test_facts_need_their_words(spark):
+    body = "Summit: A window opened where lava moved 3 to 5 mph. The SO2 emission rate can exceed 5,000 tonnes per day. SO2 was measured at 1,200 tonnes per day. The wind was light, 4 to 6 mph.\n\nEnd: x"
+    f = mining.facts(spark.createDataFrame([(1, body)], "id int, body string"), "body", ["Summit", "End"], ["id"], "Summit", "End", "None", "None").first()
+    assert f["gas_measured"]["value"] == 1200.0 and (f["wind"]["low"], f["wind"]["high"]) == (4.0, 6.0)
+    only = "Summit: A windward slope moved 3 to 5 mph. The SO2 rate can exceed 5,000 tonnes per day.\n\nEnd: x"
+    f = mining.facts(spark.createDataFrame([(1, only)], "id int, body string"), "body", ["Summit", "End"], ["id"], "Summit", "End", "None", "None").first()
+    assert f["gas_measured"]["unavailable"] == "not stated" and f["wind"]["unavailable"] == "not stated"

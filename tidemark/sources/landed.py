@@ -305,7 +305,7 @@ GAS_TIMES = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy-MM-dd'T'HH:m
 
 
 def emissions(df: DataFrame, file_name: str) -> DataFrame:
-    """One layout's emission rates: the time column by pattern, in UTC if its header says so, else local; the first rate column.
+    """One layout's emission rates: the time column by pattern, in UTC if any column's name says so, else local; the first rate column.
 
     Files of no known class, rows without a time or rate, and pages that were saved as CSV are left out.
     """
@@ -316,7 +316,7 @@ def emissions(df: DataFrame, file_name: str) -> DataFrame:
     if time is None or rate is None or any("<" in c for c in columns):
         return df.sparkSession.createDataFrame([], empty)
     parsed = first_timestamp(F.col(f"`{time}`").cast("string"), GAS_TIMES)
-    at = parsed if "utc" in time.lower() else to_utc(parsed)
+    at = parsed if any("utc" in c.lower() for c in columns) else to_utc(parsed)
     kind = file_class(file_name)
     value = first_number(F.when(~F.lower(F.trim(F.col(f"`{rate}`").cast("string"))).isin("", "na", "nan", "n/a", "-9999"), F.col(f"`{rate}`").cast("string")))
     rows = df.select(kind.alias("_k"), at.alias("time"), value.alias("rate"), F.col(file_name).alias("source_file")).where(F.col("_k").isNotNull() & F.col("time").isNotNull() & F.col("rate").isNotNull())
