@@ -68,6 +68,8 @@ def test_series(spark):
     assert [tuple(r["c"]) if r["c"] else None for r in f] == [("summit", "DOAS traverse", "traverse_mean"), ("ERZ", "road traverse", "individual"), None]
     g = landed.emissions(spark.createDataFrame([("7/4/2018 12:30", "1,200", "kil_summit_indiv.csv"), ("7/4/2018 12:30", "NA", "kil_summit_indiv.csv")], ["Date Time (HST)", "SO2 rate (t/d)", "f"]), "f").collect()
     assert [(r["time"], r["rate"], r["day"]) for r in g] == [(dt.datetime(2018, 7, 4, 22, 30), 1200.0, dt.date(2018, 7, 4))]
+    other = spark.createDataFrame([("7/4/2018 12:30", "1,200", "1", "kil_summit_indiv.csv")], ["Date Time", "SO2 rate (t/d)", "UTC offset", "f"])
+    assert landed.emissions(other, "f").first()["time"] == dt.datetime(2018, 7, 4, 12, 30)  # any column may say that times are in UTC
     p = landed.plume_heights(spark.createDataFrame([("7/4/2018 12:30", "0", "900"), ("7/4/2018 12:31", "800", "1"), ("7/4/2018 12:32", "", "")], ["t", "rim", "cam"]), "t", "rim", "cam", None).orderBy("time").collect()
     assert [(r["height_m"], r["height_ref"]) for r in p] == [(900.0, "camera frame"), (800.0, "above rim")]
     hourly, outside = landed.gravity_hourly(spark.createDataFrame([("2012-01-01 00:00:00.5", 1.0), ("2012-01-01 00:30:00", 3.0), ("1999-01-01 00:00:00", 1.0)], "t string, v double"), "G", "t", "v", 2012)

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
+
+from tidemark.session import shared_table
 
 
 def last_of_batch(batch: DataFrame, key: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -50,6 +53,35 @@ def replace_window(target: DataFrame, batch: DataFrame, time: str, since) -> Dat
     return target.where(F.col(time).isNull() | (F.col(time) < F.lit(since))).unionByName(batch, allowMissingColumns=True)
 
 
+def replace_days(batch: DataFrame, path: str, time: str, since: dt.datetime) -> DataFrame:
+    """A Parquet table in folders of days, its rows from `since` on replaced by the batch's; the table.
+
+    Only the days from `since` on are written: the day of `since` anew with its earlier rows, days that the batch lacks
+    are removed, and files of earlier days stay as they are. Batch rows before `since`, or without a time, are
+    left out, so the same batch again leaves the same rows.
+    """
+    spark = batch.sparkSession
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    schema, start = StructType([*batch.schema.fields, StructField("_day", DateType())]), F.lit(since)
+    day = F.to_date(time)
+    kept = batch.where(F.col(time) >= start).withColumn("_day", day)
+    known = [s.getPath().getName()[5:] for s in fs.listStatus(target)] if fs.exists(target) else []
+    known = [d for d in known if re.fullmatch(r"\d{4}-\d{2}-\d{2}", d)]
+    first = spark.range(1).select(F.to_date(start).cast("string").alias("d")).first()["d"]
+    if first in known:
+        earlier = spark.read.schema(schema).parquet(path).where((F.col("_day") == F.lit(first).cast("date")) & (F.col(time) < start))
+        kept = kept.unionByName(earlier)
+    kept = shared_table(kept, "days")
+    new = {str(r["_day"]) for r in kept.select("_day").distinct().collect()}  # one row a day that is written
+    kept.repartition("_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day").parquet(path)
+    for gone in known:
+        if gone >= first and gone not in new:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/_day={gone}"), True)
+    return spark.read.schema(schema).parquet(path).drop("_day")
+
+
 def purge(target: DataFrame, unwanted: Column) -> DataFrame:
     """Rows for which the predicate isn't true; a null predicate keeps the row."""
     return target.where(~F.coalesce(unwanted, F.lit(False)))
@@ -152,6 +184,20 @@ class Run:
         self.error = str(error)[:2000] if error else None
         return False
 
+    def write(self, df: DataFrame, path: str, given: Sequence[str] = (), ranges: Mapping[str, tuple[float, float]] | None = None) -> dict[str, int]:
+        """Writes a table and counts on the way: rows, nulls of the columns `given`, and values out of their ranges. The run's rows_written takes the rows.
+
+        The counts come from the write itself, so no second scan is needed; a write that fails leaves the run's count as it was.
+        """
+        seen = Observation(f"{self.source}-{uuid.uuid4().hex}")
+        counts = [F.count(F.lit(1)).alias("rows")]
+        counts += [F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(f"null_{c}") for c in given]
+        counts += [F.coalesce(F.sum((~F.col(c).between(a, b)).cast("long")), F.lit(0)).alias(f"outside_{c}") for c, (a, b) in (ranges or {}).items()]
+        df.observe(seen, *counts).write.mode("append").parquet(path)
+        found = {name: int(n) for name, n in seen.get.items()}
+        self.rows_written += found["rows"]
+        return found
+
     def row(self) -> DataFrame:
         values = (self.run_id, self.source, self.started, self.finished, self.status, self.rows_seen, self.rows_written, self.error)
         return self.spark.createDataFrame([values], RUN_LOG)

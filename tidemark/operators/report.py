@@ -69,10 +69,18 @@ def figure_series(episodes: DataFrame, daily: DataFrame, by: Sequence[str] = ())
     return start.unionByName(pause).unionByName(after).where(F.col("at").isNotNull())
 
 
-def digest(episodes: DataFrame, by: Sequence[str], now: Column, k: int = 3) -> DataFrame:
-    """The last k episodes of each series and the hours since the last pause."""
+def digest(episodes: DataFrame, by: Sequence[str], now: Column, k: int = 3, windows: DataFrame | None = None) -> DataFrame:
+    """The last k episodes of each series, the hours since the last pause, and, given stated windows, the newest issue's first that isn't over.
+
+    windows: by, issued, window_start, window_end; of one issue the window that starts first counts, and windows issued after `now` don't.
+    """
     last = newest_each(episodes.where(F.col("start") <= now), by, ["episode_no"], k)
-    return last.groupBy(*by).agg(
+    out = last.groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("episode_no", "start", "duration_hours")), asc=False).alias("last_episodes"),
         F.round(F.min(F.when(F.col("pause") <= now, hours_between(now, "pause"))), 2).alias("hours_since_pause"),
     )
+    if windows is None:
+        return out
+    coming = windows.where((F.col("issued") <= now) & (F.col("window_end") >= now))
+    stated = coming.groupBy(*by).agg(F.min_by(F.struct("issued", "window_start", "window_end"), F.struct(-F.unix_micros("issued"), "window_start", "window_end")).alias("_w"))
+    return out.join(stated, list(by), "left").select(*out.columns, F.col("_w.issued").alias("issued"), F.col("_w.window_start").alias("window_start"), F.col("_w.window_end").alias("window_end"))

@@ -57,3 +57,14 @@ def radius_counts(df: DataFrame, time: str, lat: str, lon: str, lat0: float, lon
 
 def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def distinct_sketches(df: DataFrame, by: Sequence[str], time: str, value: str, log_size: int = 14) -> DataFrame:
+    """by, hour and a sketch of the hour's distinct values, which unite over hours, days and keys; an estimate has a standard error of about 1.04 / sqrt(2^log_size)."""
+    known = df.where(F.col(time).isNotNull() & F.col(value).isNotNull())
+    return known.groupBy(*by, F.date_trunc("hour", time).alias("hour")).agg(F.hll_sketch_agg(F.col(value), F.lit(log_size)).alias("sketch"))
+
+
+def united(sketches: DataFrame, *by: Column | str) -> DataFrame:
+    """About how many distinct values the sketches of each group have together: by, n_distinct."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))

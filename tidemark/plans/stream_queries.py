@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import keyed, mining, report
 from tidemark.plans import standins as S
 from tidemark.plans.queries import query, us
 from tidemark.streaming import jobs
@@ -41,3 +44,52 @@ def stream_level_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = jobs.level_change_stream(_landed_events(spark, sf_dir), "user_id", "event_type", "ts", "event_id", late="60 days")
     table = KeyedTable(spark, jobs.new_folder(spark, "levels"), changes.schema, ["event_id"], ["version"], buckets=8, in_order=True)
     return merge_stream(changes, table, jobs.new_folder(spark, "levels-checkpoint")).where("changed").select("event_id", "user_id", "level", "previous")
+
+
+@query("""SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-20 09:00:00' THEN value * 2 ELSE value END AS value FROM ev WHERE ts < TIMESTAMP '2024-01-20 09:00:00' OR event_id % 5 <> 0""")
+def replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in folders of days, of which those from a time within a day on are replaced, twice."""
+    ev, since = S.events(spark, sf_dir).select("event_id", "ts", "value"), dt.datetime(2024, 1, 20, 9, tzinfo=dt.UTC)
+    path = jobs.new_folder(spark, "by-day")
+    keyed.replace_days(ev, path, "ts", dt.datetime(1970, 1, 1, tzinfo=dt.UTC))
+    batch = ev.where("event_id % 5 <> 0").withColumn("value", F.col("value") * 2)
+    keyed.replace_days(batch, path, "ts", since)
+    return keyed.replace_days(batch, path, "ts", since).select("event_id", "value")
+
+
+@query("""SELECT 'rows' AS name, count(*) AS n FROM ev UNION ALL SELECT 'null_k', count(*) FILTER (k IS NULL) FROM ev UNION ALL SELECT 'outside_value', count(*) FILTER (NOT value BETWEEN 5 AND 400) FROM ev
+    UNION ALL SELECT 'run log', count(*) FROM ev""")
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a write counted on its way, and the run log's count."""
+    with keyed.Run(spark, "events") as run:
+        found = run.write(S.events(spark, sf_dir), jobs.new_folder(spark, "observed"), ["k"], {"value": (5, 400)})
+    rows = [*found.items(), ("run log", run.row().first()["rows_written"])]
+    return spark.createDataFrame(rows, "name string, n long")
+
+
+_AT = "TIMESTAMP '2024-01-20'"
+
+
+@query(f""", last3 AS (SELECT user_id, array_agg(episode_no ORDER BY episode_no DESC) AS episodes, round(min(CASE WHEN pause <= {_AT} THEN (epoch_us({_AT}) - epoch_us(pause)) / 3600000000.0 END), 2) AS hours_since_pause
+        FROM (SELECT * FROM ep WHERE start <= {_AT} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY episode_no DESC) <= 3) GROUP BY user_id),
+    w AS (SELECT * FROM fc WHERE issued <= {_AT} AND window_end >= {_AT} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY issued DESC, window_start, window_end) = 1)
+    SELECT user_id, array_to_string(episodes, ',') AS episodes, hours_since_pause, epoch_us(window_start) AS window_start_us, epoch_us(window_end) AS window_end_us FROM last3 LEFT JOIN w USING (user_id)""")
+def daily_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's last three episodes and the stated window that comes first."""
+    ev = S.events(spark, sf_dir)
+    d = report.digest(S.episodes(ev), ["user_id"], F.lit(dt.datetime(2024, 1, 20, tzinfo=dt.UTC)), 3, S.forecasts(ev))
+    return d.select("user_id", F.array_join(F.transform("last_episodes", lambda e: e["episode_no"].cast("string")), ",").alias("episodes"), "hours_since_pause", us("window_start"), us("window_end"))
+
+
+@query("""SELECT o_orderkey, CAST(500 + o_custkey % 7 AS DOUBLE) AS low, CAST(5000 + o_custkey AS DOUBLE) AS high, 'Alert of order ' || o_orderkey || ' is out' AS status,
+    CASE WHEN o_custkey % 3 = 0 THEN 'Camera ' || o_custkey || ' is offline at the station.' END AS outage, CASE WHEN o_custkey % 2 = 0 THEN CAST(100 + o_custkey AS DOUBLE) END AS plume_m FROM orders""", standins=False)
+def daily_report_more_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usual range of a gas, the status, outages and plume heights of reports."""
+    o, c = S.orders(spark, sf_dir), F.col("o_custkey")
+    text = lambda *parts: F.concat(*[p.cast("string") if not isinstance(p, str) else F.lit(p) for p in parts])
+    body = text(
+        "Summary: Alert of order ", F.col("o_orderkey"), " is out. More.\n\nSummit: SO2 emission typically varies between ", 500 + c % 7, " and ", F.format_number(5000 + c, 0), " tonnes per day.",
+        F.when(c % 2 == 0, text(" The plume rose to ", 100 + c, " meters.")).otherwise(""), "\nResources: None.", F.when(c % 3 == 0, text(" Camera ", c, " is offline at the station.")).otherwise(""),
+    )
+    f = mining.facts(o.select("o_orderkey", body.alias("body")), "body", ["Summary", "Summit", "Resources"], ["o_orderkey"], "Summit", "Resources", "Rift", "Summary")
+    return f.select("o_orderkey", F.col("gas_typical.low").alias("low"), F.col("gas_typical.high").alias("high"), F.col("status.value").alias("status"), F.col("outage.value").alias("outage"), F.col("plume_height_m.value").alias("plume_m"))
