@@ -253,14 +253,18 @@ def date_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NOW = "TIMESTAMP '2024-01-20'"
 
 
-@query(f""", begun AS (SELECT * FROM ep WHERE start <= {_NOW} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY episode_no DESC) = 1),
+_SNAP = f""", begun AS (SELECT * FROM ep WHERE start <= {_NOW} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY episode_no DESC) = 1),
     day AS (SELECT user_id, count(*) AS n, max(magnitude) AS mx FROM qk WHERE time <= {_NOW} AND time > {_NOW} - INTERVAL 24 HOUR GROUP BY 1),
     f AS (SELECT * FROM fc WHERE issued <= {_NOW} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY issued DESC, event_id DESC) = 1),
-    l AS (SELECT * FROM ev WHERE ts <= {_NOW} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+    l AS (SELECT * FROM ev WHERE ts <= {_NOW} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)"""
+_JOINED = "FROM begun b LEFT JOIN day USING (user_id) LEFT JOIN f USING (user_id) LEFT JOIN l USING (user_id)"
+
+
+@query(_SNAP + f"""
     SELECT b.user_id, b.episode_no, CASE WHEN b.pause <= {_NOW} THEN 'paused' ELSE 'active' END AS state, coalesce(day.n, 0) AS n_24h, day.mx AS max_24h, l.event_type AS level,
         epoch_us(CASE WHEN f.issued >= {_NOW} - INTERVAL 7 DAY THEN f.window_start END) AS window_start_us,
         CASE WHEN f.issued IS NULL THEN 'no forecast' WHEN f.issued < {_NOW} - INTERVAL 7 DAY THEN 'stale forecast' END AS forecast_unavailable
-    FROM begun b LEFT JOIN day USING (user_id) LEFT JOIN f USING (user_id) LEFT JOIN l USING (user_id)""")
+    {_JOINED}""")
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _snapshot(spark, sf_dir)
     return s.select("user_id", "episode_no", "state", "n_24h", "max_24h", "level", us("window_start"), "forecast_unavailable")
@@ -273,7 +277,18 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.snapshot(S.episodes(ev), S.quakes(ev), S.forecasts(ev), levels, USER, now)
 
 
-@query()
+def _stamp(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST(epoch_us({c}) // 1000 % 1000 AS VARCHAR), 3, '0') || 'Z'"
+
+
+@query(_SNAP + f"""
+    SELECT user_id, CAST(json_object(
+        'episode', json_object('episode_no', episode_no, 'state', state, 'hours_since_pause', CASE WHEN state = 'paused' THEN round((epoch_us({_NOW}) - epoch_us(pause)) / 3600000000.0, 2) END),
+        'events', json_object('n_24h', n_24h, 'max_24h', max_24h), 'level', json_object('value', level, 'unavailable', CASE WHEN level IS NULL THEN 'no level' END),
+        'forecast', json_object('window_start', {_stamp("ws")}, 'window_end', {_stamp("we")}, 'unavailable', why)) AS VARCHAR) AS json
+    FROM (SELECT b.user_id, b.episode_no, b.pause, CASE WHEN b.pause <= {_NOW} THEN 'paused' ELSE 'active' END AS state, coalesce(day.n, 0) AS n_24h, day.mx AS max_24h, l.event_type AS level,
+        CASE WHEN f.issued >= {_NOW} - INTERVAL 7 DAY THEN f.window_start END AS ws, CASE WHEN f.issued >= {_NOW} - INTERVAL 7 DAY THEN f.window_end END AS we,
+        CASE WHEN f.issued IS NULL THEN 'no forecast' WHEN f.issued < {_NOW} - INTERVAL 7 DAY THEN 'stale forecast' END AS why {_JOINED})""")
 def snapshot_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.as_json(_snapshot(spark, sf_dir), USER)
 
