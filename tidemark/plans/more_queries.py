@@ -138,6 +138,56 @@ def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.report(_checked(spark, sf_dir), _rules()).select("check", "status", "n")
 
 
+def _more_rules() -> list[checks.Rule]:
+    now = F.lit(dt.datetime(2024, 2, 10, tzinfo=dt.UTC))
+    return [
+        checks.tolerance("volume near ten times k", "event", F.col("value"), F.col("k") * 10.0, 400.0),
+        checks.fresh("events fresh", "event", "ts", now, 3.0),
+        checks.fresh("events fresh enough", "event", "ts", now, 60.0),
+        checks.no_gap("signups without long gaps", "signup", "day", 5, USER),
+        checks.within("first view near first click", "view", "click", USER, "t", "t", 1440.0),
+        checks.last_succeeded("last runs succeeded", "runs"),
+        checks.populated("values known", "event", "value"),
+        checks.in_range("k in range", "event", "k", 5, 90, "WARN"),
+    ]
+
+
+_MORE = """, later AS (SELECT user_id, CAST(ts AS DATE) AS day FROM ev WHERE event_type = 'signup' GROUP BY ALL),
+    gap AS (SELECT date_diff('day', lag(day) OVER (PARTITION BY user_id ORDER BY day), day) AS g FROM later),
+    firsts AS (SELECT user_id, min(ts) FILTER (event_type = 'view') AS v, min(ts) FILTER (event_type = 'click') AS c FROM ev GROUP BY 1),
+    last AS (SELECT event_type, arg_max(CASE WHEN value > 250 THEN 'failed' ELSE 'ok' END, (ts, event_id)) AS s FROM ev GROUP BY 1),
+    found AS (
+        SELECT 'volume near ten times k' AS "check", count(*) FILTER (abs(value - k * 10.0) > 400) AS n, 'WARN' AS bad FROM ev
+        UNION ALL SELECT 'events fresh', CAST(max(ts) < TIMESTAMP '2024-02-10' - INTERVAL 3 DAY AS BIGINT), 'WARN' FROM ev
+        UNION ALL SELECT 'events fresh enough', CAST(max(ts) < TIMESTAMP '2024-02-10' - INTERVAL 60 DAY AS BIGINT), 'WARN' FROM ev
+        UNION ALL SELECT 'signups without long gaps', least(count(*), 5), 'WARN' FROM gap WHERE g > 5
+        UNION ALL SELECT 'first view near first click', count(*) FILTER (abs(epoch_us(v) - epoch_us(c)) > 86400000000), 'WARN' FROM firsts
+        UNION ALL SELECT 'last runs succeeded', count(*) FILTER (s <> 'ok'), 'FAIL' FROM last
+        UNION ALL SELECT 'values known', count(*) FILTER (value IS NULL), 'WARN' FROM ev
+        UNION ALL SELECT 'k in range', count(*) FILTER (k < 5 OR k > 90), 'WARN' FROM ev),
+    judged AS (SELECT "check", CASE WHEN n = 0 THEN 'PASS' ELSE bad END AS status, CAST(n AS BIGINT) AS n FROM found)
+"""
+
+
+def _more_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = S.events(spark, sf_dir)
+    first = lambda kind: ev.where(F.col("event_type") == kind).groupBy("user_id").agg(F.min("ts").alias("t"))
+    runs = ev.select(F.col("event_type").alias("source"), F.struct("ts", "event_id").alias("started"), F.when(F.col("value") > 250, "failed").otherwise("ok").alias("status"))
+    signups = ev.where("event_type = 'signup'").withColumn("day", F.to_date("ts"))
+    return checks.report({"event": ev, "signup": signups, "view": first("view"), "click": first("click"), "runs": runs}, _more_rules())
+
+
+@query(_MORE + "SELECT * FROM judged")
+def integrity_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of the other types: tolerances, freshness, gaps, two tables' times, last runs."""
+    return _more_found(spark, sf_dir).select("check", "status", "n")
+
+
+@query(_MORE + "SELECT status, count(*) AS n FROM judged GROUP BY status")
+def integrity_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.tally(_more_found(spark, sf_dir))
+
+
 @query("""SELECT o_custkey, after_number FROM (SELECT o_custkey, month AS after_number, max(month) OVER (PARTITION BY o_custkey) AS last, lead(month) OVER (PARTITION BY o_custkey ORDER BY month) AS nxt
     FROM (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) * 12 + month(o_orderdate) AS INT) AS month FROM orders)) WHERE after_number < last AND nxt > after_number + 1""", standins=False)
 def missing_successors(spark: SparkSession, sf_dir: str) -> DataFrame:
