@@ -93,3 +93,33 @@ def daily_report_more_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     f = mining.facts(o.select("o_orderkey", body.alias("body")), "body", ["Summary", "Summit", "Resources"], ["o_orderkey"], "Summit", "Resources", "Rift", "Summary")
     return f.select("o_orderkey", F.col("gas_typical.low").alias("low"), F.col("gas_typical.high").alias("high"), F.col("status.value").alias("status"), F.col("outage.value").alias("outage"), F.col("plume_height_m.value").alias("plume_m"))
+
+
+def _told_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, c = S.orders(spark, sf_dir), F.col("o_custkey")
+    say = lambda *parts: F.concat(*[p.cast("string") if not isinstance(p, str) else F.lit(p) for p in parts])
+    station = F.element_at(F.array(F.lit("SDH"), F.lit("UWD"), F.lit("IKI")), (c % 3 + 1).cast("int"))
+    hedge = F.element_at(F.array(F.lit("about "), F.lit("more than "), F.lit("")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    body = say(
+        "The ", station, " tiltmeter recorded ", hedge, c % 90 + 1, " microradians of deflation during the fountains of episode ", c % 60, ". Since the end of it, ", c % 50 + 1,
+        F.when(c % 2 == 0, " microradians were recovered").otherwise(" microradians of inflation were seen"), ". Within the past 24 hours there were nearly ", c % 20 + 1, " microradians of inflation. It goes on at ", c % 5 + 1, " microradians per hour. Of ", c, " notices this is one.",
+    )
+    return mining.number_readings(o.select("o_orderkey", body.alias("body")), "body", ["o_orderkey"], codes=["SDH", "UWD", "IKI"])
+
+
+_READINGS = """SELECT o_orderkey, kind, CAST(number AS DOUBLE) AS number, CASE kind WHEN 'deflation_episode' THEN ['about', 'more than', 'exact'][1 + o_orderkey % 3] WHEN 'change_24h' THEN 'nearly' ELSE 'exact' END AS qualifier,
+    ['SDH', 'UWD', 'IKI'][1 + o_custkey % 3] AS station, CASE kind WHEN 'deflation_episode' THEN CAST(o_custkey % 60 AS INT) END AS episode_no FROM (
+    SELECT o_orderkey, o_custkey, unnest(['deflation_episode', 'inflation_cumulative', 'change_24h', 'rate_per_day']) AS kind, unnest([o_custkey % 90 + 1, o_custkey % 50 + 1, o_custkey % 20 + 1, o_custkey % 5 + 1]) AS number FROM orders)"""
+
+
+@query(_READINGS, standins=False)
+def stated_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings stated in sentences of four shapes: number, hedge, kind, station and episode."""
+    return _told_readings(spark, sf_dir).drop("sentence")
+
+
+@query(f"SELECT o_orderkey, kind, number, station, qualifier, 1 AS n_quotes FROM ({_READINGS})", standins=False)
+def latest_stated_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last reading of each kind in a text, with how many sentences state one."""
+    r = mining.latest_readings(_told_readings(spark, sf_dir).withColumn("pos", F.monotonically_increasing_id()), ["o_orderkey"])
+    return r.select("o_orderkey", "kind", "latest.number", "latest.station", "latest.qualifier", F.size("quotes").alias("n_quotes"))
