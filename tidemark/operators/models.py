@@ -55,6 +55,12 @@ def score_pairs(pairs: DataFrame, by: Sequence[str], least: int = 6, tolerances:
     return out.where(F.col("n") >= least - 1)
 
 
+def best_first(scores: DataFrame, by: Sequence[str], error: str = "mae") -> DataFrame:
+    """A table of scores in order, with the place of each within its series: the least error first; of errors equal to six digits the first by name."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.round(error, 6), "name"))
+    return scores.withColumn("place", place).orderBy(*by, "place")
+
+
 def rolling_fit(df: DataFrame, by: Sequence[str], order: Sequence[str], x: str, y: str, k: int = 14, least: int = 5) -> DataFrame:
     """Each row of both measures with the line through the k before it: slope (4 digits), intercept (3), r, n; null below `least` points or without spread."""
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(-k, -1)

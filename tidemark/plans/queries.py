@@ -337,6 +337,13 @@ def baseline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("user_id", "name", "n", *[F.round(c, 4).alias(c) for c in ("mae", "median_ae", "rmse", "within_12_pct", "within_24_pct", "implied_window_days")])
 
 
+@query(_SERIES + """, e AS (SELECT *, abs(prediction - actual) AS a FROM pairs), m AS (SELECT user_id, name, avg(a) AS mae FROM e GROUP BY ALL HAVING count(*) >= 5)
+    SELECT user_id, name, round(mae, 4) AS mae, CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(mae, 6), name) AS INT) AS place FROM m""")
+def baseline_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = models.best_first(models.score_pairs(_pairs(S.events(spark, sf_dir)), USER), USER)
+    return s.select("user_id", "name", F.round("mae", 4).alias("mae"), "place")
+
+
 _FIT = """, xy AS (SELECT user_id, episode_no, volume AS x, repose_hours / 24 AS y FROM ep WHERE repose_hours IS NOT NULL),
     raw AS (SELECT *, regr_count(y, x) OVER w AS n, regr_slope(y, x) OVER w AS s, avg(x) OVER w AS mx, avg(y) OVER w AS my, corr(y, x) OVER w AS c
             FROM xy WINDOW w AS (PARTITION BY user_id ORDER BY episode_no ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)),
