@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
@@ -100,6 +101,13 @@ _HELD: dict = {}
 def per_worker(key, make):
     """What make() gives, kept for a Python worker's later tasks; one thing at a time, so that memory stays bounded."""
     if key not in _HELD:
-        _HELD.clear()
+        release_kept()
         _HELD[key] = make()
     return _HELD[key]
+
+
+def release_kept() -> None:
+    """Lets go of what a worker keeps from an operator before; it may hold itself in a circle, so it is collected at once."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, per_worker, values_of, written
+from tidemark.llm.common import mapped, per_worker, release_kept, values_of, written
 from tidemark.llm.deobfuscate import Decoder, letters, runs_apart, trigram_counts, trigram_table
 
 #: Labelled rows that the classifier is fitted on at most, and n-grams that it keeps at most.
@@ -33,6 +33,7 @@ def char_model(df: DataFrame, text_col: str) -> np.ndarray:
     def count(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
+        release_kept()
         words: Counter = Counter()
 
         def flushed():
@@ -123,6 +124,7 @@ def candidate_grams(sample: DataFrame, table, n: dict[int, int], most: int = MAX
     """The n-grams that speak for label 1 in the sample, by the words of its texts; the `most` strongest."""
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_kept()
         decoder, counts = Decoder(table.value), (Counter(), Counter())
 
         def flushed() -> pd.DataFrame:
@@ -223,6 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     columns = docs.sparkSession.sparkContext.broadcast({g: k for k, g in enumerate(grams)})
 
     def places(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_kept()
         features = Features(columns.value, shared.value)
         for pdf in parts:
             yield pd.DataFrame({"label": pdf["_label"], "has": [np.array(sorted(features(t)), np.int32) for t in pdf["_text"]]})
