@@ -167,7 +167,7 @@ def test_labels_equal_plain_rules():
     """Labels by plain rules: sums of words and place, and for open blocks a search outward in both directions."""
     r = random.Random(41)
     for _ in range(300):
-        regions = [Region(r.randrange(-1, k) if k else -1, r.random() < 0.7, r.random() < 0.2) for k in range(r.randint(0, 5))]
+        regions = [Region(r.randrange(-1, k) if k else -1, r.choice([0, 1, 2, 2]), r.random() < 0.2) for k in range(r.randint(0, 5))]
         articles = [k for k, x in enumerate(regions) if not x.away]
         blocks = []
         for _ in range(r.randint(0, 30)):
@@ -184,26 +184,29 @@ def test_labels_equal_plain_rules():
             return k == top and k >= 0
 
         def off(k):
+            most = 0
             while k >= 0:
                 mine = size(lambda b: under(b.region, k), least)
                 heads = any(under(j, k) and regions[j].heads for j in range(len(regions)))
                 headed = any(b.heading == 1 or b.article >= 0 for b in blocks)
                 void = total > 0 and (2 * mine >= total if heads else not headed and 5 * mine >= 4 * total)
-                if regions[k].away and not void:
-                    return True
+                most = max(most, 0 if void else regions[k].away)
                 k = regions[k].up
-            return False
+            return most
 
-        live = {b.article for b in blocks if b.article >= 0 and not off(b.article)}
+        live = {b.article for b in blocks if b.article >= 0 and off(b.article) < 2}
         marked = live and 2 * size(lambda b: b.article in live, least) >= total
-        place = [-4 * off(b.region) + (1 if b.article in live else -2 if marked else 0) for b in blocks]
+        title = lambda b: off(b.region) == 1 and b.heading == 1 and b.article in live
+        place = [(0 if title(b) else -2 * off(b.region) + (1 if b.article in live else -2 if marked else 0)) for b in blocks]
         sums = [a + b for a, b in zip(said, place)]
+        if not any(x > 0 for x in sums) and any(b.heading == 1 or b.article >= 0 for b in blocks):
+            sums = [1 if x == 0 and p >= 0 else x for x, p in zip(sums, place)]
         want = []
         for k, b in enumerate(blocks):
             if sums[k]:
                 want.append(sums[k] > 0)
                 continue
-            good = lambda i: sums[i] != 0 and place[i] > -3
+            good = lambda i: sums[i] > 0 or sums[i] < 0 and not off(blocks[i].region)
             left = next((i for i in range(k - 1, -1, -1) if good(i)), None)
             right = next((i for i in range(k + 1, len(blocks)) if good(i)), None)
             if b.heading and right is not None:
