@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 import statistics
 
@@ -248,3 +249,13 @@ def test_facts_need_their_words(spark):
     only = "Summit: A windward slope moved 3 to 5 mph. The SO2 rate can exceed 5,000 tonnes per day.\n\nEnd: x"
     f = mining.facts(spark.createDataFrame([(1, only)], "id int, body string"), "body", ["Summit", "End"], ["id"], "Summit", "End", "None", "None").first()
     assert f["gas_measured"]["unavailable"] == "not stated" and f["wind"]["unavailable"] == "not stated"
+
+
+def test_fits_without_spread(spark):
+    flat = [("same x", n, 2.0, float(n)) for n in range(8)] + [("same y", n, float(n), 2.0) for n in range(8)] + [("both", n, 0.3, 0.7) for n in range(8)]
+    df = spark.createDataFrame(flat, "s string, n int, x double, y double")
+    last = {r["s"]: r for r in models.rolling_fit(df, ["s"], ["n"], "x", "y").where("n = 7").collect()}
+    assert last["same x"]["slope"] is last["same x"]["r"] is last["both"]["slope"] is last["both"]["r"] is None
+    assert last["same y"]["slope"] == 0 and last["same y"]["intercept"] == 2 and math.isnan(last["same y"]["r"])
+    latest = models.latest_model(df, ["s"], ["n"], "x", "y").collect()
+    assert [(r["s"], r["slope"], r["intercept"]) for r in latest] == [("same y", 0.0, 2.0)]

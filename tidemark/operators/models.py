@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from heapq import heappop, heappush, heappushpop
 from itertools import repeat
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -61,14 +61,20 @@ def best_first(scores: DataFrame, by: Sequence[str], error: str = "mae") -> Data
     return scores.withColumn("place", place).orderBy(*by, "place")
 
 
+def correlation(x: str, y: str, over: Callable[[Column], Column] = lambda c: c) -> Column:
+    """Pearson's r of rows of both measures; NaN where one has no spread, for which F.corr divides by zero. `over` makes each sum a window's."""
+    r = F.try_divide(over(F.regr_sxy(y, x)), F.sqrt(over(F.regr_sxx(y, x))) * F.sqrt(over(F.regr_syy(y, x))))
+    return F.coalesce(r, F.lit(float("nan")))
+
+
 def rolling_fit(df: DataFrame, by: Sequence[str], order: Sequence[str], x: str, y: str, k: int = 14, least: int = 5) -> DataFrame:
-    """Each row of both measures with the line through the k before it: slope (4 digits), intercept (3), r, n; null below `least` points or without spread."""
+    """Each row of both measures with the line through the k before it: slope (4 digits), intercept (3), r, n; null below `least` points or without spread of x; r is NaN without spread of y."""
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(-k, -1)
     rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     n = F.regr_count(y, x).over(w)
     slope = F.when(n >= least, F.regr_slope(y, x).over(w))
     intercept = F.avg(y).over(w) - slope * F.avg(x).over(w)
-    return rows.withColumns({"fit_n": n, "slope": F.bround(slope, 4) + 0.0, "intercept": F.bround(intercept, 3) + 0.0, "r": F.when(slope.isNotNull(), F.bround(F.corr(x, y).over(w), 3) + 0.0)})
+    return rows.withColumns({"fit_n": n, "slope": F.bround(slope, 4) + 0.0, "intercept": F.bround(intercept, 3) + 0.0, "r": F.when(slope.isNotNull(), F.bround(correlation(x, y, lambda c: c.over(w)), 3) + 0.0)})
 
 
 def backtest_rows(fitted: DataFrame, by: Sequence[str], order: Sequence[str], number: str, x: str, y: str, first: int) -> DataFrame:
@@ -117,7 +123,7 @@ def latest_model(df: DataFrame, by: Sequence[str], order: Sequence[str], x: str,
     """The line through the last k rows of each series."""
     w = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in order])
     last = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    fit = last.groupBy(*by).agg(F.count("*").alias("model_n"), F.regr_slope(y, x).alias("_s"), F.avg(x).alias("_mx"), F.avg(y).alias("_my"), F.corr(x, y).alias("_r"))
+    fit = last.groupBy(*by).agg(F.count("*").alias("model_n"), F.regr_slope(y, x).alias("_s"), F.avg(x).alias("_mx"), F.avg(y).alias("_my"), correlation(x, y).alias("_r"))
     fit = fit.where((F.col("model_n") >= least) & F.col("_s").isNotNull())
     return fit.select(*by, "model_n", F.bround("_s", 4).alias("slope"), F.bround(F.col("_my") - F.col("_s") * F.col("_mx"), 3).alias("intercept"), F.bround("_r", 3).alias("r"))
 
