@@ -73,3 +73,14 @@ def test_markup(spark):
     page = "<table><tr><th>No</th><th>A &amp; B</th></tr><tr><td>1</td><td> x<br>y </td></tr></table><table></table>"
     assert one(spark, texts.table_cells("t"), t=page) == [[["No", "A & B"], ["1", "x y"]], []]
     assert one(spark, texts.strip_tags("t"), t="<p>a&nbsp;b</p><script>x<y</script><div>c</div>") == "a b\nc"
+
+
+def test_json_numbers(spark):
+    from tidemark.functions.numbers import json_number
+    from tidemark.operators.report import json_of
+
+    shown = {0.0003: "0.0003", -0.00000125: "-0.00000125", 3e-7: "3e-7", 1e7: "10000000.0", 123456789.125: "123456789.125", 1e20: "1" + "0" * 20 + ".0", 1.5e300: "1.5e300", 34.0: "34.0", 0.001: "0.001", 0.0: "0.0"}
+    df = spark.createDataFrame([(v,) for v in [*shown, None]], "v double")
+    assert {r[0]: r[1] for r in df.select("v", json_number("v")).collect()} == shown | {None: None}
+    nested = spark.createDataFrame([(("a\"E", None, (2.0e-4, dt.datetime(2026, 1, 1, 1)), None),)], "d struct<s:string,n:int,i:struct<x:double,t:timestamp>,j:struct<x:double>>")
+    assert nested.select(json_of(F.col("d"), nested.schema["d"].dataType)).first()[0] == '{"s":"a\\"E","n":null,"i":{"x":0.0002,"t":"2026-01-01T01:00:00.000Z"},"j":null}'

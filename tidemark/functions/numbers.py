@@ -68,3 +68,16 @@ def signed(magnitude, kind, negative_prefix: str = "deflation", most: float = 20
     """The magnitude with the sign of its kind; null outside 0 < x <= most."""
     value = F.when(col(kind).startswith(negative_prefix), -col(magnitude)).otherwise(col(magnitude))
     return F.when((col(magnitude) > 0) & (col(magnitude) <= most), value)
+
+
+def json_number(value) -> Column:
+    """A number as JSON text: without an exponent from 1e-6 up to 1e21, where casts write one below 1e-3 and from 1e7 on; NaN and infinities are in quotes, as to_json has them."""
+    value = col(value).cast("double")
+    size, text = F.abs(value), value.cast("string")
+    plain = lambda scale: F.regexp_replace(text.try_cast(f"decimal(38,{scale})").cast("string"), r"(\.\d+?)0+$", "$1")
+    return (
+        F.when(F.isnan(value) | (size == float("inf")), F.concat(F.lit('"'), text, F.lit('"')))
+        .when((size >= 1e-6) & (size < 1e-3), plain(25))
+        .when((size >= 1e7) & (size < 1e21), plain(12))
+        .otherwise(F.regexp_replace(text, r"(\.0)?E", "e"))
+    )

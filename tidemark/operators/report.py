@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DoubleType, FloatType, StructType
 
+from tidemark.functions.numbers import json_number
 from tidemark.functions.times import hours_between
 from tidemark.operators.keyed import upsert
 from tidemark.operators.latest import newest_each
@@ -40,6 +43,17 @@ def snapshot(episodes: DataFrame, events: DataFrame, forecasts: DataFrame, level
     )
 
 
+def json_of(value: Column, kind: DataType) -> Column:
+    """A value as JSON text with its nulls: what to_json gives, but for numbers, which have no exponent where other writers have none."""
+    if isinstance(kind, StructType):
+        fields = [F.concat(F.lit(f"{json.dumps(f.name)}:"), json_of(value[f.name], f.dataType)) for f in kind]
+        return F.when(value.isNull(), "null").otherwise(F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")))
+    if isinstance(kind, (DoubleType, FloatType)):
+        return F.coalesce(json_number(value), F.lit("null"))
+    listed = F.to_json(F.array(value), {"ignoreNullFields": "false"})
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
 def as_json(snap: DataFrame, by: Sequence[str]) -> DataFrame:
     """The snapshot as one JSON text each, with values or reasons."""
     doc = F.struct(
@@ -48,7 +62,8 @@ def as_json(snap: DataFrame, by: Sequence[str]) -> DataFrame:
         value_or_reason(F.col("level"), "no level").alias("level"),
         F.struct("window_start", "window_end", F.col("forecast_unavailable").alias("unavailable")).alias("forecast"),
     )
-    return snap.select(*by, F.to_json(doc, {"ignoreNullFields": "false"}).alias("json"))
+    whole = snap.select(*by, doc.alias("_doc"))
+    return whole.select(*by, json_of(F.col("_doc"), whole.schema["_doc"].dataType).alias("json"))
 
 
 def record(log: DataFrame, snap: DataFrame, by: Sequence[str], generated: Column) -> DataFrame:
