@@ -259,3 +259,12 @@ def test_fits_without_spread(spark):
     assert last["same y"]["slope"] == 0 and last["same y"]["intercept"] == 2 and math.isnan(last["same y"]["r"])
     latest = models.latest_model(df, ["s"], ["n"], "x", "y").collect()
     assert [(r["s"], r["slope"], r["intercept"]) for r in latest] == [("same y", 0.0, 2.0)]
+
+
+def test_forward_joins_in_time_that_grows_with_the_rows(spark):
+    n = 30_000
+    left = spark.range(n).select("id", F.timestamp_seconds(F.col("id") * 2).alias("t"))
+    right = spark.range(n).select(F.timestamp_seconds(F.col("id") * 2 + 1).alias("r"))
+    got = intervals.as_of_forward_bucketed(left, right, "t", "r", "next")
+    wrong = got.where("next is null or unix_seconds(next) <> unix_seconds(t) + 1").count()
+    assert wrong == 0 and "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()

@@ -51,11 +51,9 @@ def _as_of(left: DataFrame, right: DataFrame, time: str, right_time: str, value:
     marked = left.withColumn("_side", F.lit(1 if right_first else 0)).withColumn("_t", F.col(time)).withColumn("_v", F.lit(None).cast(right.select(value.alias("v")).schema["v"].dataType))
     other = right.select(*by, F.lit(0 if right_first else 1).alias("_side"), F.col(right_time).alias("_t"), value.alias("_v"))
     rows = marked.withColumn("_left", F.lit(True)).unionByName(other.withColumn("_left", F.lit(False)), allowMissingColumns=True)
-    order = Window.partitionBy(*by).orderBy("_t", "_side")
-    if forward:
-        found = F.first("_v", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
-    else:
-        found = F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # forward is backward in falling order: a frame up to the end of a partition is gone through anew for each row
+    order = (F.desc("_t"), F.desc("_side")) if forward else ("_t", "_side")
+    found = F.last("_v", ignorenulls=True).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     return rows.withColumn(name, found).where("_left").drop("_side", "_t", "_v", "_left")
 
 
@@ -82,7 +80,7 @@ def as_of_forward_bucketed(left: DataFrame, right: DataFrame, time: str, right_t
     inside = as_of_forward(left.withColumn("_b", bucket(time)), right.withColumn("_b", bucket(right_time)), time, right_time, right_time, ["_b"], "_near")
     firsts = right.groupBy(bucket(right_time).alias("_b")).agg(F.min(right_time).alias("_m"))
     buckets = firsts.unionByName(left.select(bucket(time).alias("_b"), F.lit(None).cast("timestamp").alias("_m"))).groupBy("_b").agg(F.min("_m").alias("_m"))
-    later = buckets.withColumn("_later", F.first("_m", ignorenulls=True).over(Window.orderBy("_b").rowsBetween(1, Window.unboundedFollowing))).drop("_m")
+    later = buckets.withColumn("_later", F.last("_m", ignorenulls=True).over(Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1))).drop("_m")
     return inside.join(later, "_b", "left").withColumn(name, F.coalesce("_near", "_later")).drop("_b", "_near", "_later")
 
 
