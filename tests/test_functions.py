@@ -84,3 +84,13 @@ def test_json_numbers(spark):
     assert {r[0]: r[1] for r in df.select("v", json_number("v")).collect()} == shown | {None: None}
     nested = spark.createDataFrame([(("a\"E", None, (2.0e-4, dt.datetime(2026, 1, 1, 1)), None),)], "d struct<s:string,n:int,i:struct<x:double,t:timestamp>,j:struct<x:double>>")
     assert nested.select(json_of(F.col("d"), nested.schema["d"].dataType)).first()[0] == '{"s":"a\\"E","n":null,"i":{"x":0.0002,"t":"2026-01-01T01:00:00.000Z"},"j":null}'
+
+
+def test_costly_parts_are_worked_out_once(spark):
+    from tidemark.operators.mining import names_all
+
+    df = spark.createDataFrame([("May 6, 2025 - 12:30 a.m.",)], "t string")
+    plan = df.select(times.local_clock("t").alias("c")).select("c.utc", "c.exact")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") < 30
+    plan = df.select(names_all(F.col("t"), "outage").alias("named"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import col
+from tidemark.functions.times import col, once
 
 #: The mean radius of the earth, feet in metres, number words.
 EARTH_RADIUS_KM = 6371.0088
@@ -15,7 +15,7 @@ NUMBER_WORDS = {"no": 0, "zero": 0, "one": 1, "two": 2, "three": 3, "four": 4, "
 
 def first_number(text) -> Column:
     found = F.regexp_extract(F.regexp_replace(col(text), ",", ""), r"-?\d+(?:\.\d+)?", 0)
-    return F.nullif(found, F.lit("")).cast("double")
+    return once(found, lambda t: F.nullif(t, F.lit("")).cast("double"))
 
 
 def number_or_word(text) -> Column:
@@ -26,10 +26,8 @@ def number_or_word(text) -> Column:
 
 def height_m(text) -> Column:
     """Metres as stated, else feet turned into metres to one place."""
-    plain = F.regexp_replace(F.lower(col(text)), ",", "")
-    metres = F.nullif(F.regexp_extract(plain, r"(\d+(?:\.\d+)?)\s*(?:meters?|metres?|m)\b", 1), F.lit("")).cast("double")
-    feet = F.nullif(F.regexp_extract(plain, r"(\d+(?:\.\d+)?)\s*(?:feet|foot|ft)\b", 1), F.lit("")).cast("double")
-    return F.coalesce(metres, F.round(feet * FEET_TO_METRES, 1))
+    said = lambda t, units: once(F.regexp_extract(t, rf"(\d+(?:\.\d+)?)\s*(?:{units})\b", 1), lambda n: F.nullif(n, F.lit("")).cast("double"))
+    return once(F.regexp_replace(F.lower(col(text)), ",", ""), lambda t: F.coalesce(said(t, "meters?|metres?|m"), F.round(said(t, "feet|foot|ft") * FEET_TO_METRES, 1)))
 
 
 def haversine_km(lat, lon, lat0: float, lon0: float, places: int = 3) -> Column:

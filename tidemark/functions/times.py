@@ -16,6 +16,11 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value, f) -> Column:
+    """f of a value that is worked out once, however often f uses it; Spark works out what stands in branches and lambdas anew for each use."""
+    return F.get(F.transform(F.array(col(value)), f), 0)
+
+
 def hours_between(later, earlier) -> Column:
     return (F.unix_micros(col(later)) - F.unix_micros(col(earlier))) / 3_600_000_000.0
 
@@ -50,14 +55,18 @@ def first_timestamp(text, formats: list[str]) -> Column:
 def month_number(name) -> Column:
     """1 to 12 for an English month, whole or its first three letters; else null."""
     at = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.lower(F.substring(col(name), 1, 3)))
-    return F.nullif(at.cast("int"), F.lit(0))
+    return once(at.cast("int"), lambda n: F.nullif(n, F.lit(0)))
 
 
 def valid_date(year, month, day) -> Column:
     """The date, or null where there is none such."""
-    text = F.format_string("%04d-%02d-%02d", col(year).cast("int"), col(month).cast("int"), col(day).cast("int"))
-    known = col(year).isNotNull() & col(month).isNotNull() & col(day).isNotNull()
-    return F.when(known, F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MM-dd"))))
+    parts = F.struct(col(year).cast("int").alias("y"), col(month).cast("int").alias("m"), col(day).cast("int").alias("d"))
+
+    def date(p):
+        text = F.concat(F.lpad(p["y"].cast("string"), 4, "0"), F.lit("-"), F.lpad(p["m"].cast("string"), 2, "0"), F.lit("-"), F.lpad(p["d"].cast("string"), 2, "0"))
+        return F.when(p["y"].between(1, 9999) & p["m"].between(1, 12) & p["d"].between(1, 31), text.try_cast("date"))
+
+    return once(parts, date)
 
 
 def local_clock(text, default_year=None, offset_hours: int = LOCAL_OFFSET_HOURS) -> Column:
@@ -66,28 +75,41 @@ def local_clock(text, default_year=None, offset_hours: int = LOCAL_OFFSET_HOURS)
     The year may be absent (default_year), as may minutes, and the time of day (midnight, exact 0).
     Text without a date gives a null utc and exact 0.
     """
-    t = F.regexp_replace(F.lower(F.coalesce(col(text), F.lit(""))), r"\s+", " ")
     date = rf"({_MONTH})\s+(\d{{1,2}})(?:,?\s+(\d{{4}}))?"
-    get = lambda pattern, i: F.nullif(F.regexp_extract(t, pattern, i), F.lit(""))
-    month, day = month_number(get(date, 1)), get(date, 2).cast("int")
-    year = F.coalesce(get(date, 3).cast("int"), col(default_year).cast("int") if default_year is not None else F.lit(None).cast("int"))
     clock = r"(\d{1,2})(?::(\d{2}))?\s*([ap])\.?\s*m"
-    hour, minute, half = get(clock, 1).cast("int"), F.coalesce(get(clock, 2).cast("int"), F.lit(0)), get(clock, 3)
-    exact = hour.isNotNull() & (hour <= 12) & (minute < 60)
-    of_day = F.when(exact, F.pmod(hour, F.lit(12)) + F.when(half == "p", 12).otherwise(0)).otherwise(0)
-    day_start = valid_date(year, month, day).cast("timestamp")
-    minutes = of_day * 60 + F.when(exact, minute).otherwise(0) + offset_hours * 60
-    utc = F.timestamp_micros(F.unix_micros(day_start) + minutes.cast("long") * 60_000_000)
-    return F.struct(utc.alias("utc"), F.when(utc.isNotNull() & exact, 1).otherwise(0).alias("exact"), year.alias("year"))
+    number = lambda t: F.nullif(t, F.lit("")).cast("int")
+
+    def found(t):
+        """What is stated, each part as text; a part is looked for in what its whole pattern found first."""
+        said = F.struct(F.regexp_extract(t, date, 0).alias("d"), F.regexp_extract(t, clock, 0).alias("c"))
+        return once(said, lambda x: F.struct(
+            F.regexp_extract(x["d"], rf"^{date}$", 1).alias("month"), F.regexp_extract(x["d"], rf"^{date}$", 2).alias("day"), F.regexp_extract(x["d"], rf"^{date}$", 3).alias("year"),
+            F.regexp_extract(x["c"], rf"^{clock}$", 1).alias("hour"), F.regexp_extract(x["c"], rf"^{clock}$", 2).alias("minute"), F.regexp_extract(x["c"], rf"^{clock}$", 3).alias("half"),
+        ))
+
+    def read(x):
+        hour, minute = number(x["hour"]), F.coalesce(number(x["minute"]), F.lit(0))
+        default = col(default_year).cast("int") if default_year is not None else F.lit(None).cast("int")
+        return F.struct(
+            month_number(x["month"]).alias("month"), number(x["day"]).alias("day"), F.coalesce(number(x["year"]), default).alias("year"),
+            F.coalesce((hour <= 12) & (minute < 60), F.lit(False)).alias("exact"), hour.alias("hour"), minute.alias("minute"), (x["half"] == "p").alias("late"),
+        )
+
+    def told(x):
+        minutes = F.when(x["exact"], F.pmod(x["hour"], F.lit(12)) * 60 + F.when(x["late"], 720).otherwise(0) + x["minute"]).otherwise(0) + offset_hours * 60
+        utc = F.timestamp_micros(F.unix_micros(valid_date(x["year"], x["month"], x["day"]).cast("timestamp")) + minutes.cast("long") * 60_000_000)
+        return once(utc, lambda u: F.struct(u.alias("utc"), F.when(u.isNotNull() & x["exact"], 1).otherwise(0).alias("exact"), x["year"].alias("year")))
+
+    t = F.regexp_replace(F.lower(F.coalesce(col(text), F.lit(""))), r"\s+", " ")
+    return once(once(once(t, found), read), told)
 
 
 def duration_hours(text) -> Column:
     """Hours of "14 hours", "8.5 days", "30 minutes"; null without a number and unit."""
     pattern = r"(?i)(\d+(?:\.\d+)?)\s*(day|hour|hr|minute|min)"
     n = F.regexp_extract(F.regexp_replace(col(text), ",", ""), pattern, 1)
-    unit = F.lower(F.regexp_extract(col(text), pattern, 2))
-    value = F.nullif(n, F.lit("")).cast("double")
-    return F.when(unit == "day", value * 24).when(unit.isin("minute", "min"), value / 60).when(unit.isin("hour", "hr"), value)
+    said = F.struct(F.nullif(n, F.lit("")).cast("double").alias("value"), F.lower(F.regexp_extract(col(text), pattern, 2)).alias("unit"))
+    return once(said, lambda s: F.when(s["unit"] == "day", s["value"] * 24).when(s["unit"].isin("minute", "min"), s["value"] / 60).when(s["unit"].isin("hour", "hr"), s["value"]))
 
 
 def compact_utc(text) -> Column:
@@ -97,11 +119,10 @@ def compact_utc(text) -> Column:
 
 def two_digit_date(text, pivot: int = 80) -> Column:
     """26JUL04; years from the pivot on are of the twentieth century."""
-    year = F.nullif(F.regexp_extract(col(text), r"^(\d{2})([A-Z]{3})(\d{2})$", 1), F.lit("")).cast("int")
-    name = F.regexp_extract(col(text), r"^(\d{2})([A-Z]{3})(\d{2})$", 2)
-    month = month_number(name)
-    day = F.nullif(F.regexp_extract(col(text), r"^(\d{2})([A-Z]{3})(\d{2})$", 3), F.lit("")).cast("int")
-    return valid_date(F.when(year >= pivot, 1900 + year).otherwise(2000 + year), month, day)
+    part = lambda i: F.regexp_extract(col(text), r"^(\d{2})([A-Z]{3})(\d{2})$", i)
+    number = lambda i: once(part(i), lambda t: F.nullif(t, F.lit("")).cast("int"))
+    year = once(number(1), lambda y: F.when(y >= pivot, 1900 + y).otherwise(2000 + y))
+    return valid_date(year, month_number(part(2)), number(3))
 
 
 def partial_date(year, month, day) -> Column:

@@ -186,7 +186,7 @@ def source_page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     round((o_custkey % 50) / CASE WHEN o_custkey % 2 = 0 THEN 60 ELSE 1 END, 9) AS hours, epoch_us(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 686 MINUTE) AS dtg_us,
     CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders""", standins=False)
 def stated_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = S.orders(spark, sf_dir)
+    o = S.told_orders(spark, sf_dir)
     hour = F.col("o_custkey") % 24
     twelve = F.when(hour % 12 == 0, F.lit(12)).otherwise(hour % 12)
     clock = local_clock(_text(F.date_format("o_orderdate", "MMMM d, yyyy"), " - ", twelve, ":40 ", F.when(hour < 12, "a.m.").otherwise("p.m.")))
@@ -197,7 +197,7 @@ def stated_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, CAST(o_custkey % 40 AS INT) AS quakes, CAST(1000 + o_custkey AS DOUBLE) AS gas, CAST(o_custkey % 9 AS DOUBLE) AS wind_low, CAST(o_custkey % 9 + 5 AS DOUBLE) AS wind_high, o_custkey % 2 = 0 AS quiet FROM orders""", standins=False)
 def daily_report_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = S.orders(spark, sf_dir)
+    o = S.told_orders(spark, sf_dir)
     c = F.col("o_custkey")
     body = _text(
         "Summary: The eruption is paused. More.\n\nSummit: There were ", c % 40, " earthquakes in the past 24 hours. The SO2 emission rate was ", F.format_number(1000 + c, 0), " tonnes per day. Winds are from the east at ",
@@ -209,7 +209,7 @@ def daily_report_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, epoch_us(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 14 HOUR) AS precursor_us, 6.0::DOUBLE AS lead_hours FROM orders""", standins=False)
 def stated_precursors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = S.orders(spark, sf_dir)
+    o = S.told_orders(spark, sf_dir)
     body = _text("Order of ", F.col("o_custkey"), ". Overflows began on ", F.date_format("o_orderdate", "MMMM d, yyyy"), " - 4 a.m. today.")
     told = o.select("o_orderkey", body.alias("body"), F.timestamp_micros(F.unix_micros(F.date_trunc("day", "o_orderdate")) + 72_000_000_000).alias("start"))
     return mining.precursors(told, "body", "start", ["o_orderkey"]).select("o_orderkey", us("precursor"), "lead_hours")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import hours_between
-from tidemark.session import read_table
+from tidemark.session import read_table, spread
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,11 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
 
 
+def told_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders for queries that make a text of each and read it, dealt over all cores."""
+    return spread(orders(spark, sf_dir))
+
+
 def episodes(ev: DataFrame) -> DataFrame:
     """Sign-ups of a user, numbered; each lasts as many minutes as its value; the last one goes on."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")

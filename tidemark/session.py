@@ -25,6 +25,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df):
+    """df's rows dealt evenly over several tasks a core: a file's row group, often a million rows, is read by one task, too many where each row is costly."""
+    return df.repartition(max(32, 4 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 _LOCAL: dict[str, str] = {}
 
 
