@@ -268,3 +268,18 @@ def test_forward_joins_in_time_that_grows_with_the_rows(spark):
     got = intervals.as_of_forward_bucketed(left, right, "t", "r", "next")
     wrong = got.where("next is null or unix_seconds(next) <> unix_seconds(t) + 1").count()
     assert wrong == 0 and "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+
+
+def test_texts_are_dealt_over_the_cores(spark):
+    from tidemark.plans import standins
+
+    assert standins.told_orders(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 32
+
+
+def test_windows_and_readings_keep_columns_and_order(spark):
+    df = spark.createDataFrame([(1, at(0), "An eruption is likely between May 3 and 7, or from May 9 to 12. It rose 5 microradians (UWD), about 2 microradians of inflation."), (2, at(1), None), (3, None, "")], "id int, t timestamp, x string")
+    w = mining.date_windows(df, "x", "t", ["id"])
+    assert [(r["id"], str(r["window_start_date"])) for r in w.orderBy("window_start_date").collect()] == [(1, "2026-05-03"), (1, "2026-05-09")]
+    r = mining.number_readings(df, "x", ["id", "t"])
+    assert r.columns == ["id", "t", "number", "qualifier", "kind", "station", "episode_no", "sentence"]
+    assert sorted((x["id"], x["t"], x["number"], x["qualifier"], x["station"]) for x in r.collect()) == [(1, at(0), 2.0, "about", "UWD"), (1, at(0), 5.0, "exact", "UWD")]

@@ -11,7 +11,7 @@ from tidemark.functions.texts import ENTITIES, SHORT_FORMS, element_texts, secti
 from tidemark.operators import checks, intervals, keyed, latest, mining, models, report, rollup
 from tidemark.plans import standins as S
 from tidemark.plans.queries import _FIT, USER, query, r9, us
-from tidemark.session import read_table
+from tidemark.session import read_table, spread
 from tidemark.streaming import jobs
 
 _KEY = ["l_orderkey", "l_linenumber"]
@@ -287,13 +287,13 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def number_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return mining.number_readings(docs, "text", ["doc_id"], units=["*"], kinds={"first": ["the"], "second": ["of"]}, frames={"near": ["and"]}, most=1e6).drop("sentence")
 
 
 @query("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) + 3 AS VARCHAR) AS window_start_date, CAST(CAST(o_orderdate AS DATE) + 6 AS VARCHAR) AS window_end_date, CAST(o_custkey % 100 AS INT) AS stated_episode FROM orders""", standins=False)
 def date_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = S.orders(spark, sf_dir).withColumn("issued", F.timestamp_micros(F.unix_micros("o_orderdate") + 43_200_000_000))
+    o = S.told_orders(spark, sf_dir).withColumn("issued", F.timestamp_micros(F.unix_micros("o_orderdate") + 43_200_000_000))
     said = lambda d: F.date_format(F.date_add("o_orderdate", d), "MMMM d")
     text = F.concat(F.lit("Onset of episode "), (F.col("o_custkey") % 100).cast("string"), F.lit(" is likely between "), said(3), F.lit(" and "), said(6), F.lit("."))
     out = mining.date_windows(o.withColumn("text", text), "text", "issued", ["o_orderkey"])

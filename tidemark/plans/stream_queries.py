@@ -85,7 +85,7 @@ def daily_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN o_custkey % 3 = 0 THEN 'Camera ' || o_custkey || ' is offline at the station.' END AS outage, CASE WHEN o_custkey % 2 = 0 THEN CAST(100 + o_custkey AS DOUBLE) END AS plume_m FROM orders""", standins=False)
 def daily_report_more_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The usual range of a gas, the status, outages and plume heights of reports."""
-    o, c = S.orders(spark, sf_dir), F.col("o_custkey")
+    o, c = S.told_orders(spark, sf_dir), F.col("o_custkey")
     text = lambda *parts: F.concat(*[p.cast("string") if not isinstance(p, str) else F.lit(p) for p in parts])
     body = text(
         "Summary: Alert of order ", F.col("o_orderkey"), " is out. More.\n\nSummit: SO2 emission typically varies between ", 500 + c % 7, " and ", F.format_number(5000 + c, 0), " tonnes per day.",
@@ -96,7 +96,7 @@ def daily_report_more_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _told_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, c = S.orders(spark, sf_dir), F.col("o_custkey")
+    o, c = S.told_orders(spark, sf_dir), F.col("o_custkey")
     say = lambda *parts: F.concat(*[p.cast("string") if not isinstance(p, str) else F.lit(p) for p in parts])
     station = F.element_at(F.array(F.lit("SDH"), F.lit("UWD"), F.lit("IKI")), (c % 3 + 1).cast("int"))
     hedge = F.element_at(F.array(F.lit("about "), F.lit("more than "), F.lit("")), (F.col("o_orderkey") % 3 + 1).cast("int"))
