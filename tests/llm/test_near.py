@@ -358,6 +358,51 @@ def test_passage_with_two_first_holders(spark):
     assert got == {(4, 3, 10, 70)}
 
 
+@pytest.mark.parametrize("alone, tile", [(8, 4096), (1, 4), (1 << 30, 4096)])
+def test_passage_whose_seeds_have_other_first_and_last_holders(spark, monkeypatch, alone, tile):
+    """Each part of a passage is also in many documents before both and between them, so no seed is tied to the other holder of all."""
+    monkeypatch.setattr(passages, "ALONE", alone)
+    monkeypatch.setattr(passages, "TILE", tile)
+    r = random.Random(25)
+    new = lambda n: [f"{r.random():.12f}" for _ in range(n)]
+    p = new(60)
+    parts = [(new(20) + p[i : i + 16] + new(70)) for i in range(0, 48, 4) for _ in range(2)]
+    docs = [*enumerate(parts), (100, new(30) + p + new(40)), *[(200 + i, new(5) + w) for i, w in enumerate(parts)], (300, new(7) + p + new(80)), (301, new(7) + p + new(80))]
+    docs = [(d, w if d < 200 or d >= 300 else new(5) + w[20:36] + new(60)) for d, w in docs]
+    got = {(x["doc_id"], x["ref_doc_id"], x["start"], x["stop"]) for x in repeated_passages(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")).collect()}
+    assert {(300, 100, 7, 67), (301, 300, 7, 67)} <= got and {x[:2] for x in got} <= {(300, 100), (301, 100), (301, 300)}
+
+
+def test_links_of_all_pairs_are_rows_or_meet_in_a_holder(spark):
+    """Passages with changes, in parts and whole, held against all pairs of documents: two that share one have a row, or are rows of one document."""
+    r = random.Random(26)
+    new = lambda n: [f"{r.random():.12f}" for _ in range(n)]
+    pool = [new(64) for _ in range(5)]
+    docs, whole = [], {}
+    for d in range(70):
+        k = r.randrange(5)
+        words = [w if r.random() > 0.02 else new(1)[0] for w in pool[k]]
+        if r.random() < 0.7:  # a part, too short for a passage
+            a = r.randrange(44)
+            words = words[a : a + 20]
+        else:
+            whole[d] = k
+        docs.append((d, " ".join(new(70) + words + new(70))))
+    rows = {(x["doc_id"], x["ref_doc_id"]) for x in repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    refs = {d: {d} | {b for a, b in rows if a == d} for d in whole}
+    assert all(refs[a] & refs[b] for a in whole for b in whole if whole[a] == whole[b])
+    assert all(whole.get(a, -1) == whole.get(b, -2) for a, b in rows)
+
+
+def test_copies_are_tied_to_the_least_id_of_their_text(spark):
+    r = random.Random(27)
+    new = lambda n: [f"{r.random():.12f}" for _ in range(n)]
+    p = new(60)
+    docs = [(1, new(9) + p), (2, q := p + new(30)), (3, q), (4, q), (5, s := new(20)), (6, s)]
+    got = {(x["doc_id"], x["ref_doc_id"], x["start"], x["stop"]) for x in repeated_passages(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")).collect()}
+    assert {(2, 1, 0, 60), (3, 2, 0, 90), (4, 2, 0, 90)} <= got and not {5, 6} & {x[0] for x in got}
+
+
 def test_passages_grow_as_far_as_they_go(spark):
     r = random.Random(23)
     new = lambda n: [f"{r.random():.12f}" for _ in range(n)]
