@@ -103,3 +103,47 @@ def test_settled_rows_leave_the_state_and_still_count(spark, tmp_path):
     got = merge_stream(changes, table, str(tmp_path / "c"))
     lagged = ordered_lag(df, ["ts", "event_id"], {"level": "previous"}, F.to_date("ts"))
     assert rows_of(got.select("event_id", "level", "previous")) == rows_of(lagged.select("event_id", "level", "previous"))
+
+
+class CountedState:
+    """Value state and timers in memory that count what is asked of them."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def registerTimer(self, at):
+        self.calls += 1
+
+
+def test_levels_read_and_write_their_state_once_a_batch():
+    from pyspark.sql import Row
+    from pyspark.sql.types import StructType
+
+    levels = jobs.LevelChanges(StructType.fromDDL("user_id int, event_id int, level string, _us long"), "user_id", "_us", "event_id", "level")
+    levels.init(state := CountedState())
+    batches, got = [[(1, 10, "a"), (3, 30, "b")], [(2, 20, "b"), (3, 30, "b")], [(3, 30, "b")], [(4, 15, "c")]], []
+    for n, batch in enumerate(batches):
+        before = state.calls
+        rows = levels.handleInputRows((7,), iter([Row(event_id=i, _us=us, level=v) for i, us, v in batch]), None)
+        got.append([tuple(r)[1:] for r in rows])
+        assert state.calls - before == [3, 2, 1, 2][n]  # the first batch sets a timer too
+    assert got == [[(1, "a", None, True, 1), (3, "b", "a", True, 1)], [(2, "b", "a", True, 2), (3, "b", "b", False, 2)], [], [(4, "c", "a", True, 3), (2, "b", "c", True, 3)]]
+
+
+def test_landed_parts_of_several_files_are_batches(spark, tmp_path):
+    df = made(spark)
+    folder = landed_in_parts(df, F.col("id") % 3, 3, str(tmp_path / "in"), files=4)
+    assert len(files_of(tmp_path / "in")) == 12
+    got = jobs.run_available(jobs.landed(spark, folder, df.schema, files_per_batch=4).select("id"), "append", str(tmp_path / "out"))
+    assert rows_of(got) == sorted(((i, i % 3) for i in range(90)), key=repr)

@@ -17,10 +17,10 @@ from tidemark.streaming.keyed_table import KeyedTable, landed_in_parts, merge_st
 PARTS = 3
 
 
-def _landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_events(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     ev = S.events(spark, sf_dir)
-    folder = landed_in_parts(ev, F.col("event_id") % PARTS, PARTS, jobs.new_folder(spark, "landed"))
-    return jobs.landed(spark, folder, ev.schema, files_per_batch=1)
+    folder = landed_in_parts(ev, F.col("event_id") % PARTS, PARTS, jobs.new_folder(spark, "landed"), files)
+    return jobs.landed(spark, folder, ev.schema, files_per_batch=files)
 
 
 @query("""SELECT user_id, event_type, origin, event_id, epoch_us(ts) AS ts_us, value, CAST(n AS INT) AS revisions FROM (
@@ -41,8 +41,8 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE previous IS NULL OR previous <> event_type""")
 def stream_level_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of level in order of event time, though a third of the rows comes in each batch."""
-    changes = jobs.level_change_stream(_landed_events(spark, sf_dir), "user_id", "event_type", "ts", "event_id", late="60 days")
-    table = KeyedTable(spark, jobs.new_folder(spark, "levels"), changes.schema, ["event_id"], ["version"], buckets=8, in_order=True)
+    changes = jobs.level_change_stream(_landed_events(spark, sf_dir, files=16), "user_id", "event_type", "ts", "event_id", late="60 days")
+    table = KeyedTable(spark, jobs.new_folder(spark, "levels"), changes.schema, ["event_id"], ["version"], buckets=32, in_order=True)
     return merge_stream(changes, table, jobs.new_folder(spark, "levels-checkpoint")).where("changed").select("event_id", "user_id", "level", "previous")
 
 

@@ -65,9 +65,10 @@ def merged(rows: DataFrame, key: Sequence[str]) -> DataFrame:
 class LevelChanges(StatefulProcessor):
     """Each entity's rows with the level before them, put right when rows come late.
 
-    State: the last level before the watermark and a count of what came (one value), and the rows since then, in order of
-    time. A row is emitted when it comes, and again, with a greater version, when a late one changes what stands before
-    it. Timers of event time take rows that can't be late any more out of the list, so state is bounded by the lateness allowed.
+    State: one value, read and written once a batch: the last level before the watermark, a count of what came, and the
+    rows since then as arrays in order of time. A row is emitted when it comes, and again, with a greater version, when a
+    late one changes what stands before it. Timers of event time take rows that can't be late any more out of the arrays,
+    so state is bounded by the lateness allowed.
     """
 
     def __init__(self, schema: StructType, entity: str, micros: str, row_id: str, level: str):
@@ -75,43 +76,42 @@ class LevelChanges(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.settled = handle.getValueState("settled", f"level {self.schema[self.level].dataType.simpleString()}, version long")
-        self.recent = handle.getListState("recent", StructType([self.schema[c] for c in (self.micros, self.row_id, self.level)]))
+        kinds = [self.schema[c].dataType.simpleString() for c in (self.micros, self.row_id, self.level)]
+        self.kept = handle.getValueState("kept", "settled {2}, version long, micros array<{0}>, ids array<{1}>, levels array<{2}>".format(*kinds))
+        self.emitted = Row(self.entity, self.row_id, "level", "previous", "changed", "version")
 
-    def _listed(self) -> list[tuple]:
-        return [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+    def _kept(self) -> tuple:
+        """The settled level, the version, and the rows since."""
+        found = self.kept.get()
+        return (found[0], found[1], list(zip(*found[2:]))) if found is not None else (None, 0, [])
 
-    def _settled(self) -> tuple:
-        return tuple(self.settled.get()) if self.settled.exists() else (None, 0)
+    def _keep(self, settled, version: int, rows: list[tuple]) -> None:
+        self.kept.update((settled, version, *(list(c) for c in (zip(*rows) if rows else ((), (), ())))))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        old = self._listed()
+        settled, version, old = self._kept()
         came = {(r[self.micros], r[self.row_id], r[self.level]) for r in rows} - set(old)
         if not came:
             return
-        listed, (settled, version) = sorted([*old, *came], key=lambda r: r[:2]), self._settled()
+        listed = sorted([*old, *came], key=lambda r: r[:2])
         before, version = settled, version + 1
         known = dict(zip(old, [before, *(r[2] for r in old)]))
         for row in listed:
             if row in came or known[row] != before:
-                yield Row(**{self.entity: key[0], self.row_id: row[1], "level": row[2], "previous": before, "changed": before != row[2], "version": version})
+                yield self.emitted(key[0], row[1], row[2], before, before != row[2], version)
             before = row[2]
-        self.recent.put(listed)
-        self.settled.update((settled, version))
+        self._keep(settled, version, listed)
         if not old:
             self.handle.registerTimer(listed[0][0] // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        listed, mark = self._listed(), timerValues.getCurrentWatermarkInMs()
+        (settled, version, listed), mark = self._kept(), timerValues.getCurrentWatermarkInMs()
         past = [r for r in listed if r[0] < mark * 1000]
-        if past:
-            self.settled.update((past[-1][2], self._settled()[1]))
         rest = listed[len(past) :]
+        if past:
+            self._keep(past[-1][2], version, rest)
         if rest:
-            self.recent.put(rest)
             self.handle.registerTimer(rest[0][0] // 1000 + 1)
-        else:
-            self.recent.clear()
         return iter(())
 
     def close(self) -> None:

@@ -73,7 +73,7 @@ class KeyedTable:
             return False
         wanted = batch.select([F.col(f.name).cast(f.dataType) for f in self.schema if f.name in batch.columns])
         source = last_of_batch(wanted, self.key, self.seq)
-        touched = [r["b"] for r in source.select(self.bucket().alias("b")).distinct().collect()]  # at most the number of buckets
+        touched = [r["b"] for r in wanted.select(self.bucket().alias("b")).distinct().collect()]  # at most the number of buckets
         stored = self.read(touched)
         if self.in_order:
             before = stored.select(*self.key, F.struct(*self.seq).alias("_stored"))
@@ -114,8 +114,9 @@ def merge_stream(stream: DataFrame, table: KeyedTable, checkpoint: str, writer:
     return table.read()
 
 
-def landed_in_parts(df: DataFrame, part, parts: int, folder: str) -> str:
-    """Writes df as one landed file after another: rows with part = 0 first. What a stream of that folder reads, file by file."""
+def landed_in_parts(df: DataFrame, part, parts: int, folder: str, files: int = 1) -> str:
+    """Writes df as one landed file after another, or so many at once: rows with part = 0 first. What a stream of that folder reads, file by file."""
     for k in range(parts):
-        df.where(part == k).coalesce(1).write.mode("append").parquet(folder)
+        rows = df.where(part == k)
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(folder)
     return folder
