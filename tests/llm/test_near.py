@@ -1,3 +1,5 @@
+import collections
+import os
 import random
 import re
 
@@ -11,6 +13,7 @@ from tidemark.llm.components import components
 from tidemark.llm.line_dedup import dedup_lines, within_one
 from tidemark.llm.passages import Fenwick, aligned, chains, repeated_passages, seeds_of
 from tidemark.llm.simhash import fingerprint, near_copies
+from tidemark.session import shared_dir
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -403,6 +406,39 @@ def test_copies_are_tied_to_the_least_id_of_their_text(spark):
     assert {(2, 1, 0, 60), (3, 2, 0, 90), (4, 2, 0, 90)} <= got and not {5, 6} & {x[0] for x in got}
 
 
+def test_compared_windows_equal_brute_force():
+    """No pair with enough words and neighbours in common is left out, in one tile or in two, and few others come along."""
+    r = np.random.default_rng(28)
+    codes = (r.zipf(1.3, (200, 124)) % passages.KINDS).astype(np.int16)
+    for i in range(0, 200, 3):
+        codes[i, r.integers(30, 100) :] = -1
+    codes[10:60, 20:34], codes[60:90, 20:80] = codes[0, 20:34], codes[1, 20:80]
+    doc, loose, place = r.permutation(200), r.random(200) < 0.6, np.arange(200, dtype=np.int32)
+    counts = [(collections.Counter(w := c[c >= 0].tolist()), collections.Counter(zip(w, w[1:]))) for c in codes]
+    pairs = [(a, b) for a in range(200) for b in range(200) if doc[a] > doc[b] and (loose[a] or loose[b])]
+    least = passages.neighbours(passages.MIN_WORDS, passages.MIN_IDENTITY)
+    want = {(doc[a], place[a], doc[b], place[b]) for a, b in pairs if (counts[a][0] & counts[b][0]).total() >= 40 and (counts[a][1] & counts[b][1]).total() >= least}
+    for blocks in (np.zeros(200, np.int64), doc % 2):
+        got: list[tuple] = []
+        for low, high in [(0, 0), (0, 1), (1, 1)][: 1 + 2 * int(blocks.max())]:
+            rows = (blocks == low) | (blocks == high)
+            got += zip(*passages.compared(np.full(rows.sum(), low), np.full(rows.sum(), high), blocks[rows], doc[rows], place[rows], loose[rows], codes[rows], 40.0, least).tolist())
+        assert len(got) == len(set(got)) and want <= set(got) and len(want) > 1000 and len(got) < 1.2 * len(want)
+
+
+def test_neighbours_are_the_least_of_a_passage():
+    equal = ([1] * 4 + [0]) * 10  # every fifth word changed
+    assert abs(passages.neighbours(50, 0.8) - 19) < 1e-9 <= sum(a and b for a, b in zip(equal, equal[1:])) - 19
+
+
+def test_tables_go_when_they_are_read(spark):
+    r = random.Random(29)
+    p = [f"{r.random():.12f}" for _ in range(90)]
+    before = set(os.listdir(shared_dir(spark)))
+    assert len(repeated_passages(spark.createDataFrame([(d, " ".join([str(d), *p])) for d in range(3)], "doc_id long, text string")).collect()) == 2
+    assert {n.split("-")[0] for n in set(os.listdir(shared_dir(spark))) - before} <= {"texts", "settled", "wanted"}
+
+
 def test_passages_grow_as_far_as_they_go(spark):
     r = random.Random(23)
     new = lambda n: [f"{r.random():.12f}" for _ in range(n)]
