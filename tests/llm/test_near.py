@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tidemark.llm import passages, simhash
+from tidemark.llm import bit_sliced, passages, simhash
 from tidemark.llm.bit_sliced import digits, search_shard, top_k
 from tidemark.llm.components import components
 from tidemark.llm.line_dedup import dedup_lines, within_one
@@ -510,3 +510,25 @@ def test_top_k(spark):
     with pytest.raises(Exception, match="too large"):
         top_k(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>")).collect()
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_top_k_in_tiles_without_broadcast(spark, monkeypatch):
+    """Queries meet all shards over several tasks; that they are sent to many is no reason to pass them through the driver."""
+    monkeypatch.setattr(bit_sliced, "SHARD_ROWS", 32)
+    monkeypatch.setattr(bit_sliced, "HELD_QUERIES", 4, raising=False)
+    monkeypatch.setattr(bit_sliced, "GROUPS", 3, raising=False)
+    r = np.random.default_rng(4)
+    vectors = r.integers(-3, 4, (1500, 4))
+    rows = [(i % 1490, (v / 256).tolist()) for i, v in enumerate(vectors)]
+    found = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = sorted(tuple(x) for x in found.collect())
+    asked = {}
+    for i, v in zip((i for i, _ in rows), vectors.tolist()):
+        if i % 50 == 0:
+            asked[i] = min(asked.get(i, v), v)
+    want = []
+    for q, v in asked.items():
+        best = sorted((-int(s), i) for s, (i, _) in zip(vectors @ np.array(v), rows) if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()

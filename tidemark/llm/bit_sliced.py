@@ -9,14 +9,18 @@ most significant slice of the sums downward; rows level at the end are taken in
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a shard, and queries that meet a shard at a time.
-SHARD_ROWS, BLOCK_QUERIES = 8192, 256
+#: Rows of a shard.
+SHARD_ROWS = 16_384
+#: Queries, and numbers in them, that a task holds; groups of shards that each query is sent to, if four a core are not more.
+HELD_QUERIES, HELD_NUMBERS, GROUPS = 32_768, 1 << 22, 64
 
 
 def quantised(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
@@ -47,6 +51,7 @@ def slices_of(values: np.ndarray) -> tuple[np.ndarray, int]:
     return np.stack([pack((shifted >> np.uint64(b)) & np.uint64(1) != 0) for b in range(width)], axis=1), least
 
 
+@functools.lru_cache(1 << 16)
 def digits(value: int) -> list[tuple[int, int]]:
     """(place, +1 or -1) of a number's digits, no two next to each other (non-adjacent form)."""
     out, place = [], 0
@@ -63,43 +68,41 @@ def digits(value: int) -> list[tuple[int, int]]:
 def score_slices(slices: np.ndarray, query: list[int]) -> tuple[np.ndarray, int]:
     """Bitmaps (bit, word) of sum(query * attribute) for all rows, plus a constant, all sums at least 0; and that constant."""
     width, words = slices.shape[1], slices.shape[2]
-    columns: list[list[np.ndarray]] = []
-    offset = 0
-    for attribute, value in enumerate(query):
-        for place, digit in digits(int(value)):
-            while len(columns) < place + width:
-                columns.append([])
-            if digit < 0:  # -x = (2^width - 1 - x) - (2^width - 1)
-                offset += ((1 << width) - 1) << place
-            for b in range(width):
-                columns[place + b].append((attribute, b, digit))
-    stacks: list[np.ndarray] = []
-    for column in columns:
-        plus = [(a, b) for a, b, d in column if d > 0]
-        minus = [(a, b) for a, b, d in column if d < 0]
-        both = [slices[[a for a, _ in part], [b for _, b in part]] for part in (plus, minus)]
-        stacks.append(np.concatenate((both[0], ~both[1])) if minus else both[0])
-    out, k = [], 0
-    while k < len(stacks):
-        stack = stacks[k]
-        carried: list[np.ndarray] = []
-        while len(stack) > 1:  # three bitmaps of a weight become one, and one of the next weight
-            m = len(stack) // 3
-            if m == 0:
-                x, y = stack
-                carried.append((x & y)[None])
-                stack = (x ^ y)[None]
-                break
-            x, y, z = stack[:m], stack[m : 2 * m], stack[2 * m : 3 * m]
-            half = x ^ y
-            carried.append((x & y) | (half & z))
-            stack = np.concatenate((half ^ z, stack[3 * m :]))
-        out.append(stack[0] if len(stack) else np.zeros(words, np.uint64))
-        if carried:
-            if k + 1 == len(stacks):
-                stacks.append(np.zeros((0, words), np.uint64))
-            stacks[k + 1] = np.concatenate((stacks[k + 1], *carried))
-        k += 1
+    flat = slices.reshape(-1, words)
+    terms = [(attribute, place, digit) for attribute, value in enumerate(query) for place, digit in digits(int(value))]
+    terms.sort(key=lambda t: -t[2])
+    at, places, signs = np.array(terms, np.int64).reshape(-1, 3).T
+    plus = int((signs > 0).sum())
+    # -x = (2^width - 1 - x) - (2^width - 1)
+    offset = sum(((1 << width) - 1) << place for _, place, _ in terms[plus:])
+    n_columns = int(places.max(initial=0)) + width if terms else 0
+    stack, above, half = (np.empty((2 * len(terms) + 2, words), np.uint64) for _ in range(3))
+    out, k, carried = [], 0, 0
+    while k < n_columns or carried:
+        # what was carried lies below in stack, and this weight's slices come on top
+        here = np.flatnonzero((places <= k) & (places > k - width))
+        n = carried + len(here)
+        if len(here):
+            np.take(flat, at[here] * width + k - places[here], axis=0, out=stack[carried:n], mode="clip")
+            negative = stack[carried + int((here < plus).sum()) : n]
+            np.invert(negative, out=negative)
+        carried = 0
+        while n > 2:  # three bitmaps of a weight become one, and one of the next weight
+            m = n // 3
+            x, y, z = (stack[n - i * m : n - (i - 1) * m] for i in (3, 2, 1))
+            rest, carry = half[:m], above[carried : carried + m]
+            np.bitwise_xor(x, y, out=rest)
+            np.bitwise_and(x, y, out=carry)
+            np.bitwise_xor(rest, z, out=x)
+            np.bitwise_and(rest, z, out=rest)
+            np.bitwise_or(carry, rest, out=carry)
+            n, carried = n - 2 * m, carried + m
+        if n == 2:
+            above[carried] = stack[0] & stack[1]
+            stack[0] ^= stack[1]
+            carried += 1
+        out.append(stack[0].copy() if n else np.zeros(words, np.uint64))
+        stack, above, k = above, stack, k + 1
     return (np.stack(out) if out else np.zeros((1, words), np.uint64)), offset
 
 
@@ -128,7 +131,7 @@ def sums_at(sums: np.ndarray, rows: np.ndarray) -> list[int]:
     return [sum(int(bit) << b for b, bit in enumerate(column)) for column in bits.T]
 
 
-def search_shard(ids: np.ndarray, values: np.ndarray, queries: list[tuple[int, list[int]]], k: int) -> Iterator[tuple[int, int, int]]:
+def search_shard(ids: np.ndarray, values: np.ndarray, queries: Sequence[tuple[int, Sequence[int]]], k: int) -> Iterator[tuple[int, int, int]]:
     """(query, id, score) of each query's best rows of a shard, itself left out; ids ascend."""
     dims = max([values.shape[1], *(len(q) for _, q in queries)])
     values = np.pad(values, ((0, 0), (0, dims - values.shape[1])))
@@ -136,7 +139,7 @@ def search_shard(ids: np.ndarray, values: np.ndarray, queries: list[tuple[int, l
     everyone = pack(np.ones(len(ids), bool))
     for query, q in queries:
         sums, offset = score_slices(slices, q)
-        offset -= least * sum(q)
+        offset -= least * sum(map(int, q))
         among = everyone.copy()
         for own in range(*np.searchsorted(ids, [query, query + 1])):
             among[own >> 6] &= ~np.uint64(1 << (own & 63))
@@ -152,38 +155,62 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0, id_c
     empty ones; a score, or a component, that doesn't fit in a long is an error. Other columns are left out,
     whatever their names. Null ids and unsound vectors take no part; repeated ids are candidates
     of their own, and one query (of its least vector); with fewer than k candidates all are returned; an empty table gives
-    no rows. Each shard of the index gives at most k rows a query.
+    no rows. Each group of shards gives at most k rows a query.
     """
     rows = quantised(df, id_col, vec_col, scale)
-    n = max(1, -(-rows.count() // SHARD_ROWS))
-    # dealt by row, not by id alone: a repeated id must not fill one shard
-    shard = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n)).cast("int")
-    index = rows.withColumn("shard", shard).groupBy("shard").agg(F.collect_list(F.struct("id", "q")).alias("rows"))
+    shards = max(1, -(-rows.count() // SHARD_ROWS))
     asked = rows.where(F.pmod("id", F.lit(every)) == 0).groupBy("id").agg(F.min("q").alias("q"))
-    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    asked = asked.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "q")).alias("queries"))
-    # the stated query set meets all rows in blocks: each block goes to each shard
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select("shard", "queries")
-    pairs = index.join(asked, "shard")
+    n_asked, numbers = asked.agg(F.count("*"), F.coalesce(F.sum(F.size("q")), F.lit(0))).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    groups = min(shards, max(GROUPS, 4 * cores))
+    blocks = max(1, math.ceil(n_asked / HELD_QUERIES), math.ceil(numbers / HELD_NUMBERS), min(math.ceil(2 * cores / groups), n_asked // 256))
+    # each block of queries meets each group of shards in a task of its own; rows are sent to as many tasks as there are blocks, queries to as many as groups
+    every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # dealt by row, not by id alone: a repeated id must not fill one group
+    group = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(groups)).cast("int")
+    index = rows.withColumn("group", group).withColumn("block", every_of(blocks)).withColumn("row", F.lit(True))
+    sent = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("group", every_of(groups)).withColumn("row", F.lit(False))
+    tile = F.col("block") * groups + F.col("group")
+    tiles = index.unionByName(sent).select(tile.alias("tile"), "row", "id", "q").repartitionById(blocks * groups, "tile")
 
     def run(parts):
         import pyarrow as pa
-
-        for batch in parts:
-            for i in range(batch.num_rows):
-                held, asks = batch.column("rows")[i].values, batch.column("queries")[i].values
-                ids = held.field("id").to_numpy()
-                order = np.argsort(ids, kind="stable")
-                q = held.field("q")
-                sizes = np.diff(q.offsets.to_numpy())
-                values = np.zeros((len(ids), int(sizes.max(initial=0))), np.int64)
-                values[np.arange(values.shape[1]) < sizes[:, None]] = q.flatten().to_numpy()
-                asked = list(zip(asks.field("id").to_pylist(), asks.field("q").to_pylist()))
-                found = list(search_shard(ids[order], values[order], asked, k))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["query_id", "id", "score"])
-
-    found = pairs.select("rows", "queries").mapInArrow(run, "query_id long, id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+        import pyarrow.compute as pc
+
+        asked: list[tuple[int, np.ndarray]] = []
+        best: dict[int, list[tuple[int, int]]] = {}
+        held, n = [], 0
+
+        def search(shard: pa.Table) -> None:
+            ids, q = (shard.column(c).combine_chunks() for c in ("id", "q"))
+            sizes = pc.list_value_length(q).to_numpy(zero_copy_only=False)
+            values = np.zeros((len(ids), int(sizes.max(initial=0))), np.int64)
+            values[np.arange(values.shape[1]) < sizes[:, None]] = q.flatten().to_numpy()
+            for query, row, score in search_shard(ids.to_numpy(), values, asked, k):
+                if not -(1 << 63) <= score < 1 << 63:
+                    raise OverflowError("a score is too large for a long")
+                best.setdefault(query, []).append((-score, row))
+            for query, found in best.items():
+                best[query] = sorted(found)[:k]
+
+        for batch in parts:  # queries come first, then rows by id
+            first_row = int(np.searchsorted(batch.column("row").to_numpy(zero_copy_only=False), True))
+            asks = batch.slice(0, first_row)
+            asked += [(i.as_py(), q.values.to_numpy().copy()) for i, q in zip(asks.column("id"), asks.column("q"))]
+            held.append(batch.slice(first_row).select(["id", "q"]))
+            n += len(held[-1])
+            if n >= SHARD_ROWS:
+                table = pa.Table.from_batches(held)
+                for begin in range(0, n - SHARD_ROWS + 1, SHARD_ROWS):
+                    search(table.slice(begin, SHARD_ROWS))
+                n %= SHARD_ROWS
+                held = table.slice(len(table) - n).to_batches()
+        if n:
+            search(pa.Table.from_batches(held))
+        found = [(query, row, -worth) for query, rows in best.items() for worth, row in rows]
+        for begin in range(0, len(found), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found[begin : begin + 10_000])], names=["query_id", "id", "score"])
+
+    found = tiles.sortWithinPartitions("row", "id").select("row", "id", "q").mapInArrow(run, "query_id long, id long, score long")
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
