@@ -397,6 +397,18 @@ def test_links_of_all_pairs_are_rows_or_meet_in_a_holder(spark):
     assert all(whole.get(a, -1) == whole.get(b, -2) for a, b in rows)
 
 
+@pytest.mark.parametrize("alone", [8, 1 << 30])
+def test_holders_that_meet_in_one_are_not_paired(spark, monkeypatch, alone):
+    """The ends of a passage are in earlier documents too, without the rest; each holder has a row with its first holder, and at most one more."""
+    monkeypatch.setattr(passages, "ALONE", alone)
+    r = random.Random(31)
+    new = lambda n: [f"{r.random():.12f}" for _ in range(n)]
+    p = new(70)
+    docs = [(0, new(40) + p[:16] + new(40)), (1, new(40) + p[54:] + new(40)), *[(10 + i, new(7 + i) + p + new(60)) for i in range(12)]]
+    got = [(x["doc_id"], x["ref_doc_id"], x["start"], x["stop"]) for x in repeated_passages(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")).collect()]
+    assert {(10 + i, 10, 7 + i, 77 + i) for i in range(1, 12)} <= set(got) and len(got) <= 22
+
+
 def test_copies_are_tied_to_the_least_id_of_their_text(spark):
     r = random.Random(27)
     new = lambda n: [f"{r.random():.12f}" for _ in range(n)]
